@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexmill.catalog import sql as S
-from lexmill.catalog.registry import documents, noisy_documents, query, table
+from lexmill.catalog.registry import documents, noisy_documents, query
+from lexmill.catalog.registry import pages as web_pages
 from lexmill.functions import patterns as P
 from lexmill.functions import text as X
 from lexmill.operators import cleaning
@@ -87,7 +88,7 @@ def clean_documents(spark, folder):
 def _page_step(name: str, step, sql: str) -> None:
     @query(name, f"SELECT page_id, {sql} AS text FROM pages")
     def run(spark, folder):
-        return table(spark, folder, "pages").select("page_id", step("html").alias("text"))
+        return web_pages(spark, folder).select("page_id", step("html").alias("text"))
 
 
 _page_step("html_drop_elements", X.drop_html_elements, S.drop("html", *P.HTML_ELEMENTS))
@@ -97,7 +98,7 @@ _page_step("strip_tags", X.strip_tags, S.rr("html", P.HTML_TAG, " "))
 
 @query("html_text", f"SELECT page_id, {S.unescaped(S.html_bare('html'))} AS text FROM pages")
 def html_text(spark, folder):
-    pages = table(spark, folder, "pages")
+    pages = web_pages(spark, folder)
     return cleaning.html_text(pages, "html", "text").select("page_id", "text")
 
 
@@ -109,14 +110,14 @@ def html_text(spark, folder):
     + " AS text FROM pages",
 )
 def html_text_exact(spark, folder):
-    pages = cleaning.html_text(table(spark, folder, "pages"), "html", "text", "exact")
+    pages = cleaning.html_text(web_pages(spark, folder), "html", "text", "exact")
     single = X.strip(F.regexp_replace("text", f"{P.WS}+", " "))
     return pages.select("page_id", single.alias("text"))
 
 
 @query("unescape_entities", f"SELECT page_id, {S.unescaped('html')} AS text FROM pages")
 def unescape_entities(spark, folder):
-    pages = table(spark, folder, "pages").select("page_id", F.col("html").alias("text"))
+    pages = web_pages(spark, folder).select("page_id", F.col("html").alias("text"))
     return cleaning.unescape_entities(pages, "text")
 
 
@@ -125,7 +126,7 @@ _FOOTER = " Cookie Policy subscribe to our newsletter share on example home rese
 
 def _boiler(spark, folder):
     text = F.lower(F.concat("html", F.lit(_FOOTER), "url", F.lit(_FOOTER)))
-    return table(spark, folder, "pages").select("page_id", text.alias("text"))
+    return web_pages(spark, folder).select("page_id", text.alias("text"))
 
 
 _BOILER = (
@@ -149,5 +150,5 @@ _WEB = f"html || {S.q(_FOOTER)} || url || ' me@example.org '"
 @query("clean_web", f"SELECT page_id, {S.clean_web(_WEB)} AS clean FROM pages")
 def clean_web(spark, folder):
     raw = F.concat("html", F.lit(_FOOTER), "url", F.lit(" me@example.org "))
-    pages = table(spark, folder, "pages").select("page_id", raw.alias("html"))
+    pages = web_pages(spark, folder).select("page_id", raw.alias("html"))
     return cleaning.clean_web(pages).select("page_id", "clean")

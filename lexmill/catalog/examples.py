@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexmill.catalog.registry import documents, hexed, query, tokenized
+from lexmill.catalog.registry import documents, hexed, query, token_table, tokenized
 from lexmill.operators import examples
 
 L, STRIDE, BATCH = 256, 128, 8
@@ -116,7 +116,7 @@ def estimate_examples(spark, folder):
 )
 def batch_assign(spark, folder):
     batched = examples.batch_windows(
-        tokenized(spark, folder), L, STRIDE, BATCH, drop_last=True
+        token_table(spark, folder), L, STRIDE, BATCH, drop_last=True
     )
     return batched.select("doc_id", "start", "idx", "batch_id", hexed("x").alias("x"))
 
@@ -130,8 +130,12 @@ def batch_assign(spark, folder):
     """,
 )
 def batch_assign_shuffled(spark, folder):
-    cut = examples.windows_strict(tokenized(spark, folder), L, STRIDE)
-    batched = examples.batch_shuffled(cut, "doc_id", "start", batch_size=BATCH)
+    tokens = token_table(spark, folder)
+    cut = examples.windows_strict(tokens, L, STRIDE)
+    starts = examples.window_starts(tokens, L, STRIDE, n=F.col("token_count"))
+    batched = examples.batch_shuffled(
+        cut, "doc_id", "start", batch_size=BATCH, candidates=starts
+    )
     return batched.select("doc_id", "start", "idx", "batch_id", hexed("x").alias("x"))
 
 
@@ -145,7 +149,7 @@ def batch_assign_shuffled(spark, folder):
     """,
 )
 def tokens_seen(spark, folder):
-    batched = examples.batch_windows(tokenized(spark, folder), L, STRIDE, BATCH)
+    batched = examples.batch_windows(token_table(spark, folder), L, STRIDE, BATCH)
     return examples.tokens_seen(examples.step_sizes(batched), 5, step_bucket=1000)
 
 
@@ -159,8 +163,9 @@ def tokens_seen(spark, folder):
     """,
 )
 def pad_batch_matrix(spark, folder):
-    cut = examples.windows_padded(tokenized(spark, folder), L)
-    batched = examples.batch_shuffled(cut, "doc_id", batch_size=BATCH)
+    tokens = token_table(spark, folder)
+    cut = examples.windows_padded(tokens, L)
+    batched = examples.batch_shuffled(cut, "doc_id", batch_size=BATCH, candidates=tokens)
     stacked = examples.batch_matrix(batched)
     rows = F.transform("matrix", hexed)
     return stacked.select("batch_id", "n_rows", F.array_join(rows, "|").alias("matrix"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexmill.catalog import sql as S
-from lexmill.catalog.registry import documents, hexed, noisy, query, table
+from lexmill.catalog.registry import documents, noisy, query
+from lexmill.catalog.registry import pages as web_pages
 from lexmill.functions import patterns as P
 from lexmill.functions import text as X
 from lexmill.operators import cleaning, profile
@@ -82,7 +83,7 @@ def split_punct_v2(spark, folder):
     """,
 )
 def count_matches(spark, folder):
-    return table(spark, folder, "pages").select(
+    return web_pages(spark, folder).select(
         "page_id",
         X.count_matches(X.upto_last("html", ">"), P.TAG).alias("html_tags"),
         X.count_chars("html", P.SPACES).alias("spaces"),
@@ -105,7 +106,7 @@ def text_metrics(spark, folder):
     f"SELECT page_id, {metrics_sql('html')} FROM pages",
 )
 def html_metrics(spark, folder):
-    pages = table(spark, folder, "pages")
+    pages = web_pages(spark, folder)
     return _rounded(profile.text_metrics(pages, "html", ("page_id",)), "page_id")
 
 
@@ -239,6 +240,6 @@ _HTML = f"(SELECT page_id, html, {S.clean_web('html')} AS clean FROM pages)"
 
 @query("compare_columns", _long_sql("html", "clean", "page_id", _HTML))
 def compare_columns(spark, folder):
-    pages = table(spark, folder, "pages").select("page_id", "html")
+    pages = web_pages(spark, folder).select("page_id", "html")
     both = cleaning.clean_web(pages)
     return _six(profile.compare_columns(both, "html", "clean", "page_id"), "page_id")

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.operators.tokens import byte_ranks, encode
-from lexmill.sources.readers import read_corpus
+from lexmill.session import written
+from lexmill.sources.readers import read_corpus, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,13 +35,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents")
+    """Documents for work on their texts."""
+    return spread(table(spark, folder, "documents"))
+
+
+def pages(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "pages"))
 
 
 def corpus(spark: SparkSession, folder: str) -> DataFrame:
     """Documents under the column names of a crawl table. The stored character count
     stands in for the token count, so statistics need not read the texts."""
-    return documents(spark, folder).select(
+    return table(spark, folder, "documents").select(
         "doc_id",
         "text",
         F.col("lang").alias("language"),
@@ -55,6 +61,13 @@ def tokenized(spark: SparkSession, folder: str) -> DataFrame:
     return encode(docs, byte_ranks()).drop("text")
 
 
+def token_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The token table as written by the tokenising job, for jobs that read it more
+    than once."""
+    made = tokenized(spark, folder).withColumn("token_count", F.size("tokens"))
+    return written(made, "token-table")
+
+
 def hexed(tokens) -> Column:
     """Byte tokens as one hexadecimal string, for comparison."""
     return F.array_join(F.transform(tokens, lambda i: F.lpad(F.hex(i), 2, "0")), "")

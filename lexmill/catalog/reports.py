@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from lexmill.catalog import sql as S
 from lexmill.catalog.examples import BATCH, CLIPPED, L, STRIDE
 from lexmill.catalog.profiles import group_metrics_sql, top_sql
-from lexmill.catalog.registry import corpus, documents, query, table, tokenized
+from lexmill.catalog.registry import corpus, documents, query, table, token_table
+from lexmill.catalog.registry import pages as web_pages
 from lexmill.catalog.scoring import model_sql, pairs_sql
 from lexmill.functions import patterns as P
 from lexmill.operators import cleaning
@@ -19,7 +20,7 @@ from lexmill.session import written
 
 def summary(spark, folder):
     prepared = reports.prepare_sources(
-        table(spark, folder, "pages"), table(spark, folder, "conversations"), byte_ranks()
+        web_pages(spark, folder), table(spark, folder, "conversations"), byte_ranks()
     )
     return reports.prep_summary(prepared)
 
@@ -50,7 +51,7 @@ def _stages(df, keys, raw, clean):
 
 def _raw_and_clean(spark, folder):
     """Raw and clean texts of both kinds of source, written once for all readers."""
-    pages = cleaning.clean_web(table(spark, folder, "pages"), "html", "clean").select(
+    pages = cleaning.clean_web(web_pages(spark, folder), "html", "clean").select(
         F.lit("web").alias("source"), F.col("page_id").alias("id"), "html", "clean"
     )
     docs = cleaning.clean_pdf(documents(spark, folder), "text", "clean").select(
@@ -151,7 +152,9 @@ def corpus_report(spark, folder):
     """,
 )
 def training_examples(spark, folder):
-    made = reports.training_examples(tokenized(spark, folder), L, STRIDE, BATCH)
+    made = reports.training_examples(
+        token_table(spark, folder), L, STRIDE, BATCH, n=F.col("token_count")
+    )
     return made.select("doc_id", "start", "split", "idx", "batch_id")
 
 

@@ -55,12 +55,14 @@ def html_bare(expr: str) -> str:
 
 
 def unescaped(expr: str) -> str:
+    """The entities that occur in the tables, decoded twice; the final semicolon may
+    be missing."""
     for _ in range(2):
         for entity, char in (
-            ("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'),
-            ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", "\xa0"), ("&amp;", "&"),
+            ("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"),
+            ("nbsp", "\xa0"), ("amp", "&"),
         ):
-            expr = f"replace({expr}, {q(entity)}, {q(char)})"
+            expr = rr(expr, f"&{entity};?", char)
     return expr
 
 

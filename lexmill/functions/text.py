@@ -55,18 +55,6 @@ def strip_tags(text) -> Column:
     return F.regexp_replace(_column(text), P.HTML_TAG, " ")
 
 
-def unescape_common(text) -> Column:
-    """The most frequent entities decoded twice, without leaving the JVM."""
-    column = _column(text)
-    for _ in range(2):
-        for entity, char in (
-            ("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'),
-            ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", "\xa0"), ("&amp;", "&"),
-        ):
-            column = F.replace(column, F.lit(entity), F.lit(char))
-    return column
-
-
 def drop_boilerplate(text) -> Column:
     return _drop(text, *P.BOILERPLATE)
 
@@ -94,7 +82,7 @@ def drop_page_numbers(text) -> Column:
 
 
 def drop_formfeeds(text) -> Column:
-    return F.translate(_column(text), "\f", "")
+    return F.replace(_column(text), F.lit("\f"), F.lit(""))
 
 
 def drop_ref_numbers(text) -> Column:
@@ -111,9 +99,8 @@ def unwrap_lines(text) -> Column:
     U+0001 stands in for the runs: normalised text cannot contain it.
     """
     marked = F.regexp_replace(_column(text), P.NEWLINE_RUN, "\x01")
-    return F.replace(
-        F.translate(marked, "\n", " "), F.lit("\x01"), F.lit("\n\n")
-    )
+    single = F.replace(marked, F.lit("\n"), F.lit(" "))
+    return F.replace(single, F.lit("\x01"), F.lit("\n\n"))
 
 
 def trim_lines(text, keep_paragraphs: bool = False) -> Column:

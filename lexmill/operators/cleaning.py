@@ -59,15 +59,29 @@ def clean_web(
 ) -> DataFrame:
     df = normalize(html_text(df, text, output, parser), output)
     cleaned = X.drop_nav_words(X.drop_boilerplate(output), whole_words)
-    return df.withColumn(output, X.strip(X.drop_emails(X.drop_urls(cleaned))))
+    return _drop_addresses(df.withColumn(output, cleaned), output, X.strip)
 
 
 def clean_pdf(
     df: DataFrame, text: str = "text", output: str = "clean", keep_paragraphs: bool = False
 ) -> DataFrame:
+    # Form feeds are gone with the other control characters.
     df = normalize(df, text, output)
-    marks = X.drop_ref_numbers(X.drop_formfeeds(X.drop_page_numbers(output)))
-    lines = X.collapse_blanks(X.unwrap_lines(X.dehyphenate(marks)))
-    trimmed = X.drop_header_words(X.trim_lines(lines, keep_paragraphs))
-    bare = X.drop_emails(X.drop_urls(trimmed))
-    return df.withColumn(output, X.strip(X.collapse_blanks(bare)))
+    df = _where(df, output, "page ", X.drop_page_numbers)
+    df = _where(df, output, "[", X.drop_ref_numbers)
+    df = _where(df, output, "-\n", X.dehyphenate)
+    lines = X.trim_lines(X.collapse_blanks(X.unwrap_lines(output)), keep_paragraphs)
+    df = df.withColumn(output, X.drop_header_words(lines))
+    return _drop_addresses(df, output, lambda c: X.strip(X.collapse_blanks(c)))
+
+
+def _where(df: DataFrame, column: str, needle: str, step) -> DataFrame:
+    """Run a pattern only over texts that contain what every match of it contains."""
+    text = F.col(column)
+    return df.withColumn(column, F.when(F.contains(text, F.lit(needle)), step(text)).otherwise(text))
+
+
+def _drop_addresses(df: DataFrame, column: str, finish) -> DataFrame:
+    df = _where(df, column, "http", X.drop_urls)
+    df = _where(df, column, "@", X.drop_emails)
+    return df.withColumn(column, finish(F.col(column)))

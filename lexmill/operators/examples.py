@@ -42,6 +42,18 @@ def _windows(df: DataFrame, keep, source: Column, last: Column, length: int, str
     return df.select(*keep, F.inline(cut))
 
 
+def window_starts(
+    df: DataFrame, length: int, stride: int, policy: str = "strict",
+    keep: tuple[str, ...] = ("doc_id",), n: Column | None = None, max_tokens: int | None = None,
+) -> DataFrame:
+    """Only where the windows start; from token counts alone if ``n`` gives them."""
+    n = F.size("tokens") if n is None else n
+    count = window_count(n, length, stride, policy, max_tokens)
+    places = F.when(count > 0, F.sequence(F.lit(0).cast("long"), count - 1))
+    starts = df.select(*keep, F.explode(places).alias("start"))
+    return starts.withColumn("start", (F.col("start") * stride).cast("int"))
+
+
 def windows_strict(
     df: DataFrame, length: int, stride: int, keep: tuple[str, ...] = ("doc_id",),
     tokens: str = "tokens",
@@ -148,21 +160,22 @@ def shuffle(df: DataFrame, *keys: str, seed: int) -> DataFrame:
 
 
 def split_exact(
-    df: DataFrame, *keys: str, share: float = 0.9, seed: int = 123, output: str = "split"
+    df: DataFrame, *keys: str, share: float = 0.9, seed: int = 123, output: str = "split",
+    candidates: DataFrame | None = None,
 ) -> DataFrame:
     """Random split with exact sizes ``int(share * n)`` and the rest.
 
-    The digest at the cut position is found first, from the keys alone; then every
-    row is assigned by comparing its own digest, where it lies, without a shuffle.
+    The digest at the cut position is found first, from the keys alone (given by
+    ``candidates`` if they can be had more cheaply); then every row is assigned by
+    comparing its own digest, where it lies, without a shuffle.
     """
-    keyed = df.withColumn("_key", order_key(*keys, seed=seed))
+    key = order_key(*keys, seed=seed)
+    keyed = (df if candidates is None else candidates).select(key.alias("_key"))
     total = keyed.agg(F.count(F.lit(1))).scalar()
     size = F.floor(total * F.lit(float(share)))
     cutoff = hash_cutoff(keyed, "_key", size).agg(F.min("cutoff")).scalar()
-    first = cutoff.isNull() | (F.col("_key") < cutoff)
-    return keyed.withColumn(
-        output, F.when(first, F.lit("train")).otherwise(F.lit("val"))
-    ).drop("_key")
+    train = cutoff.isNull() | (key < cutoff)
+    return df.withColumn(output, F.when(train, F.lit("train")).otherwise(F.lit("val")))
 
 
 def split_fast(
@@ -206,12 +219,15 @@ def windows_in_order(
     return cut.withColumn("idx", F.col("_first") + place).drop("_first")
 
 
-def batch_ids(df: DataFrame, batch_size: int, total: Column, drop_last: bool = False):
+def batch_ids(
+    df: DataFrame, batch_size: int, total: Column, drop_last: bool | Column = False
+) -> DataFrame:
     """Batches of consecutive positions ``idx``; the incomplete last one may go."""
     batched = df.withColumn("batch_id", F.floor(F.col("idx") / batch_size))
-    if drop_last:
-        batched = batched.where(F.col("batch_id") < F.floor(total / batch_size))
-    return batched
+    if drop_last is False:
+        return batched
+    whole = F.col("batch_id") < F.floor(total / batch_size)
+    return batched.where(whole if drop_last is True else whole | ~drop_last)
 
 
 def batch_windows(
@@ -225,13 +241,17 @@ def batch_windows(
 
 
 def batch_shuffled(
-    df: DataFrame, *keys: str, batch_size: int, seed: int = 123, drop_last: bool = False
+    df: DataFrame, *keys: str, batch_size: int, seed: int = 123,
+    drop_last: bool | Column = False, by: tuple[str, ...] = (),
+    candidates: DataFrame | None = None,
 ) -> DataFrame:
-    """Examples in a reproducible random order, in batches."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    keyed = df.withColumn("_key", order_key(*keys, seed=seed))
-    indexed = hash_index(keyed, "_key").drop("_key")
-    return batch_ids(indexed, batch_size, total, drop_last)
+    """Examples in a reproducible random order, in batches, within each ``by``."""
+    key = order_key(*keys, seed=seed)
+    if candidates is not None:
+        candidates = candidates.withColumn("_key", key)
+    indexed = hash_index(df.withColumn("_key", key), "_key", by=by, candidates=candidates)
+    batched = batch_ids(indexed, batch_size, F.col("n_total"), drop_last)
+    return batched.drop("_key", "n_total")
 
 
 def batch_matrix(df: DataFrame, x: str = "x") -> DataFrame:

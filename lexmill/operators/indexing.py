@@ -28,19 +28,37 @@ def _offsets(sizes: DataFrame, bucket: str, value: str) -> DataFrame:
     )
 
 
-def hash_index(df: DataFrame, key: str, index: str = "idx", digits: int = HASH_DIGITS):
-    """Position of every row in the order of ``key``, a hexadecimal digest.
+def hash_index(
+    df: DataFrame,
+    key: str,
+    index: str = "idx",
+    by: tuple[str, ...] = (),
+    candidates: DataFrame | None = None,
+    digits: int = HASH_DIGITS,
+) -> DataFrame:
+    """Position of every row in the order of ``key``, a hexadecimal digest, and the
+    number of rows ``n_total``; both within each value of ``by`` (a few values).
 
     The first digits of a digest split the rows evenly whatever the data looks like:
     at most ``16 ** digits`` buckets, which also bounds the broadcast offset table.
+    ``candidates`` may give the same keys more cheaply for counting.
     """
-    df = df.withColumn("_bucket", F.substring(key, 1, digits))
-    sizes = df.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = _offsets(sizes, "_bucket", "_n")
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
+    bucket = F.substring(key, 1, digits)
+    counted = df if candidates is None else candidates
+    sizes = counted.groupBy(*by, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*by)
+    before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        *by,
+        "_bucket",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.sum("_n").over(whole).alias("n_total"),
+    )
+    rank = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(key))
     return (
-        df.withColumn("_rank", rank)
-        .join(F.broadcast(offsets), "_bucket")
+        df.withColumn("_bucket", bucket)
+        .withColumn("_rank", rank)
+        .join(F.broadcast(offsets), [*by, "_bucket"])
         .withColumn(index, F.col("_before") + F.col("_rank") - 1)
         .drop("_bucket", "_rank", "_before")
     )

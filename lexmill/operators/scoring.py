@@ -11,13 +11,17 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import text as X
 from lexmill.operators.lookups import lookup
+from lexmill.session import written
 
 
 def bigram_counts(
     df: DataFrame, keys: list[str], text: str = "text", max_length: int | None = None
 ) -> DataFrame:
     """Word pairs per key with their number ``n``, over the whole text or its first
-    ``max_length`` words. The first word of a text is never predicted."""
+    ``max_length`` words. The first word of a text is never predicted.
+
+    The pairs are written once: model and scores read them several times, and their
+    words are not split again each time."""
     words = X.words(text)
     if max_length is not None:
         words = F.slice(words, 1, max_length)
@@ -26,11 +30,12 @@ def bigram_counts(
         F.slice("_w", F.lit(1), F.size("_w") - 1).alias("a"),
         F.slice("_w", F.lit(2), F.size("_w") - 1).alias("b"),
     )
-    return (
+    counted = (
         spread.select(*keys, F.inline(pairs).alias("a", "b"))
         .groupBy(*keys, "a", "b")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    return written(counted, "pairs")
 
 
 def bigram_model(pairs: DataFrame, learn: Column | None = None) -> DataFrame:
@@ -40,14 +45,14 @@ def bigram_model(pairs: DataFrame, learn: Column | None = None) -> DataFrame:
     logp = ln((count(a, b) + 1) / (count(a, .) + V)), V the number of learnt words.
     """
     learnt = F.col("n") if learn is None else F.when(learn, F.col("n")).otherwise(0)
-    counts = pairs.groupBy("a", "b").agg(F.sum(learnt).alias("n"))
+    counts = written(pairs.groupBy("a", "b").agg(F.sum(learnt).alias("n")), "pair-counts")
     firsts = counts.groupBy("a").agg(F.sum("n").alias("n_a"))
     words = counts.where("n > 0").select(F.explode(F.array("a", "b")).alias("w"))
     size = words.agg(F.count_distinct("w")).scalar()
     # The first words are as many as the vocabulary: never broadcast unmeasured.
     joined = lookup(counts, firsts, ["a"], broadcast=False)
     logp = F.log((F.col("n") + 1) / (F.col("n_a") + size))
-    return joined.select("a", "b", "n", logp.alias("logp"))
+    return written(joined.select("a", "b", "n", logp.alias("logp")), "pair-model")
 
 
 def score_pairs(pairs: DataFrame, model: DataFrame) -> DataFrame:

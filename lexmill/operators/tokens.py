@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,11 +40,22 @@ def _tokenizer(ranks: dict[bytes, int], specials: dict[str, int], policy: str):
     encoding = tiktoken.Encoding(
         name="ranks", pat_str=P.BPE_SPLIT, mergeable_ranks=ranks, special_tokens=specials
     )
-    if policy == "text":
-        return lambda t: encoding.encode(t, disallowed_special=())
-    if policy == "allow":
-        return lambda t: encoding.encode(t, allowed_special="all")
-    return encoding.encode
+    options = {
+        "text": {"disallowed_special": ()},
+        "allow": {"allowed_special": "all"},
+        "error": {},
+    }[policy]
+    return lambda text: encoding.encode_to_numpy(text, **options)
+
+
+def _lists(arrays: list[np.ndarray | None]) -> pa.Array:
+    """Token arrays (None for null) as one Arrow list column."""
+    sizes = [0 if a is None else len(a) for a in arrays]
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    present = [a for a in arrays if a is not None]
+    flat = np.concatenate(present).astype(np.int32) if present else np.array([], np.int32)
+    nulls = pa.array([a is None for a in arrays], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=nulls)
 
 
 def _encoder(spark: SparkSession, ranks, specials, policy: str, report: bool):
@@ -52,7 +64,6 @@ def _encoder(spark: SparkSession, ranks, specials, policy: str, report: bool):
     if len(ranks) > MAX_RANKS:
         raise ValueError(f"rank table has more than {MAX_RANKS} entries")
     shared = spark.sparkContext.broadcast((dict(ranks), dict(specials)))
-    reported = pa.struct([("tokens", pa.list_(pa.int32())), ("error", pa.string())])
 
     def encode_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = _tokenizer(*shared.value, policy)  # once per task, not per batch
@@ -67,11 +78,10 @@ def _encoder(spark: SparkSession, ranks, specials, policy: str, report: bool):
                         raise
                     tokens.append(None)
                     errors.append(type(failure).__name__)
-            lists = pa.array(tokens, pa.list_(pa.int32()))
+            lists = _lists(tokens)
             if report:
-                yield pa.StructArray.from_arrays(
-                    [lists, pa.array(errors, pa.string())], fields=list(reported)
-                )
+                columns = [lists, pa.array(errors, pa.string())]
+                yield pa.StructArray.from_arrays(columns, ["tokens", "error"])
             else:
                 yield lists
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import partial
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.operators import cleaning, examples, profile, scoring, stats, tokens, vocab
@@ -97,21 +99,23 @@ def corpus_report(df: DataFrame, language: str = "language", file: str = "file")
 def training_examples(
     df: DataFrame, length: int, stride: int, batch_size: int, key: str = "doc_id",
     share: float = 0.9, seed: int = 123, max_tokens: int | None = None,
+    n: Column | None = None,
 ) -> DataFrame:
     """Windows, split exactly, shuffled within each split and batched.
 
-    Incomplete last batches are dropped from the training part only.
+    Incomplete last batches are dropped from the training part only. Split and order
+    are decided on (key, start) pairs; the windows themselves move once.
     """
+    starts = examples.window_starts(df, length, stride, "clipped", (key,), n, max_tokens)
+    split = partial(
+        examples.split_exact, share=share, seed=seed, candidates=starts
+    )
     cut = examples.windows_clipped(df, length, stride, max_tokens, (key,))
-    split = examples.split_exact(cut, key, "start", share=share, seed=seed)
-    parts = [
-        examples.batch_shuffled(
-            split.where(F.col("split") == name), key, "start",
-            batch_size=batch_size, seed=seed + 1, drop_last=name == "train",
-        )
-        for name in ("train", "val")
-    ]
-    return parts[0].unionByName(parts[1])
+    return examples.batch_shuffled(
+        split(cut, key, "start"), key, "start", batch_size=batch_size, seed=seed + 1,
+        drop_last=F.col("split") == "train", by=("split",),
+        candidates=split(starts, key, "start"),
+    )
 
 
 def perplexity_report(

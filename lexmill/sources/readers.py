@@ -25,6 +25,13 @@ def read_corpus(spark: SparkSession, path: str, columns: list[str] | None = None
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where a scan has fewer splits than the cluster has cores,
+    as with one small file; a table of many splits stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def with_file_name(df: DataFrame, output: str = "src_file") -> DataFrame:
     return df.withColumn(output, F.col("_metadata.file_name"))
 
