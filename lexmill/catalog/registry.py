@@ -70,7 +70,8 @@ def token_table(spark: SparkSession, folder: str) -> DataFrame:
 
 def hexed(tokens) -> Column:
     """Byte tokens as one hexadecimal string, for comparison."""
-    return F.array_join(F.transform(tokens, lambda i: F.lpad(F.hex(i), 2, "0")), "")
+    digits = F.split(F.lit(",".join(f"{b:02X}" for b in range(256))), ",")
+    return F.array_join(F.transform(tokens, lambda i: F.get(digits, i)), "")
 
 
 # Page-like noise put into the documents by plain replacements, so that every rule for

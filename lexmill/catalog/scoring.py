@@ -46,7 +46,7 @@ def _scored(spark, folder):
 
 @query("ngram_logprob", f"WITH {_DOCS} SELECT a, b, n, round(logp, 6) AS logp FROM model")
 def ngram_logprob(spark, folder):
-    model = scoring.bigram_model(_pairs(spark, folder))
+    model = scoring.bigram_model(_pairs(spark, folder)).drop("n_rows")
     return model.withColumn("logp", F.round("logp", 6))
 
 

@@ -31,26 +31,34 @@ def lookup(
     keys: list[str],
     head_rows: int = HEAD_ROWS,
     broadcast: bool | None = None,
+    frequency: str | None = None,
 ) -> DataFrame:
     """Left outer join of many rows with a table holding each key once.
 
     A right side measured small is broadcast. Otherwise the ``head_rows`` most
     frequent keys of the left side are looked up first and broadcast, so rows with
     those keys are never shuffled; in what is left for the shuffle join no key can
-    hold more than one part in ``head_rows`` of the rows.
+    hold more than one part in ``head_rows`` of the rows. ``frequency`` names a column
+    of the right side that tells how many left rows have the key, which spares
+    counting them.
     """
     if broadcast is None:
         broadcast = fits_broadcast(right)
     if broadcast:
-        return left.join(F.broadcast(right), keys, "left")
-    head = (
-        left.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .orderBy(F.desc("_n"), *keys)
-        .limit(head_rows)
-        .select(*keys)
-    )
-    known = head.join(right, keys, "left")
+        small = right if frequency is None else right.drop(frequency)
+        return left.join(F.broadcast(small), keys, "left")
+    if frequency is not None:
+        known = right.orderBy(F.desc(frequency), *keys).limit(head_rows).drop(frequency)
+        head, right = known.select(*keys), right.drop(frequency)
+    else:
+        head = (
+            left.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .orderBy(F.desc("_n"), *keys)
+            .limit(head_rows)
+            .select(*keys)
+        )
+        known = head.join(right, keys, "left")
     hot = left.join(F.broadcast(known), keys, "inner")
     cold = left.join(F.broadcast(head), keys, "left_anti").join(right, keys, "left")
     return hot.unionByName(cold)

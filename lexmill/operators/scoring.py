@@ -39,25 +39,34 @@ def bigram_counts(
 
 
 def bigram_model(pairs: DataFrame, learn: Column | None = None) -> DataFrame:
-    """``(a, b, n, logp)`` for every pair in ``pairs``; counts come from the rows where
-    ``learn`` holds, so pairs only to be scored get a count of zero and need no join.
+    """``(a, b, n, logp, n_rows)`` for every pair in ``pairs``; ``n`` counts the rows
+    where ``learn`` holds, so pairs only to be scored get a count of zero and need no
+    join. ``n_rows`` is the number of rows of ``pairs`` with the pair.
 
     logp = ln((count(a, b) + 1) / (count(a, .) + V)), V the number of learnt words.
     """
     learnt = F.col("n") if learn is None else F.when(learn, F.col("n")).otherwise(0)
-    counts = written(pairs.groupBy("a", "b").agg(F.sum(learnt).alias("n")), "pair-counts")
-    firsts = counts.groupBy("a").agg(F.sum("n").alias("n_a"))
+    rows = F.count(F.lit(1)).alias("n_rows")
+    counts = written(
+        pairs.groupBy("a", "b").agg(F.sum(learnt).alias("n"), rows), "pair-counts"
+    )
+    firsts = counts.groupBy("a").agg(
+        F.sum("n").alias("n_a"), F.count(F.lit(1)).alias("n_seconds")
+    )
     words = counts.where("n > 0").select(F.explode(F.array("a", "b")).alias("w"))
     size = words.agg(F.count_distinct("w")).scalar()
     # The first words are as many as the vocabulary: never broadcast unmeasured.
-    joined = lookup(counts, firsts, ["a"], broadcast=False)
+    joined = lookup(counts, firsts, ["a"], broadcast=False, frequency="n_seconds")
     logp = F.log((F.col("n") + 1) / (F.col("n_a") + size))
-    return written(joined.select("a", "b", "n", logp.alias("logp")), "pair-model")
+    return written(joined.select("a", "b", "n", logp.alias("logp"), "n_rows"), "pair-model")
 
 
-def score_pairs(pairs: DataFrame, model: DataFrame) -> DataFrame:
-    """Add the model's ``logp`` to counted pairs."""
-    return lookup(pairs, model.select("a", "b", "logp"), ["a", "b"], broadcast=False)
+def score_pairs(pairs: DataFrame, model: DataFrame, learnt_here: bool = True) -> DataFrame:
+    """Add the model's ``logp`` to counted pairs. ``learnt_here`` says the model was
+    built from these pairs, so its ``n_rows`` tells the frequent ones."""
+    known = model.select("a", "b", "logp", *(["n_rows"] if learnt_here else []))
+    frequency = "n_rows" if learnt_here else None
+    return lookup(pairs, known, ["a", "b"], broadcast=False, frequency=frequency)
 
 
 def perplexity(scored: DataFrame, keys: list[str]) -> DataFrame:
