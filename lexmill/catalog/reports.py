@@ -10,6 +10,7 @@ from lexmill.catalog.profiles import group_metrics_sql, top_sql
 from lexmill.catalog.registry import corpus, documents, query, table, token_table
 from lexmill.catalog.registry import pages as web_pages
 from lexmill.catalog.scoring import model_sql, pairs_sql
+from lexmill.catalog.statistics import EDGES, FULL, ZOOM
 from lexmill.functions import patterns as P
 from lexmill.operators import cleaning
 from lexmill.operators.profile import METRICS
@@ -115,12 +116,8 @@ _STATS = """[{'measure': 'rows', 'value': count(*)::double},
             {{'measure': 'percent',
               'value': count(*)::double / (SELECT count(*) FROM documents) * 100}}] AS m
           FROM documents GROUP BY lang ORDER BY count(*) DESC, lang LIMIT 10),
-    e AS (SELECT min(n_chars)::double AS lo, max(n_chars)::double AS hi FROM documents),
-    h AS (SELECT least(floor((n_chars - lo) / (hi - lo) * 100)::BIGINT, 99) AS bin, count(*) AS n
-          FROM documents, e GROUP BY ALL),
-    z AS (SELECT least(floor(n_chars / 2000.0::double * 100)::BIGINT, 99) AS bin, count(*) AS n
-          FROM documents WHERE n_chars BETWEEN 0 AND 2000 GROUP BY ALL),
-    r AS (
+    {EDGES}, h AS ({FULL}), z AS ({ZOOM}),
+    rep AS (
       SELECT 'tokens' AS section, item, unnest(m) AS m FROM s
       UNION ALL SELECT 'language', item, unnest(m) FROM g
       UNION ALL SELECT 'histogram', b::VARCHAR, {{'measure': 'count', 'value': coalesce(n, 0)::double}}
@@ -128,7 +125,7 @@ _STATS = """[{'measure': 'rows', 'value': count(*)::double},
       UNION ALL SELECT 'histogram_zoom', b::VARCHAR,
         {{'measure': 'count', 'value': coalesce(n, 0)::double}}
         FROM range(100) t(b) LEFT JOIN z ON z.bin = b)
-    SELECT section, item, m.measure AS measure, round(m.value, 6) AS value FROM r
+    SELECT section, item, m.measure AS measure, round(m.value, 6) AS value FROM rep
     """,
 )
 def corpus_report(spark, folder):

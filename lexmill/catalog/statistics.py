@@ -59,16 +59,34 @@ def _bins(df):
     return df.withColumn("bin_start", F.round("bin_start", 6))
 
 
-@query(
-    "length_histogram",
+def bins_sql(low: str, high: str, rel: str) -> str:
+    """(bin, n) of ``rel``, a relation with n_chars and the bounds."""
+    step = f"(({high} - {low}) / 100)"
+    return f"""
+      SELECT b - (n_chars < {low} + b * {step})::INTEGER
+               + (n_chars >= {low} + (b + 1) * {step} AND b < 99)::INTEGER AS bin, count(*) AS n
+      FROM (SELECT *, least(floor((n_chars - {low}) / ({high} - {low}) * 100)::BIGINT, 99) AS b
+            FROM {rel}) GROUP BY 1
     """
-    WITH e AS (SELECT min(n_chars)::double AS lo, max(n_chars)::double AS hi FROM documents),
+
+
+EDGES = """
+    e AS (SELECT min(n_chars)::double AS lo, max(n_chars)::double AS hi FROM documents),
     r AS (SELECT CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS lo,
-                 CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS hi FROM e),
-    c AS (SELECT least(floor((n_chars - lo) / (hi - lo) * 100)::BIGINT, 99) AS bin, count(*) AS n
-          FROM documents, r GROUP BY ALL)
-    SELECT b AS bin, round(lo + b * ((hi - lo) / 100), 6) AS bin_start, coalesce(n, 0) AS cnt
-    FROM range(100) t(b) CROSS JOIN r LEFT JOIN c ON c.bin = b
+                 CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS hi FROM e)
+"""
+FULL = bins_sql("lo", "hi", "documents, r")
+ZOOM = bins_sql("0.0::double", "2000.0::double", "documents").replace(
+    "FROM documents)", "FROM documents WHERE n_chars BETWEEN 0 AND 2000)"
+)
+
+
+@query(
+    "length_histogram",
+    f"""
+    WITH {EDGES}, c AS ({FULL})
+    SELECT t.b AS bin, round(lo + t.b * ((hi - lo) / 100), 6) AS bin_start, coalesce(n, 0) AS cnt
+    FROM range(100) t(b) CROSS JOIN r LEFT JOIN c ON c.bin = t.b
     """,
 )
 def length_histogram(spark, folder):
@@ -77,11 +95,10 @@ def length_histogram(spark, folder):
 
 @query(
     "length_histogram_zoom",
-    """
-    WITH c AS (SELECT least(floor(n_chars / 2000.0::double * 100)::BIGINT, 99) AS bin, count(*) AS n
-               FROM documents WHERE n_chars BETWEEN 0 AND 2000 GROUP BY ALL)
-    SELECT b AS bin, b * 20.0::double AS bin_start, coalesce(n, 0) AS cnt
-    FROM range(100) t(b) LEFT JOIN c ON c.bin = b
+    f"""
+    WITH c AS ({ZOOM})
+    SELECT t.b AS bin, t.b * 20.0::double AS bin_start, coalesce(n, 0) AS cnt
+    FROM range(100) t(b) LEFT JOIN c ON c.bin = t.b
     """,
 )
 def length_histogram_zoom(spark, folder):

@@ -92,20 +92,26 @@ def length_histogram(
         flat = edges["lo"] == edges["hi"]
         half = F.when(flat, F.lit(0.5)).otherwise(F.lit(0.0))
         low, high = edges["lo"] - half, edges["hi"] + half
-    place = F.floor((F.col("v") - low) / (high - low) * bins)
+    step = (high - low) / bins
+    last = bins - 1
+    guess = F.least(F.floor((F.col("v") - low) / (high - low) * bins), F.lit(last))
+    # The division may land next to an edge on its wrong side: compare with the edges.
+    below = F.col("v") < low + F.col("b") * step
+    above = (F.col("v") >= low + (F.col("b") + 1) * step) & (F.col("b") < last)
+    place = F.col("b") - F.when(below, 1).otherwise(0) + F.when(above, 1).otherwise(0)
     counted = (
-        values.select(F.least(place, F.lit(bins - 1)).alias("bin"))
+        values.withColumn("b", guess)
+        .select(place.alias("bin"))
         .groupBy("bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    width = (high - low) / bins
     return (
         df.sparkSession.range(bins)
         .withColumnRenamed("id", "bin")
         .join(counted, "bin", "left")
         .select(
             "bin",
-            (low + F.col("bin") * width).alias("bin_start"),
+            (low + F.col("bin") * step).alias("bin_start"),
             F.coalesce("n", F.lit(0)).alias("cnt"),
         )
     )

@@ -154,7 +154,7 @@ def decode(
     by_id.update({i: t.encode() for t, i in (specials or {}).items()})
     table = [by_id[i].hex() if i in by_id else None for i in range(max(by_id) + 1)]
     pieces = F.from_json(F.lit(json.dumps(table)), "array<string>")  # folded to a constant
-    hexes = F.transform(tokens, lambda i: F.element_at(pieces, i + 1))
+    hexes = F.transform(tokens, lambda i: F.get(pieces, i))
     known = ~F.exists(hexes, lambda h: h.isNull())
     raw = F.unhex(F.array_join(hexes, ""))
     text = F.make_valid_utf8(raw.cast("string"))

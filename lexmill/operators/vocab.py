@@ -52,7 +52,7 @@ def append_specials(indexed: DataFrame) -> DataFrame:
 
 def _occurrences(df: DataFrame, key: str, text: str, delimiters: str) -> DataFrame:
     return df.select(
-        key,
+        F.col(key).alias("_key"),
         F.col(text).isNull().alias("_null"),
         F.posexplode_outer(X.split_punct(text, delimiters)).alias("_pos", "token"),
     )
@@ -63,8 +63,10 @@ def _gather(df: DataFrame, key: str, value: str, output: str, null: str) -> Data
     input had. The partial arrays are built before the shuffle."""
     placed = F.when(F.col("_pos").isNotNull(), F.struct("_pos", value))
     ordered = F.array_sort(F.collect_list(placed)).getField(value)
-    gathered = df.groupBy(key).agg(ordered.alias(output), F.bool_or(null).alias("_n"))
-    return gathered.select(key, F.when(~F.col("_n"), F.col(output)).alias(output))
+    gathered = df.groupBy("_key").agg(ordered.alias("_list"), F.bool_or(null).alias("_n"))
+    return gathered.select(
+        F.col("_key").alias(key), F.when(~F.col("_n"), F.col("_list")).alias(output)
+    )
 
 
 def encode(
@@ -109,7 +111,9 @@ def decode(
 ) -> DataFrame:
     """Words joined by blanks, then blanks before punctuation removed."""
     placed = df.select(
-        key, F.col(ids).isNull().alias("_null"), F.posexplode_outer(ids).alias("_pos", "id")
+        F.col(key).alias("_key"),
+        F.col(ids).isNull().alias("_null"),
+        F.posexplode_outer(ids).alias("_pos", "id"),
     )
     found = lookup(placed, vocabulary, ["id"])
     failed = F.raise_error(F.concat(F.lit("unknown id: "), F.col("id"))).cast("string")
@@ -142,10 +146,9 @@ def known_documents(
 ) -> DataFrame:
     """Rows whose words are all in the vocabulary (those strict encoding accepts)."""
     unknown = unknown_tokens(df, vocabulary, text, delimiters).select("token")
-    pairs = df.select(
-        key, F.explode(F.array_distinct(X.split_punct(text, delimiters))).alias("token")
-    )
-    bad = pairs.join(unknown, "token", "left_semi").select(key).distinct()
+    found = F.array_distinct(X.split_punct(text, delimiters))
+    pairs = df.select(F.col(key).alias("_key"), F.explode(found).alias("token"))
+    bad = pairs.join(unknown, "token", "left_semi").select(F.col("_key").alias(key)).distinct()
     return df.join(bad, key, "left_anti")
 
 
