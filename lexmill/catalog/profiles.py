@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexmill.catalog import sql as S
-from lexmill.catalog.registry import documents, noisy, query
+from lexmill.catalog.registry import documents, noisy, query, table
 from lexmill.catalog.registry import pages as web_pages
 from lexmill.functions import patterns as P
 from lexmill.functions import text as X
@@ -161,8 +161,7 @@ def _word_items(keys: str) -> str:
 
 @query("word_frequency_top", top_sql(_word_items("doc_id"), "doc_id"))
 def word_frequency_top(spark, folder):
-    counted = profile.word_occurrences(documents(spark, folder), ["doc_id"], "text", "n_chars")
-    return profile.top_k(counted, ["doc_id"])
+    return profile.top_words_per_text(table(spark, folder, "documents"))
 
 
 @query("topk_per_group", top_sql(_word_items("source"), "source"))

@@ -27,21 +27,6 @@ def window_count(
     return F.when(n >= length, count).otherwise(0).cast("long")
 
 
-def _windows(df: DataFrame, keep, source: Column, last: Column, length: int, stride: int):
-    """``source`` cut at 0, stride, ... up to ``last``; the token array itself is not
-    copied into the rows that come out."""
-    starts = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(stride)))
-    cut = F.transform(
-        starts,
-        lambda i: F.struct(
-            i.alias("start"),
-            F.slice(source, i + 1, length).alias("x"),
-            F.slice(source, i + 2, length).alias("y"),
-        ),
-    )
-    return df.select(*keep, F.inline(cut))
-
-
 def window_starts(
     df: DataFrame, length: int, stride: int, policy: str = "strict",
     keep: tuple[str, ...] = ("doc_id",), n: Column | None = None, max_tokens: int | None = None,
@@ -54,14 +39,27 @@ def window_starts(
     return starts.withColumn("start", (F.col("start") * stride).cast("int"))
 
 
+def _cut(df: DataFrame, keep, length: int, stride: int, policy: str, tokens: str) -> DataFrame:
+    """Slices are taken row by row behind the explode, in the same generated code: the
+    windows of a long text never exist at the same time."""
+    n = F.size(tokens)
+    starts = window_starts(df, length, stride, policy, (*keep, tokens), n)
+    begin = F.col("start")
+    return starts.select(
+        *keep,
+        "start",
+        F.slice(tokens, begin + 1, F.lit(length)).alias("x"),
+        F.slice(tokens, begin + 2, F.lit(length)).alias("y"),
+    )
+
+
 def windows_strict(
     df: DataFrame, length: int, stride: int, keep: tuple[str, ...] = ("doc_id",),
     tokens: str = "tokens",
 ) -> DataFrame:
     """Input windows with always complete targets; texts of up to ``length`` tokens
     give none."""
-    last = F.size(tokens) - length - 1
-    return _windows(df, keep, F.col(tokens), last, length, stride)
+    return _cut(df, keep, length, stride, "strict", tokens)
 
 
 def windows_clipped(
@@ -72,8 +70,7 @@ def windows_clipped(
     may lack its final token: ``target_short``; ``drop_short`` leaves those out."""
     if max_tokens is not None:
         df = df.withColumn(tokens, A.clip(tokens, max_tokens))
-    last = F.size(tokens) - length
-    cut = _windows(df, keep, F.col(tokens), last, length, stride)
+    cut = _cut(df, keep, length, stride, "clipped", tokens)
     cut = cut.withColumn("target_short", F.size("y") < length)
     return cut.where(~F.col("target_short")) if drop_short else cut
 
@@ -94,16 +91,14 @@ def context_pairs(
 ) -> DataFrame:
     """Growing contexts of 1..k tokens, each with the token that follows."""
     last = F.least(F.lit(k), F.size(tokens) - 1)
-    column = F.col(tokens)
-    pairs = F.transform(
-        F.when(last >= 1, F.sequence(F.lit(1), last)),
-        lambda i: F.struct(
-            i.alias("n"),
-            F.slice(column, F.lit(1), i).alias("context"),
-            F.element_at(column, i + 1).alias("target"),
-        ),
+    lengths = F.when(last >= 1, F.sequence(F.lit(1), last))
+    spread = df.select(*keep, tokens, F.explode(lengths).alias("n"))
+    return spread.select(
+        *keep,
+        "n",
+        F.slice(tokens, F.lit(1), F.col("n")).alias("context"),
+        F.element_at(tokens, F.col("n") + 1).alias("target"),
     )
-    return df.select(*keep, F.inline(pairs))
 
 
 # -- counting ----------------------------------------------------------------

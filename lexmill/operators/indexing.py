@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lexmill.session import checkpoint_root
 
-HASH_DIGITS = 3
+HASH_DIGITS = 4
 
 
 def order_key(*keys, seed: int) -> Column:
@@ -68,7 +68,7 @@ def hash_cutoff(df: DataFrame, key: str, n: Column, digits: int = HASH_DIGITS) -
     """One row ``cutoff``: the digest at position ``n`` (from 0) in digest order.
 
     Counting buckets finds the one that holds the position; only that bucket's
-    digests, a 1/4096 share of them, are ranked.
+    digests, one part in 65,536 of them, are ranked.
     """
     keys = df.select(F.col(key).alias("_key"), F.substring(key, 1, digits).alias("_bucket"))
     sizes = keys.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))

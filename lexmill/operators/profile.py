@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from lexmill.functions import patterns as P
 from lexmill.functions import text as X
@@ -48,22 +49,30 @@ def text_metrics(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("do
 
 
 def word_occurrences(df: DataFrame, keys: list[str], text: str, order: str) -> DataFrame:
-    """One row per key and word: count and place of the first occurrence."""
-    exploded = df.select(*keys, order, F.posexplode(X.words(text)).alias("_pos", "item"))
-    return _occurrences(exploded, keys, order)
+    """One row per key and word: count and place of the first occurrence, ``order``
+    telling the texts of a key apart."""
+    return _occurrences(df, keys, X.words(text), order)
 
 
-def special_char_occurrences(df: DataFrame, keys: list[str], text: str, order: str):
-    exploded = df.select(
-        *keys, order, F.posexplode(X.special_chars(text)).alias("_pos", "item")
-    )
-    return _occurrences(exploded, keys, order)
-
-
-def _occurrences(exploded: DataFrame, keys: list[str], order: str) -> DataFrame:
-    return exploded.groupBy(*dict.fromkeys([*keys, "item"])).agg(
-        F.count(F.lit(1)).alias("cnt"),
-        F.min(F.struct(order, "_pos")).alias("first_seen"),
+def special_char_occurrences(
+    df: DataFrame, keys: list[str], text: str, order: str
+) -> DataFrame:
+    return _occurrences(df, keys, X.special_chars(text), order)
+
+
+def _occurrences(df: DataFrame, keys: list[str], items: Column, order: str) -> DataFrame:
+    needed = dict.fromkeys([*keys, order])
+    exploded = df.select(*needed, F.posexplode(items).alias("_pos", "item"))
+    if order in keys:
+        place = F.col("_pos")
+    elif isinstance(df.schema[order].dataType, IntegralType):
+        # Both parts in one number, so that Spark can aggregate by hashing.
+        high = F.col(order).cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)")
+        place = high + F.col("_pos")
+    else:
+        place = F.struct(order, "_pos")
+    return exploded.groupBy(*keys, "item").agg(
+        F.count(F.lit(1)).alias("cnt"), F.min(place).alias("first_seen")
     )
 
 
@@ -86,6 +95,17 @@ def top_k(counted: DataFrame, keys: list[str], k: int = 10) -> DataFrame:
     return ranked.select(*keys, "rank", "item", "cnt")
 
 
+def top_words_per_text(
+    df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 10
+) -> DataFrame:
+    """Most common words of every text, ``key`` being unique.
+
+    Texts are spread by key once; counting and ranking then happen in the same stage,
+    so it is the compact texts that are shuffled, not their words.
+    """
+    return top_k(word_occurrences(df.repartition(key), [key], text, key), [key], k)
+
+
 def metrics_by_group(df: DataFrame, group: str, text: str = "text") -> DataFrame:
     """The nine metrics of a group's texts taken as one unit.
 

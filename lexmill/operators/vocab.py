@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from lexmill.functions import patterns as P
 from lexmill.functions import text as X
 from lexmill.operators.indexing import ordered_index
-from lexmill.operators.lookups import lookup
+from lexmill.operators.lookups import fits_broadcast, lookup
+from lexmill.session import written
 
 
 def token_counts(df: DataFrame, text: str = "text", delimiters: str = P.DELIMITERS_V2):
@@ -88,7 +89,10 @@ def encode(
         raise ValueError(f"unknown policy: {unknown}")
     strict = unknown == "error"
     delimiters = delimiters or (P.DELIMITERS_V1 if strict else P.DELIMITERS_V2)
-    found = lookup(_occurrences(df, key, text, delimiters), vocabulary, ["token"])
+    small = fits_broadcast(vocabulary)
+    # With a small vocabulary the texts are spread by key and only they are shuffled.
+    df = df.repartition(key) if small else df
+    found = lookup(_occurrences(df, key, text, delimiters), vocabulary, ["token"], broadcast=small)
     if strict:
         fallback = F.raise_error(F.concat(F.lit("unknown token: "), F.col("token")))
         fallback = fallback.cast("bigint")
@@ -110,12 +114,13 @@ def decode(
     output: str = "text",
 ) -> DataFrame:
     """Words joined by blanks, then blanks before punctuation removed."""
-    placed = df.select(
+    small = fits_broadcast(vocabulary)
+    placed = (df.repartition(key) if small else df).select(
         F.col(key).alias("_key"),
         F.col(ids).isNull().alias("_null"),
         F.posexplode_outer(ids).alias("_pos", "id"),
     )
-    found = lookup(placed, vocabulary, ["id"])
+    found = lookup(placed, vocabulary, ["id"], broadcast=small)
     failed = F.raise_error(F.concat(F.lit("unknown id: "), F.col("id"))).cast("string")
     missing = F.col("id").isNotNull() & F.col("token").isNull()
     found = found.withColumn("token", F.when(missing, failed).otherwise(F.col("token")))
@@ -145,10 +150,11 @@ def known_documents(
     delimiters: str = P.DELIMITERS_V1,
 ) -> DataFrame:
     """Rows whose words are all in the vocabulary (those strict encoding accepts)."""
-    unknown = unknown_tokens(df, vocabulary, text, delimiters).select("token")
+    unknown = written(unknown_tokens(df, vocabulary, text, delimiters).select("token"))
     found = F.array_distinct(X.split_punct(text, delimiters))
     pairs = df.select(F.col(key).alias("_key"), F.explode(found).alias("token"))
-    bad = pairs.join(unknown, "token", "left_semi").select(F.col("_key").alias(key)).distinct()
+    hits = lookup(pairs, unknown.withColumn("_hit", F.lit(True)), ["token"]).where("_hit")
+    bad = hits.select(F.col("_key").alias(key)).distinct()
     return df.join(bad, key, "left_anti")
 
 
