@@ -167,7 +167,7 @@ def training_examples(spark, folder):
     """,
 )
 def perplexity_report(spark, folder):
-    report = reports.perplexity_report(_raw_and_clean(spark, folder), "id", "source")
+    report = reports.perplexity_report(_raw_and_clean(spark, folder), "source")
     return report.select(
         "source", *[F.round(c, 4).alias(c) for c in ("raw_ppl", "clean_ppl", "improvement")]
     )

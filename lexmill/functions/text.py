@@ -18,6 +18,20 @@ def _drop(text, *patterns: str) -> Column:
     return reduce(lambda c, p: F.regexp_replace(c, p, ""), patterns, _column(text))
 
 
+def upto_last(text, mark: str) -> Column:
+    """The text up to and including the last ``mark``."""
+    column = _column(text)
+    tail = F.length(F.substring_index(column, mark, -1))
+    return F.substr(column, F.lit(1), F.length(column) - tail)
+
+
+def _before_last(text, mark: str, step) -> Column:
+    """Apply ``step`` up to the last ``mark``. What follows cannot hold a match that
+    ends in ``mark``, and searching it would retry from every possible start."""
+    column = _column(text)
+    return F.concat(step(upto_last(column, mark)), F.substring_index(column, mark, -1))
+
+
 # -- normalising -------------------------------------------------------------
 
 
@@ -47,12 +61,12 @@ def drop_html_elements(text) -> Column:
 
 
 def drop_html_comments(text) -> Column:
-    return _drop(text, P.HTML_COMMENT)
+    return _before_last(text, "-->", lambda c: _drop(c, P.HTML_COMMENT))
 
 
 def strip_tags(text) -> Column:
     """Every tag becomes one space."""
-    return F.regexp_replace(_column(text), P.HTML_TAG, " ")
+    return _before_last(text, ">", lambda c: F.regexp_replace(c, P.HTML_TAG, " "))
 
 
 def drop_boilerplate(text) -> Column:
@@ -149,14 +163,6 @@ def percent(part, whole) -> Column:
     return _column(part) / _column(whole) * 100.0
 
 
-def upto_last(text, char: str) -> Column:
-    """The text up to and including the last ``char``. What follows cannot hold a
-    match ending in ``char``, and searching it would retry from every start."""
-    column = _column(text)
-    tail = F.length(F.substring_index(column, char, -1))
-    return F.substr(column, F.lit(1), F.length(column) - tail)
-
-
 # -- tokens ------------------------------------------------------------------
 
 

@@ -46,8 +46,9 @@ def html_text(
         return df.withColumn(output, udfs.parsed_html_text(F.col(text)))
     if parser != "native":
         raise ValueError(f"unknown parser: {parser}")
-    bare = X.strip_tags(X.drop_html_comments(X.drop_html_elements(text)))
-    return unescape_entities(df.withColumn(output, bare), output)
+    for step in (X.drop_html_elements, X.drop_html_comments, X.strip_tags):
+        df, text = df.withColumn(output, step(text)), output
+    return unescape_entities(df, output)
 
 
 def clean_web(

@@ -166,9 +166,7 @@ def split_exact(
     """
     key = order_key(*keys, seed=seed)
     keyed = (df if candidates is None else candidates).select(key.alias("_key"))
-    total = keyed.agg(F.count(F.lit(1))).scalar()
-    size = F.floor(total * F.lit(float(share)))
-    cutoff = hash_cutoff(keyed, "_key", size).agg(F.min("cutoff")).scalar()
+    cutoff = hash_cutoff(keyed, "_key", share).agg(F.min("cutoff")).scalar()
     train = cutoff.isNull() | (key < cutoff)
     return df.withColumn(output, F.when(train, F.lit("train")).otherwise(F.lit("val")))
 

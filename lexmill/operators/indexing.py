@@ -64,18 +64,22 @@ def hash_index(
     )
 
 
-def hash_cutoff(df: DataFrame, key: str, n: Column, digits: int = HASH_DIGITS) -> DataFrame:
-    """One row ``cutoff``: the digest at position ``n`` (from 0) in digest order.
+def hash_cutoff(
+    df: DataFrame, key: str, share: float, digits: int = HASH_DIGITS
+) -> DataFrame:
+    """One row ``cutoff``: the digest at position ``floor(share * rows)`` (from 0) in
+    digest order; no row where that is past the end.
 
     Counting buckets finds the one that holds the position; only that bucket's
     digests, one part in 65,536 of them, are ranked.
     """
     keys = df.select(F.col(key).alias("_key"), F.substring(key, 1, digits).alias("_bucket"))
     sizes = keys.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy()
+    before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     ends = (
         sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .withColumn("_at", n)
+        .withColumn("_at", F.floor(F.sum("_n").over(whole) * F.lit(float(share))))
         .where("_before <= _at and _at < _before + _n")
     )
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_key"))

@@ -15,20 +15,23 @@ from lexmill.session import written
 
 
 def bigram_counts(
-    df: DataFrame, keys: list[str], text: str = "text", max_length: int | None = None
+    df: DataFrame, keys: list[str], text: str = "text", max_length: int | None = None,
+    unique: bool = True,
 ) -> DataFrame:
     """Word pairs per text with their number ``n``, over the whole text or its first
     ``max_length`` words. The first word of a text is never predicted.
 
-    ``keys`` identify a text; texts are spread by them once, and no words are shuffled
-    to count a text's pairs.
+    Keys that identify a text (``unique``) spread the texts once, and no words are
+    shuffled to count a text's pairs. For keys shared by many texts the pairs are
+    counted where the texts lie and combined per (keys, pair), so that no key gathers.
 
     The pairs are written once: model and scores read them several times, and their
     words are not split again each time."""
     words = X.words(text)
     if max_length is not None:
         words = F.slice(words, 1, max_length)
-    spread = df.repartition(*keys).select(*keys, words.alias("_w")).where(F.size("_w") > 1)
+    texts = df.repartition(*keys) if unique else df
+    spread = texts.select(*keys, words.alias("_w")).where(F.size("_w") > 1)
     pairs = F.arrays_zip(
         F.slice("_w", F.lit(1), F.size("_w") - 1).alias("a"),
         F.slice("_w", F.lit(2), F.size("_w") - 1).alias("b"),

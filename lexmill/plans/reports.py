@@ -119,16 +119,16 @@ def training_examples(
 
 
 def perplexity_report(
-    both: DataFrame, key: str, group: str, text: str = "text", max_length: int | None = None
+    both: DataFrame, group: str, text: str = "text", max_length: int | None = None
 ) -> DataFrame:
     """Raw and clean perplexity and the improvement per group.
 
-    ``both`` has (key, group, stage, text); the model is learnt from the raw texts.
+    ``both`` has (group, stage, text); the model is learnt from the raw texts.
     """
-    pairs = scoring.bigram_counts(both, [group, "stage", key], text, max_length)
+    keys = [group, "stage"]
+    pairs = scoring.bigram_counts(both, keys, text, max_length, unique=False)
     model = scoring.bigram_model(pairs, F.col("stage") == "raw")
-    per_group = pairs.groupBy(group, "stage", "a", "b").agg(F.sum("n").alias("n"))
-    scored = scoring.perplexity(scoring.score_pairs(per_group, model), [group, "stage"])
+    scored = scoring.perplexity(scoring.score_pairs(pairs, model), keys)
     raw, clean = (
         scored.where(F.col("stage") == name).select(group, "perplexity")
         for name in ("raw", "clean")

@@ -51,6 +51,9 @@ def test_normalize_twice_is_once(texts):
         (X.squeeze_newlines, "\n\na\n\n\n\nb\n\nc ", "a\n\nb\n\nc"),
         (X.strip, "  a b \x1c\n", "a b"),
         (X.drop_html_comments, "a<!-- x\n<b> -->c", "ac"),
+        (X.drop_html_comments, "a<!-- x --><!-- open <b>", "a<!-- open <b>"),
+        (X.strip_tags, "a<b>c</b\n>d < e <f", "a c d < e <f"),
+        (X.strip_tags, "no tags < here", "no tags < here"),
         (X.drop_html_elements, "a<SCRIPT x>b</b\n</script >c<style>d</style>e", "ace"),
         (X.preview_truncated, "", "(empty)"),
         (X.preview_truncated, "x" * 500, "x" * 500),
@@ -149,6 +152,8 @@ def test_long_runs_stay_linear(texts):
     spaces = "  " * 200_000
     angles = "<" * 400_000
     df = texts(run_, spaces + "x", angles, run_ + "@", "-" + "a-" * 200_000)
+    web = texts("<a" * 200_000, "<!--" * 100_000, "&" * 100_000)
+    assert cleaning.clean_web(web, "text").where("length(clean) > 0").count() == 3
     cleaned = cleaning.clean_pdf(df).select("id", "clean").collect()
     assert {r.id: len(r.clean) for r in cleaned}[0] == 400_000
     measured = df.select(

@@ -55,7 +55,7 @@ def test_mean_batch_loss(spark):
 def test_report_learns_from_raw_texts_only(spark):
     rows = [(1, "s", "raw", "a b a b"), (1, "s", "clean", "a b a z")]
     both = spark.createDataFrame(rows, "id long, source string, stage string, text string")
-    row = reports.perplexity_report(both, "id", "source").first()
+    row = reports.perplexity_report(both, "source").first()
     ab, ba, az = math.log(3 / 4), math.log(2 / 3), math.log(1 / 4)
     assert math.isclose(row.raw_ppl, math.exp(-(2 * ab + ba) / 3))
     assert math.isclose(row.clean_ppl, math.exp(-(ab + ba + az) / 3))

@@ -47,6 +47,17 @@ def test_encode_decode(texts):
     assert column(decoded, "text") == ["a( b, c", "", None, "<|unk|> a <|endoftext|>"]
 
 
+def test_large_vocabulary_gives_the_same_rows(texts, monkeypatch):
+    df = texts("a b, a b. c", "b " * 50, "", None, "q a")
+    vocabulary = vocab.build_vocabulary(texts("a b c , ."))
+    small = vocab.encode(df, vocabulary, "id")
+    expected = column(small, "ids"), column(vocab.decode(small, vocabulary, "id"), "text")
+    monkeypatch.setattr(vocab, "fits_broadcast", lambda right: False)
+    large = vocab.encode(df, vocabulary, "id")
+    found = column(large, "ids"), column(vocab.decode(large, vocabulary, "id"), "text")
+    assert found == expected
+
+
 def test_strict_encoding(texts):
     vocabulary = vocab.build_vocabulary(texts("a b"))
     assert column(vocab.encode(texts("b a"), vocabulary, "id", unknown="error"), "ids") == [[1, 0]]
