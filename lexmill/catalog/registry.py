@@ -31,7 +31,8 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return read_corpus(spark, folder, pattern=f"{name}.parquet")
+    """A table given as one Parquet file or as a folder of them."""
+    return read_corpus(spark, f"{folder}/{name}.parquet")
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,8 +10,9 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from lexmill.catalog import sql as S
-from lexmill.catalog.registry import documents, query, table, tokenized
+from lexmill.catalog.registry import documents, hexed, query, table, tokenized
 from lexmill.functions import patterns as P
+from lexmill.functions import text as X
 from lexmill.operators import stats, vocab
 from lexmill.session import scratch_path
 from lexmill.sources import readers, writers
@@ -19,12 +20,12 @@ from lexmill.sources import readers, writers
 
 @query("scan_corpus", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def scan_corpus(spark, folder):
-    return readers.read_corpus(spark, folder, pattern="documents.parquet")
+    return readers.read_corpus(spark, f"{folder}/documents.parquet")
 
 
 @query("scan_pruned", "SELECT n_chars FROM documents")
 def scan_pruned(spark, folder):
-    return readers.read_corpus(spark, folder, ["n_chars"], "documents.parquet")
+    return readers.read_corpus(spark, f"{folder}/documents.parquet", ["n_chars"])
 
 
 def _measure(frame: pd.DataFrame) -> pd.DataFrame:
@@ -75,12 +76,10 @@ def read_whole_text(spark, folder):
     """,
 )
 def write_text(spark, folder):
-    from lexmill.functions.text import strip
-
     docs = documents(spark, folder)
     stages = F.array(
         F.struct(F.lit("raw").alias("stage"), F.col("text").alias("body")),
-        F.struct(F.lit("clean").alias("stage"), strip("text").alias("body")),
+        F.struct(F.lit("clean").alias("stage"), X.strip("text").alias("body")),
     )
     path = scratch_path(spark, "staged")
     writers.write_text(docs.select("source", F.inline(stages)), path, "body")
@@ -98,8 +97,6 @@ def write_text(spark, folder):
     """,
 )
 def write_tokens(spark, folder):
-    from lexmill.catalog.registry import hexed
-
     path = scratch_path(spark, "tokens")
     table_ = tokenized(spark, folder).withColumnRenamed("source", "src_file")
     table_ = table_.withColumn("token_count", F.size("tokens"))

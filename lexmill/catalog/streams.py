@@ -13,7 +13,9 @@ from lexmill.streaming import jobs
 
 
 def _stream(spark, folder, name="documents"):
-    return jobs.read_stream(spark, folder, jobs.SCHEMAS[name], f"{name}.parquet", 1)
+    # As a pattern, the path may name one file or a folder of files.
+    path = f"{folder}/{name}[.]parquet"
+    return jobs.read_stream(spark, path, jobs.SCHEMAS[name], files_per_trigger=1)
 
 
 @query(
@@ -59,8 +61,7 @@ def stream_windows(spark, folder):
 @query(
     "stream_progress",
     """
-    SELECT source AS src_file, count(*) AS n_rows, sum(n_chars)::BIGINT AS n_tokens,
-           0::BIGINT AS batch_id
+    SELECT source AS src_file, count(*) AS n_rows, sum(n_chars)::BIGINT AS n_tokens
     FROM documents GROUP BY source
     """,
 )
@@ -68,4 +69,7 @@ def stream_progress(spark, folder):
     stream = _stream(spark, folder).select(
         F.col("source").alias("src_file"), F.col("n_chars").alias("token_count")
     )
-    return jobs.stream_progress(stream, *jobs.fresh_paths(spark, "stream-progress"))
+    log = jobs.stream_progress(stream, *jobs.fresh_paths(spark, "stream-progress"))
+    return log.groupBy("src_file").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_tokens").alias("n_tokens")
+    )

@@ -61,7 +61,7 @@ def read_whole_text(spark: SparkSession, path: str) -> DataFrame:
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Names and sizes of files; their content is not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-    return files.load(path).select("path", "length")
+    return files.option("recursiveFileLookup", "true").load(path).select("path", "length")
 
 
 def with_extension(df: DataFrame, *extensions: str, path: str = "path") -> DataFrame:
