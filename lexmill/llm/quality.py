@@ -1,7 +1,7 @@
 """Quality rules: exact counts of a text, and a calibrated classifier of its words.
 
-The classifier is a logistic regression over hashed words, word pairs and character
-n-grams (four and five bytes of a word), trained on labelled texts and calibrated by a
+The classifier is a logistic regression over hashed words, word pairs and
+character n-grams (four and five bytes), trained on labelled texts and calibrated by a
 logistic curve on a quarter of them that its weights never saw. Texts are scored whole in
 Arrow batches; a text is kept if its probability of good quality is at least
 ``THRESHOLD`` and no base rule fails.
@@ -75,63 +75,26 @@ def counts(text: str | None) -> tuple[int, ...]:
     return (len(words), chars, len(_SYMBOLS.findall(text)), len(lines) - len(set(lines)), repeated_words(words))
 
 
-MASK, SHIFT = (1 << LOG_FEATURES) - 1, np.uint64(64 - LOG_FEATURES)
-CACHE = 200_000  # words a task remembers
-
-
-def word_features(word: bytes) -> list[int]:
-    """Digest of a word, then the places of the word and of its character n-grams."""
-    low = word.lower()
-    edged = b"<" + low + b">"
-    code = digest(low)
-    grams = [digest(edged[j : j + k]) & MASK for k in (4, 5) for j in range(len(edged) - k + 1)]
-    return [code, code & MASK, *grams]
-
-
-def pair_features(codes: np.ndarray) -> np.ndarray:
-    return ((codes[:-1] * _ODD[0] + codes[1:] * _ODD[1]) >> SHIFT).astype(np.int32)
+SHIFT = np.uint64(64 - LOG_FEATURES)
+ORDERS = (4, 5)
 
 
 def features(words: list[bytes]) -> np.ndarray:
-    """Places of all features of a text, with repeats."""
-    found = [word_features(w) for w in words]
-    places = [f for word in found for f in word[1:]]
-    codes = np.array([word[0] for word in found], np.uint64)
-    return np.concatenate([np.array(places, np.int32), pair_features(codes)])
-
-
-class WordSums:
-    """Sums of weights per word, remembered, so that scoring a text is a look-up per
-    word."""
-
-    def __init__(self, weights: np.ndarray):
-        self.weights, self.places = weights, {}
-        self.codes, self.sums, self.sizes = [np.zeros(CACHE, t) for t in (np.uint64, np.float64, np.int64)]
-
-    def mean(self, words: list[bytes]) -> float:
-        """Mean weight of a text's features; very long texts part by part."""
-        if not words:
-            return 0.0
-        codes, total, size = [], 0.0, 0
-        for start in range(0, len(words), CACHE // 2):
-            at = self._places(words[start : start + CACHE // 2])
-            codes.append(self.codes[at])
-            total += float(self.sums[at].sum())
-            size += int(self.sizes[at].sum())
-        pairs = pair_features(np.concatenate(codes))
-        return (total + float(self.weights[pairs].sum(dtype=np.float64))) / (size + len(pairs))
-
-    def _places(self, words: list[bytes]) -> np.ndarray:
-        new = set(words).difference(self.places)
-        if len(self.places) + len(new) > CACHE:
-            self.places.clear()
-            new = set(words)
-        for word in new:
-            code, *found = word_features(word)
-            at = self.places[word] = len(self.places)
-            self.codes[at], self.sizes[at] = code, len(found)
-            self.sums[at] = self.weights[found].sum(dtype=np.float64)
-        return np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+    """Places of all features of a text, with repeats: words, word pairs, and n-grams of
+    the bytes of its lower-cased words between single spaces."""
+    if not words:
+        return np.zeros(0, np.int32)
+    low = b" ".join(words).lower()
+    codes = np.fromiter(map(digest, low.split(b" ")), np.uint64, len(words))
+    made = [codes, codes[:-1] * _ODD[0] + codes[1:] * _ODD[1]]
+    text = np.frombuffer(b" " + low + b" ", np.uint8).astype(np.uint64)
+    for order in ORDERS:
+        n = max(len(text) - order + 1, 0)
+        code = text[:n].copy()
+        for i in range(1, order):
+            code = (code << np.uint64(8)) | text[i : i + n]
+        made.append((code + np.uint64(order)) * _ODD[2])
+    return (np.concatenate(made) >> SHIFT).astype(np.int32)
 
 
 @dataclass
@@ -247,14 +210,15 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        sums = WordSums(model.weights)
         for batch in batches:
             rows = []
             for body in batch.column(text).to_pylist():
                 found = counts(body)
                 n, repeats = found[0], found[4]
                 failed = n < MIN_WORDS or 100 * repeats > REPEAT_PERCENT * n
-                p = float(model.probability(sums.mean(words_of(body)) + model.bias))
+                places = features(words_of(body))
+                mean = float(model.weights[places].sum(dtype=np.float64)) / max(len(places), 1)
+                p = float(model.probability(mean + model.bias))
                 rows.append((*found, failed, p, not failed and p >= threshold))
             columns = list(zip(*rows)) or [()] * len(RESULT)
             made = [pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()])]
