@@ -8,11 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import bpe, langid, packing, quality, secrets
+from lexmill.llm import bpe, langid, lm_score, packing, quality, secrets, substrings
 from lexmill.llm.common import remainder, small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
@@ -97,3 +98,24 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = _documents(spark, folder, "doc_id", "text")
     model = quality.train(docs, table(spark, folder, "labels"))
     return quality.score(docs, model).drop("text")
+
+
+LM_FOLDS, LM_HELD_OUT = 7, 2
+
+
+@query
+def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder, "doc_id", "text")
+    learn = not_held_out(LM_FOLDS, LM_HELD_OUT)
+    found = lm_score.score(docs, tokenizer_file("piece_bpe_32k.model"), learn)
+    return found.withColumn("held_out", ~learn)
+
+
+@query
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.dedup(_documents(spark, folder, "doc_id", "text"))
+    kept = F.array_join(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), " ")
+    return found.select(
+        "doc_id", "n_words", "n_removed",
+        F.sha2(F.coalesce(kept, F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
