@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import bpe, langid, lm_score, packing, quality, secrets, substrings
+from lexmill.llm import (
+    bpe, langid, lm_score, ngram_join, packing, quality, secrets, substrings,
+)
 from lexmill.llm.common import remainder, small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +121,15 @@ def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_removed",
         F.sha2(F.coalesce(kept, F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+@query
+def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = ngram_join.link(_documents(spark, folder, "doc_id", "text"), 3, 90)
+
+    def given(name: str):
+        return F.when(F.col(name) < (1 << 63) - 1, F.col(name))
+
+    return found.select(
+        given("doc").alias("doc_id"), "n_shingles", given("component_id").alias("component_id")
+    )
