@@ -14,6 +14,11 @@ windows whose anchor occurs in two documents or more can be repeated. Anchors ar
 over the whole corpus; a bitmap of fixed size (``LOG_BITS``) tells the workers which may be
 repeated. A full bitmap costs shuffling, never results.
 
+What may be repeated goes in runs first: consecutive windows with one anchor, at most
+``RUN`` of them. Equal runs are compared as wholes, so the inside of a copied passage costs a
+row per run. Only where an anchor has runs of different words, as at the ends of
+passages, single windows are compared.
+
 Documents are compared by id; a null id counts as the largest. Documents of the same id
 are not earlier than each other and are treated row by row. Null and empty texts have no words.
 Windows are compared by 96 bits of digest.
@@ -36,6 +41,7 @@ from lexmill.session import written
 
 WINDOW = 13
 ANCHOR = 6
+RUN = WINDOW - ANCHOR + 1
 LOG_BITS = 27
 LOG_ROW_BITS = 24
 _FIRST, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -94,8 +100,43 @@ def repeated_anchors(texts: DataFrame, log_bits: int = LOG_BITS) -> Bits:
     return bitmap(counted.where("n > 1"), "key", log_bits)
 
 
+def _table(made: list[tuple], kinds: str, names: list[str]) -> pa.RecordBatch:
+    columns = [np.concatenate(c) for c in zip(*made)] if made else [np.zeros(0, t) for t in kinds]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+
+def runs_of(codes: np.ndarray, bits: Bits) -> tuple[np.ndarray, ...]:
+    """Runs of a document whose anchors may be repeated: anchor, digest of all words, first
+    window and number of windows. First and last window overlap, so they give all words."""
+    anchors = window_anchors(codes)
+    n = len(anchors)
+    change = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
+    begun = np.repeat(change, np.diff(np.r_[change, n]))
+    starts = np.flatnonzero((np.arange(n) - begun) % RUN == 0)
+    sizes = np.diff(np.r_[starts, n])
+    keep = bits.has(anchors[starts])
+    starts, sizes = starts[keep], sizes[keep]
+    first = rolled(codes, WINDOW, _FIRST) if len(starts) else anchors
+    whole = mixed(first[starts] * _SECOND + first[starts + sizes - 1] + sizes.astype(np.uint64))
+    return anchors[starts].view(np.int64), whole.view(np.int64), starts.astype(np.int32), sizes.astype(np.int32)
+
+
+def _runs(texts: DataFrame, bits) -> DataFrame:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for key, text in zip(batch.column("_d").to_pylist(), batch.column("_t").to_pylist()):
+                words = words_of(text)
+                if len(words) >= WINDOW:
+                    anchors, whole, starts, sizes = runs_of(codes_of(words), bits.value)
+                    made.append((anchors, whole, np.full(len(starts), key, np.int64), starts, sizes))
+            yield _table(made, "lllii", ["a", "r", "doc", "pos", "n"])
+
+    return texts.mapInArrow(find, "a long, r long, doc long, pos int, n int")
+
+
 def _windows(texts: DataFrame, bits) -> DataFrame:
-    """Windows that may be repeated: digests, document, row and position."""
+    """Windows whose anchors are marked: digests, document and position."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,42 +150,48 @@ def _windows(texts: DataFrame, bits) -> DataFrame:
                 if len(at):
                     first, second = rolled(codes, WINDOW, _FIRST)[at], rolled(codes, WINDOW, _SECOND)[at]
                     made.append((first.view(np.int64), (second >> np.uint64(32)).astype(np.uint32).view(np.int32),
-                                 np.full(len(at), key), at.astype(np.int32)))
-            columns = [np.concatenate(c) for c in zip(*made)] if made else [np.zeros(0, t) for t in "lili"]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "g", "doc", "pos"])
+                                 np.full(len(at), key, np.int64), at.astype(np.int32)))
+            yield _table(made, "lili", ["h", "g", "doc", "pos"])
 
     return texts.mapInArrow(find, "h long, g int, doc long, pos int")
 
 
-def copied_windows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc``, ``pos``: windows that an earlier document holds, with ``ref_doc`` and ``ref_pos``,
-    their first place in the corpus."""
-    texts = docs.select(number_id(key).alias("_d"), F.col(text).alias("_t"))
-    bits = docs.sparkSession.sparkContext.broadcast(repeated_anchors(texts))
-    windows = _windows(texts, bits)
-    index = (
-        windows.groupBy("h", "g")
-        .agg(F.min(F.struct("doc", "pos")).alias("ref"), F.max("doc").alias("last"))
-        .where("last > ref.doc")
-        .select("h", "g", F.col("ref.doc").alias("ref_doc"), F.col("ref.pos").alias("ref_pos"))
-    )
-    return (
-        windows.join(index, ["h", "g"]).where("doc > ref_doc")
-        .select("doc", "pos", "ref_doc", "ref_pos").distinct()
-    )
+def _firsts(rows: DataFrame, *by: str) -> DataFrame:
+    """The first place of each key, and the last document that holds it."""
+    found = rows.groupBy(*by).agg(F.min(F.struct("doc", "pos")).alias("ref"), F.max("doc").alias("last"))
+    return found.select(*by, F.col("ref.doc").alias("ref_doc"), F.col("ref.pos").alias("ref_pos"), "last")
 
 
-def parse(starts: list[int], refs: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
-    """Greedy factors of a document from its copied windows in order: (first word, end,
-    reference document, its first word)."""
-    out = []
-    for at, (doc, pos) in zip(starts, refs):
+def copied_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc``, ``pos``, ``n``: runs of windows that an earlier document holds, with ``ref_doc`` and
+    ``ref_pos``, their first place in the corpus."""
+    context = docs.sparkSession.sparkContext
+    texts = docs.select(number_id(key).alias("_d"), F.col(text).alias("_t"))
+    runs = written(_runs(texts, context.broadcast(repeated_anchors(texts))), "runs")
+    first = written(_firsts(runs, "a", "r"), "run-index")
+    several = first.groupBy("a").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    windows = written(_windows(texts, context.broadcast(bitmap(several, "a", LOG_BITS))), "windows")
+    place = ["doc", "pos", "n", "ref_doc", "ref_pos"]
+    whole = runs.join(first.where("last > ref_doc"), ["a", "r"]).where("doc > ref_doc").select(*place)
+    index = _firsts(windows, "h", "g").where("last > ref_doc")
+    single = windows.join(index, ["h", "g"]).where("doc > ref_doc").withColumn("n", F.lit(1)).select(*place)
+    return whole.unionByName(single)
+
+
+def parse(copied: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Greedy factors of a document from its copied runs (position, windows, reference
+    document, position there): (first word, end, reference document, its first word)."""
+    out: list[tuple[int, int, int, int]] = []
+    for at, n, doc, pos in sorted(copied, key=lambda c: (c[0], -c[1])):
+        end = at + n + WINDOW - 1
         if out:
-            first, end, ref, ref_first = out[-1]
-            if doc == ref and end == at + WINDOW - 1 and pos - ref_first == at - first:
-                out[-1] = (first, end + 1, ref, ref_first)
+            first, last, ref, ref_first = out[-1]
+            if end <= last:
+                continue
+            if doc == ref and at <= last - WINDOW + 1 and pos - ref_first == at - first:
+                out[-1] = (first, end, ref, ref_first)
                 continue
-        out.append((at, at + WINDOW, doc, pos))
+        out.append((at, end, doc, pos))
     return out
 
 
@@ -160,12 +207,12 @@ def factors(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
         for batch in batches:
             made = []
             for row in batch.column("w").to_pylist():
-                found = parse([w["pos"] for w in row], [(w["ref_doc"], w["ref_pos"]) for w in row])
+                found = parse([(w["pos"], w["n"], w["ref_doc"], w["ref_pos"]) for w in row])
                 made.append([dict(zip(("start", "end", "ref_doc", "ref_start"), f)) for f in found])
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(made, kind)], ["doc", "factors"])
 
-    grouped = copied_windows(docs, key, text).groupBy("doc").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "ref_doc", "ref_pos"))).alias("w")
+    grouped = copied_runs(docs, key, text).groupBy("doc").agg(
+        F.collect_list(F.struct("pos", "n", "ref_doc", "ref_pos")).alias("w")
     )
     return grouped.mapInArrow(apply, f"doc long, factors {FACTOR}")
 
