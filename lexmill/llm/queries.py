@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.llm import (
-    bpe, langid, lm_score, ngram_join, packing, quality, secrets, substrings,
+    bpe, langid, lm_score, neighbours, ngram_join, packing, quality, secrets, substrings, suffixes,
 )
 from lexmill.llm.common import remainder, small_batches, table
 
@@ -133,3 +133,22 @@ def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         given("doc").alias("doc_id"), "n_shingles", given("component_id").alias("component_id")
     )
+
+
+@query
+def op1_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("id") % 50 == 0)
+
+
+@query
+def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.dedup(_documents(spark, folder, "doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        (F.octet_length("kept") + removed).cast("long").alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
