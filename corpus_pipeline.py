@@ -49,7 +49,11 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their ids and their places in sequences."""
     small_batches(spark)
-    found = packing.pieces(docs, queries.tokenizer_file("byte_bpe_50k.json"))
+    import public_tokenizers
+
+    found = packing.pieces(
+        docs, queries.tokenizer_file("byte_bpe_50k.json"), public_tokenizers.PATTERN
+    )
     return packing.pack(found)
 
 

@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHE = 300_000
-
+from lexmill.llm.wordcache import TextEncoder
 
 class RankQueue:
-    """Waiting pairs by rank; empty again after every use."""
+    """Waiting pairs by rank: bitmaps of 64-bit words in three levels, and a bucket of places
+    for each rank. Empty again after every use."""
 
     def __init__(self, ranks: int):
         self.low = [0] * ((ranks >> 6) + 1)
@@ -40,41 +40,40 @@ class RankQueue:
             heapq.heappush(bucket, place)
             return
         self.buckets[rank] = [place]
-        self.low[rank >> 6] |= 1 << (rank & 63)
-        self.mid[rank >> 12] |= 1 << (rank >> 6 & 63)
-        self.top |= 1 << (rank >> 12)
-
-    def pop(self) -> tuple[int, int] | None:
-        """Least rank, and the leftmost of its places."""
+        word = rank >> 6
+        if not self.low[word]:
+            if not self.mid[rank >> 12]:
+                self.top |= 1 << (rank >> 12)
+            self.mid[rank >> 12] |= 1 << (word & 63)
+        self.low[word] |= 1 << (rank & 63)
+
+    def take(self) -> tuple[int, list[int]]:
+        """Least rank and its bucket, by find-first-set on each level; there must be one."""
         top = self.top
-        if not top:
-            return None
         a = (top & -top).bit_length() - 1
         word = self.mid[a]
         b = a << 6 | (word & -word).bit_length() - 1
         word = self.low[b]
         rank = b << 6 | (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        place = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[b] &= self.low[b] - 1
-            if not self.low[b]:
-                self.mid[a] &= self.mid[a] - 1
-                if not self.mid[a]:
-                    self.top &= self.top - 1
-        return rank, place
+        word &= word - 1
+        self.low[b] = word
+        if not word:
+            word = self.mid[a] = self.mid[a] & (self.mid[a] - 1)
+            if not word:
+                self.top = top & (top - 1)
+        return rank, self.buckets.pop(rank)
 
 
 class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        import regex
-
-        self.ranks, self.match = ranks, regex.compile(pattern).findall
+        self.ranks = ranks
         self.queue = RankQueue(max(ranks.values(), default=0) + 1)
         self.bytes = {i: token for token, i in ranks.items()}
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.texts = TextEncoder(pattern, self._matches).texts
+
+    def _matches(self, matches: list[str]) -> list[bytes]:
+        found = [self.merge(m.encode("utf-8", "surrogatepass")) for m in matches]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one match."""
@@ -82,94 +81,50 @@ class Encoder:
         whole = ranks.get(piece)
         if whole is not None:
             return [whole]
-        get, push, pop = ranks.get, self.queue.push, self.queue.pop
+        get, queue = ranks.get, self.queue
+        push, take = queue.push, queue.take
         after, before = list(range(1, n + 2)), list(range(-1, n + 1))
-        waiting: list[int | None] = [None] * (n + 1)  # rank of the pair that starts here
-        for i in range(n - 1):
-            rank = get(piece[i : i + 2])
+        # Rank of the pair that starts here; a place is stale once it has another.
+        waiting: list[int | None] = [get(piece[i : i + 2]) for i in range(n - 1)] + [None, None]
+        for i, rank in enumerate(waiting):
             if rank is not None:
-                waiting[i] = rank
                 push(rank, i)
-        while (found := pop()) is not None:
-            rank, i = found
-            if waiting[i] != rank:
-                continue
-            j = after[i]
-            waiting[j] = None
-            k = after[i] = after[j]
-            before[k] = i
-            if k < n:
-                waiting[i] = rank = get(piece[i : after[k]])
-                if rank is not None:
-                    push(rank, i)
-            else:
-                waiting[i] = None
-            if i:
-                h = before[i]
-                waiting[h] = rank = get(piece[h:k])
-                if rank is not None:
-                    push(rank, h)
+        while queue.top:
+            rank, bucket = take()
+            while bucket:
+                i = heapq.heappop(bucket)
+                if waiting[i] != rank:
+                    continue
+                lower = False  # a merge may make a pair of lower or equal rank, which is next
+                j = after[i]
+                waiting[j] = None
+                k = after[i] = after[j]
+                before[k] = i
+                waiting[i] = new = get(piece[i : after[k]]) if k < n else None
+                if new is not None:
+                    push(new, i)
+                    lower = new <= rank
+                if i:
+                    h = before[i]
+                    waiting[h] = new = get(piece[h:k])
+                    if new is not None:
+                        push(new, h)
+                        lower = lower or new <= rank
+                if lower:
+                    for place in bucket:
+                        push(rank, place)
+                    break
         out, i = [], 0
         while i < n:
             out.append(ranks[piece[i : after[i]]])
             i = after[i]
         return out
 
-    def _plain(self, text: str) -> bytes:
-        """Ids of a text, match by match."""
-        known, out = self.pieces, []
-        for piece in self.match(text):
-            ids = known.get(piece)
-            if ids is None:
-                found = self.merge(piece.encode("utf-8"))
-                ids = struct.pack(f"<{len(found)}I", *found)
-                if len(piece) < 64:
-                    known[piece] = ids
-            out.append(ids)
-        if len(known) > CACHE:
-            known.clear()
-        return b"".join(out)
-
-    def encode(self, text: str) -> bytes:
-        """Ids of a whole text, little-endian 32-bit. A single space between other
-        characters always begins a match, so the words between are looked up."""
-        known, out = self.words, []
-        parts = text.split(" ")
-        group: str | None = parts[0]  # what waits for its end: it ends in white space
-        for part in parts[1:]:
-            if group is not None:
-                if not _closed(group):
-                    group += " " + part
-                    continue
-                out.append(self._plain(group))
-                group = None
-            ids = known.get(part)
-            if ids is not None:
-                out.append(ids)
-            elif _closed(part):
-                ids = self._plain(" " + part)
-                if len(part) < 64:
-                    known[part] = ids
-                out.append(ids)
-            else:
-                group = " " + part
-        if group is not None:
-            out.append(self._plain(group))
-        if len(known) > CACHE:
-            known.clear()
-        return b"".join(out)
-
     def decode(self, ids: bytes) -> bytes:
         table = self.bytes
         return b"".join([table[i] for i in struct.unpack(f"<{len(ids) // 4}I", ids)])
 
 
-def _closed(part: str) -> bool:
-    """Whether a match surely ends with this part: no match goes on from another character
-    into white space."""
-    return bool(part) and not part[-1].isspace()
-
-
 @functools.cache
 def encoder(path: str, pattern: str) -> Encoder:
     """The worker's encoder for a file of base64 tokens and ranks."""
@@ -184,11 +139,9 @@ def _add(docs: DataFrame, source: str, output: str, kind: T.DataType, of) -> Dat
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = pa.array([of(x) for x in batch.column(source).to_pylist()])
-            if not len(made):
-                made = pa.array([], pa.binary())
+            made = pa.array(of(batch.column(source).to_pylist()), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns), made.cast(pa.binary())], [*columns, output]
+                [*(batch.column(c) for c in columns), made], [*columns, output]
             )
 
     return docs.mapInArrow(apply, schema)
@@ -196,9 +149,9 @@ def _add(docs: DataFrame, source: str, output: str, kind: T.DataType, of) -> Dat
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", output: str = "ids") -> DataFrame:
     """Adds the ids of each whole text as binary, four little-endian bytes an id."""
-    return _add(docs, text, output, T.BinaryType(), lambda t: encoder(path, pattern).encode(t or ""))
+    return _add(docs, text, output, T.BinaryType(), lambda ts: encoder(path, pattern).texts([t or "" for t in ts]))
 
 
 def decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids", output: str = "decoded") -> DataFrame:
     """Adds the bytes that the ids stand for; null ids are none."""
-    return _add(docs, ids, output, T.BinaryType(), lambda b: encoder(path, pattern).decode(b or b""))
+    return _add(docs, ids, output, T.BinaryType(), lambda ids: [encoder(path, pattern).decode(i or b"") for i in ids])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +9,6 @@ from pyspark.sql import functions as F
 
 BATCH_ROWS = 256
 BATCH_BYTES = 16 << 20
-WORD_BYTES = b" \t\n\x0b\x0c\r"  # bytes.split() splits at exactly these
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,13 +32,6 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-def slices(flat: list, sizes: list[int]) -> Iterator[list]:
-    at = 0
-    for size in sizes:
-        yield flat[at : at + size]
-        at += size
-
-
 def number_id(name: str = "doc_id"):
     """An id to compare by: null counts as the largest."""
     return F.coalesce(F.col(name).cast("long"), F.lit((1 << 63) - 1))

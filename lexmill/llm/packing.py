@@ -15,6 +15,8 @@ one. An empty table gives an empty result. Columns asked for by ``carry`` are ke
 from __future__ import annotations
 
 import functools
+import os
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,76 +24,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import slices, texts_of
+from lexmill.llm.common import texts_of
+from lexmill.llm.wordcache import TextEncoder
 from lexmill.session import written
 
 WINDOW = 1024
 END_ID = 0
 BUCKETS = 1024
-CACHE = 400_000  # distinct words a worker remembers
 
 
 @functools.cache
-def _tokenizer(path: str):
+def encoder(path: str, pattern: str) -> TextEncoder:
+    """The worker's encoder; ``pattern`` is the one by which the tokenizer splits texts."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_file(path)
     made.encode_special_tokens = True  # their strings in a text are ordinary text
-    return made
-
-
-def _ids(path: str, parts: list[str]) -> list[bytes]:
-    found = _tokenizer(path).encode_batch_fast(parts, add_special_tokens=False)
-    return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-
-def _closed(part: str) -> bool:
-    """Whether a text may be cut behind this part: no match of the pre-tokenizer goes on
-    from another character into white space."""
-    return bool(part) and not part[-1].isspace()
-
-
-_caches: dict[str, dict[str, bytes]] = {}
-
-
-def encode_texts(texts: list[str], path: str) -> list[bytes]:
-    """Ids of whole texts as little-endian 32-bit integers. Words between single spaces
-    are encoded once per worker and remembered."""
-    known = _caches.setdefault(path, {})
-    parts = [t.split(" ") for t in texts]
-    new = {p for ps in parts for p in ps}.difference(known)
-    if len(known) + len(new) > CACHE:
-        new.update(p for ps in parts for p in ps)
-        known.clear()
-    fresh = [p for p in new if _closed(p)]
-    known.update(zip(fresh, _ids(path, [" " + p for p in fresh])))
-    heads = _ids(path, [ps[0] for ps in parts])
-    out = []
-    for text, ps, head in zip(texts, parts, heads):
-        found = [known.get(p) for p in ps[1:]]
-        if None in found or not _closed(ps[0]):
-            out.append(_mixed(ps, known, path) if text else b"")
-        else:
-            out.append(head + b"".join(found))
-    return out
 
+    def ids(matches: list[str]) -> list[bytes]:
+        found = made.encode_batch_fast(matches, add_special_tokens=False)
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
 
-def _mixed(parts: list[str], known: dict[str, bytes], path: str) -> bytes:
-    """As above for a text with white space beside spaces: a part that ends in white space
-    stays together with the next."""
-    out, group = [], parts[0]
-    for part in parts[1:]:
-        if _closed(group):
-            out.append(known.get(group[1:]) if group[:1] == " " else None)
-            out[-1] = out[-1] or _ids(path, [group])[0]
-            group = " " + part
-        else:
-            group += " " + part
-    out.append(_ids(path, [group])[0])
-    return b"".join(out)
+    return TextEncoder(pattern, ids)
 
 
-def pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
+def pieces(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text",
            window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """``key``, ``start``, ``length``, ``ids`` (binary, little-endian 32 bit) and
     ``doc_tokens`` of each piece: full windows, and one shorter rest where ids are left."""
@@ -101,7 +59,7 @@ def pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, start, length, ids, total = [], [], [], [], []
-            for i, found in enumerate(encode_texts(texts_of(batch, "_text"), path)):
+            for i, found in enumerate(encoder(path, pattern).texts(texts_of(batch, "_text"))):
                 found += end
                 n = len(found) // 4
                 for at in range(0, n, window):

@@ -40,8 +40,11 @@ def _documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
 @query
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
     found = packing.pieces(
-        _documents(spark, folder, "doc_id", "text"), tokenizer_file("byte_bpe_50k.json")
+        _documents(spark, folder, "doc_id", "text"),
+        tokenizer_file("byte_bpe_50k.json"), public_tokenizers.PATTERN,
     )
     found = found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.pack(found)
