@@ -30,7 +30,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.taskcontext import TaskContext
 
 from lexmill.llm.common import words_of
 from lexmill.session import written
@@ -197,13 +196,12 @@ def score(docs: DataFrame, path: str, learn: Column, key: str = "doc_id", text:
         at = {w: i for i, w in enumerate(names)}
         base = np.r_[np.log10((c + 1) / spare), 0.0]
         known, lm = np.r_[c > 0, False], np.r_[lm, 0.0]
-        number = TaskContext.get().partitionId() << 40
         for batch in batches:
             rows, ids, words_, ns, knowns, bases, scores = [], [], [], [], [], [], []
+            numbers = batch.column("_row").to_pylist()
             for i, body in enumerate(batch.column("_t").to_pylist()):
-                found = words(body)
+                found, number = words(body), numbers[i]
                 places = np.fromiter((at.get(w, -1) for w in found), np.int64, len(found))
-                number += 1
                 rows.append(i)
                 ids.append(number)
                 words_.append(None)
@@ -233,7 +231,9 @@ def score(docs: DataFrame, path: str, learn: Column, key: str = "doc_id", text:
         T.StructField("n", T.LongType()), T.StructField("known", T.LongType()),
         T.StructField("base", T.DoubleType()), T.StructField("sub", T.DoubleType()),
     ])
-    found = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).mapInArrow(look_up, schema)
+    # The row's number comes from the scan's own partition, whatever stage it runs in.
+    numbered = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).withColumn("_row", F.monotonically_increasing_id())
+    found = numbered.mapInArrow(look_up, schema)
     whole = found.where("word is null").select("_k", "_row", "n", "known", "base", "sub")
     rest = found.where("word is not null").select("_k", "_row", "word", "n").join(vocabulary, "word")
     rest = rest.select(

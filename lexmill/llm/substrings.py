@@ -33,7 +33,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.taskcontext import TaskContext
 from xxhash import xxh3_64_intdigest as digest
 
 from lexmill.llm.common import Bits, bitmap, number_id, words_of
