@@ -89,14 +89,16 @@ def exact_examples(spark, folder):
 @query(
     "estimate_examples",
     f"""
-    WITH s AS (SELECT source, doc_id, least(octet_length(encode(text)), 2000) AS n FROM documents),
+    WITH e AS (SELECT source, doc_id, octet_length(encode(text)) AS whole FROM documents),
+    s AS (SELECT source, doc_id, least(whole, 2000) AS n FROM e),
     w AS (SELECT source, doc_id, CASE WHEN n >= {L} THEN (n - {L}) // {STRIDE} + 1 ELSE 0 END AS w
           FROM s),
     f AS (SELECT min(source) AS f FROM w),
     c AS (SELECT sum(w) AS w FROM (SELECT w FROM w, f WHERE source = f ORDER BY doc_id LIMIT 50))
     SELECT (c.w * ceil((SELECT count(*) FROM w, f WHERE source = f) / 50)
             * (SELECT count(DISTINCT source) FROM w))::BIGINT AS estimated,
-           (SELECT sum(w) FROM w)::BIGINT AS exact
+           (SELECT sum(CASE WHEN whole >= {L} THEN (whole - {L}) // {STRIDE} + 1 ELSE 0 END)
+            FROM e)::BIGINT AS exact
     FROM c
     """,
 )

@@ -125,12 +125,11 @@ def concat_pages(spark, folder):
     "missing_source_default",
     f"""
     SELECT d.doc_id, coalesce(c.text, {S.q(P.MISSING_TEXT)}) AS text
-    FROM documents d LEFT JOIN (SELECT * FROM conversations WHERE turn = 0) c
-      ON c.conv_id = d.doc_id
+    FROM documents d LEFT JOIN conversations c ON c.conv_id = d.doc_id
     """,
 )
 def missing_source_default(spark, folder):
-    found = table(spark, folder, "conversations").where("turn = 0")
+    found = table(spark, folder, "conversations")
     found = found.select(F.col("conv_id").alias("doc_id"), "text")
     return readers.fill_missing(documents(spark, folder).select("doc_id"), found, "doc_id")
 

@@ -15,7 +15,7 @@ from lexmill.streaming import jobs
 def _stream(spark, folder, name="documents"):
     # As a pattern, the path may name one file or a folder of files.
     path = f"{folder}/{name}[.]parquet"
-    return jobs.read_stream(spark, path, jobs.SCHEMAS[name], files_per_trigger=1)
+    return jobs.read_stream(spark, path, jobs.SCHEMAS[name])
 
 
 @query(

@@ -120,17 +120,19 @@ def estimate_examples(
     chunk: int = 50, max_tokens: int = 2000, n: Column | None = None,
 ) -> DataFrame:
     """Extrapolated window count: windows of the first chunk of the first file, times
-    the chunks of that file, times the files. Next to it the exact count."""
+    the chunks of that file, times the files; ``max_tokens`` of a text count for it. Next
+    to it the exact count, of whole texts."""
     n = F.size("tokens") if n is None else n
     name = F.lit("") if file is None else F.col(file)
     sized = df.select(name.alias("f"), F.col(order).alias("o"),
-                      window_count(n, length, stride, "clipped", max_tokens).alias("w"))
+                      window_count(n, length, stride, "clipped", max_tokens).alias("w"),
+                      window_count(n, length, stride, "clipped").alias("whole"))
     per_file = sized.groupBy("f").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum("w").alias("w")
+        F.count(F.lit(1)).alias("n_rows"), F.sum("whole").alias("whole")
     )
     overall = per_file.agg(
         F.count(F.lit(1)).alias("files"),
-        F.sum("w").alias("exact"),
+        F.sum("whole").alias("exact"),
         F.min_by("n_rows", "f").alias("first_rows"),
         F.min("f").alias("first_file"),
     )

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.session import checkpoint_root
+from lexmill.session import written
 
 HASH_DIGITS = 4
 
@@ -97,13 +97,12 @@ def _ranged(df: DataFrame, order: list[str]) -> DataFrame:
     Written to the checkpoint folder: the ranges come from sampling, so both readers
     below must see the very same ones, also when an executor is lost in between.
     """
-    checkpoint_root(df.sparkSession)
-    return (
+    return written(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
-        .withColumn("_place", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
-        .checkpoint()
+        .withColumn("_place", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)),
+        "ranges",
     )
 
 

@@ -22,15 +22,22 @@ def byte_ranks() -> dict[bytes, int]:
 
 
 def load_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
-    """Read a rank file (base64 token, blank, rank per line) of checked size."""
+    """Read a rank file (base64 token, blank, rank per line) of checked size. A token or a
+    rank that is listed twice is an error."""
     fields = F.split("value", " ")
     lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
     rows = lines.select(
         F.unbase64(fields[0]).alias("token"), fields[1].cast("int").alias("rank")
     ).limit(MAX_RANKS + 1)
-    ranks = {bytes(r.token): r.rank for r in rows.toLocalIterator()}
-    if len(ranks) > MAX_RANKS:
-        raise ValueError(f"rank table has more than {MAX_RANKS} entries")
+    ranks: dict[bytes, int] = {}
+    for lines_read, row in enumerate(rows.toLocalIterator(), 1):
+        if lines_read > MAX_RANKS:
+            raise ValueError(f"rank table has more than {MAX_RANKS} entries")
+        if bytes(row.token) in ranks:
+            raise ValueError(f"rank table lists a token twice: {bytes(row.token)!r}")
+        ranks[bytes(row.token)] = row.rank
+    if len(set(ranks.values())) < len(ranks):
+        raise ValueError("rank table gives a rank twice")
     return ranks
 
 

@@ -32,7 +32,8 @@ def build_session(app: str = "lexmill", master: str | None = None, **conf: str)
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (local tests) a temporary folder is used.
+    Where none is named, a temporary folder is used under a local master (tests); on a
+    cluster that is an error, as executors would each write to their own disk.
     The folder is also made known to ``DataFrame.checkpoint``.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -40,6 +41,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = context.getCheckpointDir()
         if not root:
+            if not context.master.split("[")[0] == "local":
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             root = tempfile.mkdtemp(prefix="lexmill-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(root)

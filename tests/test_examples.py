@@ -146,3 +146,8 @@ def test_training_examples(token_rows):
     train = int(0.9 * total)
     assert sizes == {"train": train // 4 * 4, "val": total - train}
     assert made.select("doc_id", "start").distinct().count() == made.count()
+
+
+def test_exact_count_of_a_long_text(spark):
+    df = spark.createDataFrame([(0, list(range(5000)))], "doc_id long, tokens array<int>")
+    assert E.estimate_examples(df, 100, 50, "doc_id").first().exact == 99

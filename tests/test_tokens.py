@@ -91,3 +91,9 @@ def test_summary_of_prepared_sources(spark):
         "web": ("web", 1, 3, 1, 50257, "gpt2"),
         "pdf": ("pdf", 2, 3, 1, 50257, "gpt2"),
     }
+
+
+def test_rank_file_with_a_token_twice(spark, tmp_path):
+    (tmp_path / "twice").write_text("YQ== 0\nYg== 1\nYQ== 2\n")
+    with pytest.raises(ValueError, match="twice"):
+        tokens.load_ranks(spark, str(tmp_path))
