@@ -30,7 +30,7 @@ from xxhash import xxh3_64_intdigest as digest
 from lexmill.llm.common import words_of
 from lexmill.llm.langid import sample
 
-PER_CLASS = 3000
+PER_CLASS = 1500
 LOG_FEATURES = 17
 THRESHOLD = 0.5
 MIN_WORDS = 10
