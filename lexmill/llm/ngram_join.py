@@ -14,11 +14,20 @@ make the (broadcast, bounded) head of the order; the rest is ordered by digest.
 decides costs only, never results.
 
 Documents of equal sets form a class first and go on as one. Classes are then linked
-in rounds. In the star rounds every class is verified against the one class with which it
-shares most, always the least one of a shingle's list, so a group of thousands of
-near copies costs a verification each, not one per pair. The last round takes
-all pairs of a list that are still in different components, except those inside the list's
-largest component. No link between different components is lost.
+in rounds. In the star rounds every class is verified against one other class, always the
+least one of a shingle's list, so a group of thousands of near copies costs a verification
+each, not one per pair. The first round takes the one that most others meet, the class's
+leader. The last round takes all pairs of a list that are still in different components,
+except those inside the list's largest component.
+
+Variants of one text that are too far from each other to link share nearly all of their
+shingles, prefixes too. Where ``CROWD`` or more of one leader are in several components, they
+are therefore compared by their differences from the leader's set, of size ``d``: two
+sets link when their differences differ in at most ``h = (1 - t) / (1 + t) * (n1 + n2)``
+places, so the differences share at least ``(d1 + d2 - h) / 2``, and the same prefixes with
+several required matches apply to them. Where this bound is not positive, both link with the
+leader (for ``t`` of a third or more; below it there are no crowds), which the first round has
+found. No link between different components is lost.
 
 Documents of fewer words than a shingle are one shingle, those without words are linked
 with nothing. Null text has no words. A null id counts as one id larger than all others.
@@ -32,7 +41,7 @@ from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.llm.common import bitmap, number_id, words_of
@@ -46,6 +55,7 @@ BLOCK = 1 << 21  # shingles that a task counts at a time
 PER_MATCH = 8  # prefix shingles for each further required match
 MOST_MATCHES = 12
 STARS = 2
+CROWD = 64
 LOG_BITS = 24
 
 
@@ -134,12 +144,11 @@ def _classes(texts: DataFrame, size: int, threshold: int) -> DataFrame:
     return written(texts.mapInArrow(make, "doc long, n long, class binary, m int, prefix array<long>"), "shingles")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
-    """Pairs (``a``, ``b``) that reach the threshold. Sets are made again from the texts of
-    the documents in the pairs, told by a bitmap."""
-    spark = texts.sparkSession
-    docs = pairs.select(F.explode(F.array("a", "b")).alias("d"))
-    bits = spark.sparkContext.broadcast(bitmap(docs.select(F.xxhash64("d").alias("k")), "k", LOG_BITS))
+def _sets(docs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """``doc`` and ``set``, made again from the texts of the documents ``d`` asked for (and of
+    a few more), which a bitmap tells."""
+    keys = docs.select(F.xxhash64("d").alias("k"))
+    bits = texts.sparkSession.sparkContext.broadcast(bitmap(keys, "k", LOG_BITS))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,20 +156,90 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: int) ->
             made = [shingles(t, size).tobytes() for t in part.column("_t").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column("_d"), pa.array(made, pa.binary())], ["doc", "set"])
 
+    return texts.withColumn("_x", F.xxhash64("_d")).mapInArrow(sets, "doc long, set binary")
+
+
+def _with_sets(pairs: DataFrame, a: str, b: str, texts: DataFrame, size: int) -> DataFrame:
+    """Adds the sets ``x`` and ``y`` of the documents ``a`` and ``b``."""
+    found = _sets(pairs.select(F.explode(F.array(a, b)).alias("d")), texts, size)
+    left = found.select(F.col("doc").alias(a), F.col("set").alias("x"))
+    right = found.select(F.col("doc").alias(b), F.col("set").alias("y"))
+    return pairs.join(left, a).join(right, b).select(a, b, "x", "y")
+
+
+def _both(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for x, y in zip(batch.column("x"), batch.column("y")):
+        yield np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
+    """Pairs (``a``, ``b``) that reach the threshold."""
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            for x, y in _both(batch):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(100 * both >= threshold * (len(x) + len(y) - both))
             part = batch.filter(pa.array(good, pa.bool_()))
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"])
 
-    found = texts.withColumn("_x", F.xxhash64("_d")).mapInArrow(sets, "doc long, set binary")
-    left = found.select(F.col("doc").alias("a"), F.col("set").alias("x"))
-    right = found.select(F.col("doc").alias("b"), F.col("set").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
+    return _with_sets(pairs, "a", "b", texts, size).mapInArrow(check, "a long, b long")
+
+
+def _differences(crowds: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
+    """``rep``, ``crowd``, ``d`` and the first ``token``s with their ``pos`` of the difference
+    between each member's set and its leader's, those rare in the crowd first."""
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [(len(x), np.setxor1d(x, y, assume_unique=True).view(np.int64)) for x, y in _both(batch)]
+            flat = np.concatenate([d for _, d in made]) if made else np.zeros(0, np.int64)
+            ends = np.cumsum([0, *(len(d) for _, d in made)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep"), batch.column("crowd"), pa.array([n for n, _ in made], pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                ["rep", "crowd", "n", "tokens"],
+            )
+
+    found = _with_sets(crowds, "rep", "crowd", texts, size).mapInArrow(
+        differ, "rep long, crowd long, n long, tokens array<long>"
+    )
+    tokens = written(
+        found.select("rep", "crowd", "n", F.size("tokens").cast("long").alias("d"), F.explode("tokens").alias("token")),
+        "differences",
+    )
+    often = tokens.groupBy("crowd", "token").agg(F.count(F.lit(1)).alias("often"))
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("often", "token")) - 1
+    # A partner's difference is at most (1 - t) / t * n shorter, and one more for the second match.
+    return (
+        tokens.join(often, ["crowd", "token"]).withColumn("pos", place)
+        .where((F.col("pos") - 1) * threshold <= F.col("n") * (100 - threshold))
+        .select("rep", "crowd", "d", "token", "pos")
+    )
+
+
+def _across(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Pairs of rows of equal ``keys`` and different components, each once, with the second
+    one's columns as ``other_``."""
+    sizes = rows.groupBy(*keys, "component").agg(F.count(F.lit(1)).alias("k"))
+    most = sizes.groupBy(*keys).agg(
+        F.max_by("component", F.struct("k", "component")).alias("main"), F.count(F.lit(1)).alias("parts")
+    ).where("parts > 1").drop("parts")
+    several = rows.join(most, keys)
+    right = several.select(*keys, *(F.col(c).alias(f"other_{c}") for c in rows.columns if c not in keys))
+    return several.where("component <> main").join(right, keys).where(
+        "component <> other_component and (other_component = main or rep < other_rep)"
+    )
+
+
+def _pairs(met: DataFrame, least) -> DataFrame:
+    """Pairs that meet as often as ``least`` says."""
+    return (
+        met.groupBy(F.least("rep", "other_rep").alias("a"), F.greatest("rep", "other_rep").alias("b"))
+        .agg(F.count(F.lit(1)).alias("k"), F.min(least).alias("least"))
+        .where("k >= least").select("a", "b")
+    )
 
 
 def link(docs: DataFrame, size: int, threshold: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -176,17 +255,18 @@ def link(docs: DataFrame, size: int, threshold: int, key: str = "doc_id", text:
         ),
         "classes",
     )
-    tokens = classes.select("rep", "n", "m", F.explode("prefix").alias("token"))
+    tokens = classes.select("rep", "n", "m", F.posexplode("prefix").alias("pos", "token"))
     lists = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     live = written(tokens.join(lists.select("token"), "token"), "prefixes")
-    near = (F.col("n") * 100 >= F.col("other_n") * threshold) & (F.col("other_n") * 100 >= F.col("n") * threshold)
+
+    def near(other: str):
+        return (F.col("n") * 100 >= F.col(other) * threshold) & (F.col(other) * 100 >= F.col("n") * threshold)
 
     links = None
     labels = spark.createDataFrame([], "node long, component long")
     for star in range(STARS + 1):
-        own = live.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-            "component", F.coalesce("component", "rep")
-        )
+        label = labels.withColumnRenamed("node", "rep")
+        own = live.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         if star < STARS:
             rank = F.xxhash64("rep", F.lit(star)) if star else F.col("rep")
             first = F.struct(rank.alias("rank"), "rep", "n", "component")
@@ -195,29 +275,50 @@ def link(docs: DataFrame, size: int, threshold: int, key: str = "doc_id", text:
             ).where("lo <> hi").select(
                 "token", F.col("p.rep").alias("pivot"), F.col("p.n").alias("other_n"), F.col("p.component").alias("other")
             )
-            met = own.join(pivots, "token").where(near & (F.col("component") != F.col("other")))
-            shared = met.groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("k"), F.max("m").alias("m"))
-            best = shared.where("k >= m").groupBy("rep").agg(F.max_by("pivot", F.struct("k", "pivot")).alias("pivot"))
+            met = own.join(pivots, "token").where(near("other_n") & (F.col("component") != F.col("other")))
+            shared = met.groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("k"), F.max("m").alias("m")).where("k >= m")
+            if star:
+                best = shared.groupBy("rep").agg(F.max_by("pivot", F.struct("k", "pivot")).alias("pivot"))
+            else:
+                shared = written(shared, "shared")
+                heard = shared.groupBy("pivot").agg(F.count(F.lit(1)).alias("k"))
+                best = shared.select("rep", "pivot").join(heard, "pivot").groupBy("rep").agg(
+                    F.max_by("pivot", F.struct("k", "pivot")).alias("pivot")
+                )
+                best = leaders = written(best, "leaders")
             pairs = best.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
         else:
-            sizes = own.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
-            most = sizes.groupBy("token").agg(
-                F.max_by("component", F.struct("k", "component")).alias("main"), F.count(F.lit(1)).alias("parts")
-            ).where("parts > 1").drop("parts")
-            mixed_ = own.join(most, "token")
-            left = mixed_.where("component <> main")
-            right = mixed_.select(
-                "token", F.col("rep").alias("other"), F.col("n").alias("other_n"), F.col("m").alias("other_m"),
-                F.col("component").alias("other_component"),
-            )
-            met = left.join(right, "token").where(
-                near & F.expr("component <> other_component and (other_component = main or rep < other)")
-            )
-            pairs = (
-                met.groupBy(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
-                .agg(F.count(F.lit(1)).alias("k"), F.min(F.least("m", "other_m")).alias("m"))
-                .where("k >= m").select("a", "b")
+            led = leaders.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+            crowded = led.groupBy("pivot").agg(
+                F.count(F.lit(1)).alias("k"), F.min("component").alias("lo"), F.max("component").alias("hi")
+            ).where((F.col("k") >= CROWD) & F.expr("lo <> hi") & F.lit(3 * threshold > 100)).select("pivot")
+            crowds = written(
+                leaders.join(crowded, "pivot").select("rep", F.col("pivot").alias("crowd")), "crowds"
             )
+            # Twice the bounds, times 100 + t; "sizes" is h.
+            scale, sizes = 100 + threshold, (F.col("n") + F.col("other_n")) * (100 - threshold)
+            met = _across(own.join(crowds, "rep", "left"), ["token"])
+            matches = F.least("m", "other_m")
+
+            def reached(of: str):  # the place of the last required match in one of the sets
+                other = "other_n" if of == "" else "n"
+                after = F.col(f"{of}pos") - matches + 1
+                return after * scale <= F.col(f"{of}n") * 100 - F.col(other) * threshold
+
+            apart = F.coalesce(F.col("crowd") != F.col("other_crowd"), F.lit(True))
+            pairs = _pairs(met.where(near("other_n") & apart & reached("") & reached("other_")), matches)
+            if not crowds.isEmpty():
+                inner = _differences(crowds, texts, size, threshold).join(classes.select("rep", "n"), "rep")
+                inner = inner.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+                met = _across(written(inner, "inner"), ["crowd", "token"])
+
+                def within(of: str, other: str):
+                    places = 2 * (F.col(f"{of}pos") - 1) - F.col(f"{of}d") + F.col(f"{other}d")
+                    return places * scale <= sizes
+
+                two = (F.col("d") + F.col("other_d") - 2) * scale > sizes
+                met = met.where(near("other_n") & within("", "other_") & within("other_", ""))
+                pairs = pairs.unionByName(_pairs(met, F.when(two, 2).otherwise(1)))
         pairs = written(pairs, "pairs")
         if pairs.isEmpty():
             continue

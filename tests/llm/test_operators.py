@@ -174,9 +174,8 @@ def test_lattice_sums_all_segmentations():
         assert math.isclose(lattice.score(word), math.log10(total(lm_score.SPACE + word)), rel_tol=1e-9)
 
 
-@pytest.mark.parametrize(("size", "threshold"), [(3, 90), (5, 80)])
-def test_ngram_join(spark, texts, edge, size, threshold):
-    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+def linked(texts, size, threshold):
+    """Sets of shingles, and the component of each document by comparing all pairs."""
     sets = {}
     for doc, text in texts.items():
         w = lower(text)
@@ -190,12 +189,44 @@ def test_ngram_join(spark, texts, edge, size, threshold):
             if at not in expected:
                 expected[at] = doc
                 todo += near[at]
+    return sets, expected
+
+
+@pytest.mark.parametrize(("size", "threshold"), [(3, 90), (5, 80)])
+def test_ngram_join(spark, texts, edge, size, threshold):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    sets, expected = linked(texts, size, threshold)
     found = {r.doc: r for r in ngram_join.link(docs, size, threshold).collect()}
     assert {d: (r.n_shingles, r.component_id) for d, r in found.items()} == {d: (len(sets[d]), expected[d]) for d in sets}
     edges = ngram_join.link(edge, size, threshold).collect()
     assert len(edges) == len(EDGE) and {r.component_id for r in edges if r.doc in (4, 5)} == {4}
 
 
+@pytest.mark.parametrize(("size", "threshold", "changes"), [(5, 80, 5), (3, 90, 4)])
+def test_ngram_join_of_a_crowd_of_variants(spark, monkeypatch, size, threshold, changes):
+    """Variants of two texts, most of which are too far from each other to link, are compared by
+    their differences from a leader; the components stay those of all pairs."""
+    rng = np.random.default_rng(changes)
+    crowd = {}
+    for base in range(2):
+        words = [f"w{base}x{i}" for i in range(120)]
+        for i in range(150):
+            variant = list(words)
+            for at in rng.choice(120, rng.integers(1, changes + 1), replace=False):
+                variant[at] = f"v{rng.integers(12)}"
+            crowd[base * 150 + i] = " ".join(variant[: 120 - int(rng.integers(4))])
+    sets, expected = linked(crowd, size, threshold)
+    asked = []
+    real = ngram_join._differences
+    monkeypatch.setattr(ngram_join, "_differences", lambda crowds, *a: asked.append(crowds.count()) or real(crowds, *a))
+    for least in (2, ngram_join.CROWD):
+        monkeypatch.setattr(ngram_join, "CROWD", least)
+        docs = spark.createDataFrame([*crowd.items()], "doc_id long, text string")
+        found = {r.doc: r.component_id for r in ngram_join.link(docs, size, threshold).collect()}
+        assert found == expected
+    assert len(set(expected.values())) > 2 and min(asked) > 0
+
+
 def test_ngram_join_of_nothing(empty):
     assert ngram_join.link(empty, 3, 90).count() == 0
 
