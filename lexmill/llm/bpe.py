@@ -1,7 +1,7 @@
 """Byte-level byte-pair encoding and decoding with own merges.
 
-A text is split by the vocabulary's pattern; each match is merged separately. The queue
-of merges is a bitmap of ranks in three levels of 64-bit words: find-first-set on each
+A text is split by the vocabulary's pattern; each match is merged separately, many of them
+through one queue. The queue of merges is a bitmap of ranks in three levels of 64-bit words: find-first-set on each
 level gives the least rank that waits, a bucket per rank holds the places in a linked list
 of the left parts, and places whose pair has changed meanwhile are skipped. The work
 per merge does not depend on the length of the match.
@@ -14,16 +14,20 @@ from __future__ import annotations
 
 import base64
 import functools
-import heapq
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from lexmill.llm.wordcache import TextEncoder
 
+# Bytes of matches that are merged together; a longer match is merged alone.
+GROUP = 1 << 18
+
+
 class RankQueue:
     """Waiting pairs by rank: bitmaps of 64-bit words in three levels, and a bucket of places
     for each rank. Empty again after every use."""
@@ -34,12 +38,9 @@ class RankQueue:
         self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
-    def push(self, rank: int, place: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heapq.heappush(bucket, place)
-            return
-        self.buckets[rank] = [place]
+    def open(self, rank: int, places: list[int]) -> None:
+        """A bucket for a rank that has none."""
+        self.buckets[rank] = places
         word = rank >> 6
         if not self.low[word]:
             if not self.mid[rank >> 12]:
@@ -48,7 +49,8 @@ class RankQueue:
         self.low[word] |= 1 << (rank & 63)
 
     def take(self) -> tuple[int, list[int]]:
-        """Least rank and its bucket, by find-first-set on each level; there must be one."""
+        """Least rank and its places in order, by find-first-set on each level; there must
+        be one."""
         top = self.top
         a = (top & -top).bit_length() - 1
         word = self.mid[a]
@@ -61,64 +63,118 @@ class RankQueue:
             word = self.mid[a] = self.mid[a] & (self.mid[a] - 1)
             if not word:
                 self.top = top & (top - 1)
-        return rank, self.buckets.pop(rank)
+        bucket = self.buckets.pop(rank)
+        bucket.sort()
+        return rank, bucket
 
 
 class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
+        self.border = max(ranks.values(), default=0) + 1  # no id, and no rank
+        self.shift = self.border.bit_length()
+        self.queue = RankQueue(self.border)
         self.bytes = {i: token for token, i in ranks.items()}
+        # Rank of each pair of ids that makes a token, under both ids in one number.
+        self.pairs: dict[int, int] = {}
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    self.pairs[left << self.shift | right] = rank
+        self.single = np.array([ranks.get(bytes([b]), self.border) for b in range(256)], np.int64)
+        self.double = np.array(
+            [[ranks.get(bytes([a, b]), self.border) for b in range(256)] for a in range(256)], np.int64
+        )
         self.texts = TextEncoder(pattern, self._matches).texts
 
     def _matches(self, matches: list[str]) -> list[bytes]:
-        found = [self.merge(m.encode("utf-8", "surrogatepass")) for m in matches]
-        return [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
+        return self.merge_all([m.encode("utf-8", "surrogatepass") for m in matches])
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one match."""
-        ranks, n = self.ranks, len(piece)
-        whole = ranks.get(piece)
-        if whole is not None:
-            return [whole]
-        get, queue = ranks.get, self.queue
-        push, take = queue.push, queue.take
-        after, before = list(range(1, n + 2)), list(range(-1, n + 1))
-        # Rank of the pair that starts here; a place is stale once it has another.
-        waiting: list[int | None] = [get(piece[i : i + 2]) for i in range(n - 1)] + [None, None]
-        for i, rank in enumerate(waiting):
-            if rank is not None:
-                push(rank, i)
+        (ids,) = self.merge_all([piece])
+        return list(struct.unpack(f"<{len(ids) // 4}I", ids))
+
+    def merge_all(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each match. Matches share the queue, in groups, but never a pair."""
+        out: list[bytes | None] = [None] * len(pieces)
+        group, size = [], 0
+        for n, piece in enumerate(pieces):
+            whole = self.ranks.get(piece)
+            if whole is not None:
+                out[n] = struct.pack("<I", whole)
+                continue
+            if group and size + len(piece) > GROUP:
+                self._group(pieces, group, out)
+                group, size = [], 0
+            group.append(n)
+            size += len(piece)
+        if group:
+            self._group(pieces, group, out)
+        return out
+
+    def _group(self, pieces: list[bytes], group: list[int], out: list[bytes | None]) -> None:
+        """The matches lie one behind another with a border before, between and behind them."""
+        border = self.border
+        joined = [pieces[n] for n in group]
+        data = np.frombuffer(b"".join(joined), np.uint8)
+        sizes = np.fromiter(map(len, joined), np.int64, len(joined))
+        places = np.arange(1, len(data) + 1) + np.repeat(np.arange(len(joined)), sizes)
+        ids = np.full(len(data) + len(joined) + 1, border, np.int64)
+        ids[places] = self.single[data]
+        waiting = np.full(len(ids), border, np.int64)
+        close = places[1:] == places[:-1] + 1
+        waiting[places[:-1][close]] = self.double[data[:-1], data[1:]][close]
+        order = np.argsort(waiting, kind="stable")[: np.count_nonzero(waiting < border)]
+        found = waiting[order]
+        cuts = np.flatnonzero(np.r_[True, found[1:] != found[:-1]]) if len(found) else np.zeros(0, np.int64)
+        starts = [*cuts.tolist(), len(order)]
+        order = order.tolist()
+        for rank, a, b in zip(found[cuts].tolist(), starts, starts[1:]):
+            self.queue.open(rank, order[a:b])
+        left = np.array(self._merged(ids.tolist(), waiting.tolist()), np.int64)
+        alive = (left >= 0) & (left != border)
+        ends = (4 * np.cumsum(alive)[np.r_[0, 1 + np.cumsum(sizes + 1) - 1]]).tolist()
+        whole = left[alive].astype("<u4").tobytes()
+        for n, a, b in zip(group, ends, ends[1:]):
+            out[n] = whole[a:b]
+
+    def _merged(self, ids: list[int], waiting: list[int]) -> list[int]:
+        """The ids left where no pair waits; -1 where a place was merged into another.
+        ``waiting`` has the rank of the pair that starts at a place; entries of the queue
+        under another rank are stale."""
+        border, shift, get, queue = self.border, self.shift, self.pairs.get, self.queue
+        bucket_of = queue.buckets.get
+        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
         while queue.top:
-            rank, bucket = take()
-            while bucket:
-                i = heapq.heappop(bucket)
+            rank, bucket = queue.take()
+            for n, i in enumerate(bucket, 1):
                 if waiting[i] != rank:
                     continue
-                lower = False  # a merge may make a pair of lower or equal rank, which is next
-                j = after[i]
-                waiting[j] = None
+                j, h = after[i], before[i]
                 k = after[i] = after[j]
                 before[k] = i
-                waiting[i] = new = get(piece[i : after[k]]) if k < n else None
-                if new is not None:
-                    push(new, i)
-                    lower = new <= rank
-                if i:
-                    h = before[i]
-                    waiting[h] = new = get(piece[h:k])
-                    if new is not None:
-                        push(new, h)
-                        lower = lower or new <= rank
-                if lower:
-                    for place in bucket:
-                        push(rank, place)
+                ids[i], ids[j], waiting[j] = rank, -1, border
+                waiting[i] = new = get(rank << shift | ids[k], border)
+                if new != border:
+                    places = bucket_of(new)
+                    if places is None:
+                        queue.open(new, [i])
+                    else:
+                        places.append(i)
+                waiting[h] = least = get(ids[h] << shift | rank, border)
+                if least != border:
+                    places = bucket_of(least)
+                    if places is None:
+                        queue.open(least, [h])
+                    else:
+                        places.append(h)
+                if new < rank or least < rank:  # the lower rank is next
+                    if n < len(bucket):
+                        queue.open(rank, bucket[n:])
                     break
-        out, i = [], 0
-        while i < n:
-            out.append(ranks[piece[i : after[i]]])
-            i = after[i]
-        return out
+        return ids
 
     def decode(self, ids: bytes) -> bytes:
         table = self.bytes

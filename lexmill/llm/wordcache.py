@@ -8,6 +8,8 @@ import regex
 
 WORDS = 250_000  # in each of two generations
 LONGEST = 64  # longer words and matches are not remembered
+# With this choice in a pattern, a space and letters up to the end are one match.
+LETTERS = r" ?\p{L}+"
 
 
 class Recent:
@@ -44,6 +46,7 @@ class TextEncoder:
     def __init__(self, pattern: str, encode: Callable[[list[str]], list[bytes]]):
         self.match, self.encode = regex.compile(pattern).findall, encode
         self.words, self.matches = Recent(), Recent()
+        self.letters = LETTERS in pattern.split("|")
 
     def texts(self, texts: list[str]) -> list[bytes]:
         parts = [t.split(" ") for t in texts]
@@ -52,17 +55,28 @@ class TextEncoder:
 
     def _learn(self, words: set[str]) -> None:
         """Remember new words of a batch, their new matches encoded together."""
-        split = {
-            w: self.match(" " + w) for w in words
-            if len(w) < LONGEST and closed(w) and self.words.find(w) is None
-        }
+        split, old, put, match = {}, self.words.old, self.words.put, self.match
+        for word in words:
+            if not 0 < len(word) < LONGEST or word[-1].isspace():
+                continue
+            ids = old.get(word)
+            if ids is not None:
+                put(word, ids)
+            elif self.letters and word.isascii() and word.isalpha():
+                split[word] = [" " + word]
+            else:
+                split[word] = match(" " + word)
         known = self._matched({m for ms in split.values() for m in ms})
         for word, matches in split.items():
-            self.words.put(word, b"".join([known[m] for m in matches]))
+            put(word, known[matches[0]] if len(matches) == 1 else b"".join([known[m] for m in matches]))
 
     def _matched(self, matches: set[str]) -> dict[str, bytes]:
-        known = {m: self.matches.find(m) for m in matches}
-        new = [m for m, ids in known.items() if ids is None]
+        known = dict(zip(matches, map(self.matches.new.get, matches)))
+        new = []
+        for m in [m for m, ids in known.items() if ids is None]:
+            ids = known[m] = self.matches.find(m)
+            if ids is None:
+                new.append(m)
         for m, ids in zip(new, self.encode(new)):
             known[m] = ids
             if len(m) < LONGEST:
