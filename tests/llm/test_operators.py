@@ -249,6 +249,29 @@ def test_substrings(spark, texts, edge, empty):
     assert substrings.dedup(empty).count() == 0
 
 
+def test_shared_merge_queue():
+    """Matches merged together, with a pair of lower rank made by a merge and runs of one byte."""
+    ranks = {bytes([b]): b for b in range(256)} | {b"abc": 256, b"bc": 257, b"ab": 258, b"aa": 259, b"aaaa": 260, b"cab": 261}
+
+    def plain(piece):
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        while True:
+            pairs = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
+            if not pairs:
+                return [ranks[p] for p in parts]
+            i = min(pairs)[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+    rng = np.random.default_rng(1)
+    pieces = [bytes(rng.choice(list(b"abcd"), size).tolist()) for size in rng.integers(1, 40, 400)]
+    pieces += [b"a" * n for n in range(1, 30)] + [b"abcab" * 5000]
+    own = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    wanted = [plain(p) if len(p) < 100 else own.merge(p) for p in pieces]
+    wanted = [[ranks[p]] if p in ranks else w for p, w in zip(pieces, wanted)]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in own.merge_all(pieces)] == wanted
+    assert own.merge_all([]) == [] and not own.queue.top and not own.queue.buckets
+
+
 def test_suffixes(spark, texts, edge, empty):
     first = {}
     raw = {d: texts[d].encode() for d in sorted(texts)}
