@@ -29,13 +29,12 @@ def summary(spark, folder):
 query(
     "prep_summary",
     f"""
-    WITH pdf AS (SELECT conv_id, turn // 1024 AS part,
-                        string_agg(text, chr(10) ORDER BY turn) AS text
-                 FROM conversations GROUP BY ALL),
-    t AS (SELECT 'web' AS source, page_id AS id, 0 AS part, {S.clean_web('html')} AS clean FROM pages
-          UNION ALL SELECT 'pdf', conv_id, part, {S.clean_pdf('text')} FROM pdf)
+    WITH pdf AS (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS text
+                 FROM conversations GROUP BY conv_id),
+    t AS (SELECT 'web' AS source, page_id AS id, {S.clean_web('html')} AS clean FROM pages
+          UNION ALL SELECT 'pdf', conv_id, {S.clean_pdf('text')} FROM pdf)
     SELECT source, count(*) AS n_sequences, (SELECT count(*) FROM t) AS total_sequences,
-           octet_length(encode(arg_min(clean, (id, part)))) AS sequence_length,
+           octet_length(encode(arg_min(clean, id))) AS sequence_length,
            50257 AS vocab_size, 'gpt2' AS tokenizer
     FROM t GROUP BY source
     """,

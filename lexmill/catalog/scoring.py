@@ -55,11 +55,12 @@ def ngram_logprob(spark, folder):
     f"""
     WITH {_SCORED}
     SELECT doc_id, round(exp(-sum(n * logp) / sum(n)), 4) AS perplexity
-    FROM scored GROUP BY doc_id
+    FROM documents LEFT JOIN scored USING (doc_id) GROUP BY doc_id
     """,
 )
 def perplexity(spark, folder):
-    scored = scoring.perplexity(_scored(spark, folder), ["doc_id"])
+    docs = documents(spark, folder)
+    scored = scoring.perplexity(_scored(spark, folder), ["doc_id"], docs)
     return scored.withColumn("perplexity", F.round("perplexity", 4))
 
 
@@ -96,9 +97,10 @@ _STAGES = f"""
     WITH {pairs_sql(_STAGES, 'doc_id, stage')}, {model_sql("stage = 'raw'")},
     p AS (SELECT doc_id, stage, exp(-sum(p.n * logp) / sum(p.n)) AS ppl
           FROM pairs p JOIN model m USING (a, b) GROUP BY ALL)
-    SELECT r.doc_id, round(r.ppl, 4) AS raw_ppl, round(c.ppl, 4) AS clean_ppl,
+    SELECT d.doc_id, round(r.ppl, 4) AS raw_ppl, round(c.ppl, 4) AS clean_ppl,
            round((r.ppl - c.ppl) / r.ppl * 100, 4) AS improvement
-    FROM p r JOIN p c ON r.doc_id = c.doc_id AND r.stage = 'raw' AND c.stage = 'clean'
+    FROM documents d LEFT JOIN p r ON r.doc_id = d.doc_id AND r.stage = 'raw'
+    LEFT JOIN p c ON c.doc_id = d.doc_id AND c.stage = 'clean'
     """,
 )
 def perplexity_improvement(spark, folder):
@@ -110,8 +112,11 @@ def perplexity_improvement(spark, folder):
     both = docs.select("doc_id", F.inline(stages))
     pairs = scoring.bigram_counts(both, ["doc_id", "stage"], "t")
     model = scoring.bigram_model(pairs, F.col("stage") == "raw")
-    found = scoring.perplexity(scoring.score_pairs(pairs, model), ["doc_id", "stage"])
-    raw, clean = (found.where(F.col("stage") == s) for s in ("raw", "clean"))
+    scored = scoring.score_pairs(pairs, model)
+    raw, clean = (
+        scoring.perplexity(scored.where(F.col("stage") == s), ["doc_id"], docs)
+        for s in ("raw", "clean")
+    )
     gained = scoring.improvement(raw, clean, "doc_id")
     return gained.select(
         "doc_id", *[F.round(c, 4).alias(c) for c in ("raw_ppl", "clean_ppl", "improvement")]
@@ -120,13 +125,13 @@ def perplexity_improvement(spark, folder):
 
 @query(
     "user_scorer",
-    "SELECT doc_id, 2.0::double AS perplexity FROM documents WHERE length(text) > 1",
+    "SELECT doc_id, CASE WHEN length(text) > 1 THEN 2.0::double END AS perplexity FROM documents",
 )
 def user_scorer(spark, folder):
     """A user's scorer in place of the model: here every character is a coin toss."""
     @F.arrow_udf("array<double>")
     def coin(texts: pa.Array) -> pa.Array:
-        return pa.array([[-0.6931471805599453] * (len(t) - 1) for t in texts.to_pylist()])
+        return pa.array([[-0.6931471805599453] * (len(t or "") - 1) for t in texts.to_pylist()])
 
     docs = documents(spark, folder).select("doc_id", "text")
     scored = scoring.text_log_probs(docs, coin)

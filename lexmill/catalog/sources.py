@@ -113,8 +113,8 @@ def pages_source(spark, folder):
 @query(
     "concat_pages",
     """
-    SELECT conv_id, turn // 1024 AS part, string_agg(text, chr(10) ORDER BY turn) AS text
-    FROM conversations GROUP BY ALL
+    SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS text
+    FROM conversations GROUP BY conv_id
     """,
 )
 def concat_pages(spark, folder):

@@ -19,9 +19,9 @@ def bpe_encode(spark, folder):
 
 
 _JOINED = f"""
-    (SELECT conv_id, turn // 1024 AS part, count(*) AS n,
+    (SELECT conv_id, count(*) AS n,
             string_agg(text, {S.q(f' {P.END_OF_TEXT} ')} ORDER BY turn) AS text
-     FROM conversations GROUP BY ALL)
+     FROM conversations GROUP BY conv_id)
 """
 
 
@@ -51,12 +51,12 @@ def bpe_encode_special(spark, folder):
     )
 
 
-@query("bpe_decode", f"SELECT conv_id, part, text FROM {_JOINED}")
+@query("bpe_decode", f"SELECT conv_id, text FROM {_JOINED}")
 def bpe_decode(spark, folder):
     ranks = tokens.byte_ranks()
     encoded = tokens.encode(_joined(spark, folder), ranks, policy="allow", specials=SPECIALS)
     decoded = tokens.decode(encoded.drop("text"), ranks, specials=SPECIALS)
-    return decoded.select("conv_id", "part", "text")
+    return decoded.select("conv_id", "text")
 
 
 @query("token_count", "SELECT doc_id, octet_length(encode(text)) AS token_count FROM documents")

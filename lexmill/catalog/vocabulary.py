@@ -160,9 +160,8 @@ def vocab_decode(spark, folder):
 @query(
     "join_texts_sep",
     f"""
-    SELECT conv_id, turn // 1024 AS part,
-           string_agg(text, {S.q(f' {P.END_OF_TEXT} ')} ORDER BY turn) AS text
-    FROM conversations GROUP BY ALL
+    SELECT conv_id, string_agg(text, {S.q(f' {P.END_OF_TEXT} ')} ORDER BY turn) AS text
+    FROM conversations GROUP BY conv_id
     """,
 )
 def join_texts_sep(spark, folder):

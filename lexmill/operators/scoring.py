@@ -75,10 +75,22 @@ def score_pairs(pairs: DataFrame, model: DataFrame, learnt_here: bool = True) ->
     return lookup(pairs, known, ["a", "b"], broadcast=False, frequency=frequency)
 
 
-def perplexity(scored: DataFrame, keys: list[str]) -> DataFrame:
-    """exp of the mean negative log-likelihood over ``n`` predictions per row."""
-    mean = F.sum(F.col("n") * F.col("logp")) / F.sum("n")
-    return scored.groupBy(*keys).agg(F.exp(-mean).alias("perplexity"))
+def _mean_logp() -> Column:
+    """Mean over the predictions of a group; null without any."""
+    return F.sum(F.col("n") * F.col("logp")) / F.nullif(F.sum("n"), F.lit(0))
+
+
+def perplexity(scored: DataFrame, keys: list[str], texts: DataFrame | None = None) -> DataFrame:
+    """exp of the mean negative log-likelihood over ``n`` predictions per row.
+
+    A text of fewer than two words has no predictions and so no row in ``scored``.
+    With ``texts`` every text of that table gets a row, null where nothing is predicted."""
+    found = scored.groupBy(*keys).agg(F.exp(-_mean_logp()).alias("perplexity"))
+    if texts is None:
+        return found
+    same = [F.col(f"t.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys]
+    held = texts.select(*keys).alias("t").join(found.alias("p"), same, "left")
+    return held.select(*[F.col(f"t.{k}") for k in keys], "perplexity")
 
 
 def improvement(raw: DataFrame, clean: DataFrame, key: str) -> DataFrame:
@@ -92,8 +104,7 @@ def improvement(raw: DataFrame, clean: DataFrame, key: str) -> DataFrame:
 def mean_batch_loss(scored: DataFrame, batches: int | None = None) -> DataFrame:
     """Mean of the batch losses over the first ``batches`` batches (all by default,
     and never more than there are); NaN without any batch."""
-    weighted = F.sum(F.col("n") * F.col("logp")) / F.sum("n")
-    per_batch = scored.groupBy("batch_id").agg((-weighted).alias("loss"))
+    per_batch = scored.groupBy("batch_id").agg((-_mean_logp()).alias("loss"))
     if batches is not None:
         per_batch = per_batch.where(F.col("batch_id") < batches)
     return per_batch.agg(F.coalesce(F.avg("loss"), F.lit(float("nan"))).alias("mean_loss"))
@@ -101,7 +112,8 @@ def mean_batch_loss(scored: DataFrame, batches: int | None = None) -> DataFrame:
 
 def text_log_probs(df: DataFrame, scorer, text: str = "text", keys=("doc_id",)) -> DataFrame:
     """Apply a user's scorer, an Arrow or pandas function from text to an array of
-    log-probabilities; one row per predicted token, ready for ``perplexity``."""
+    log-probabilities; one row per predicted token, ready for ``perplexity``. A text
+    without predictions has one row of ``n`` 0. The scorer sees null texts too."""
     return df.select(
-        *keys, F.posexplode(scorer(F.col(text))).alias("pos", "logp")
-    ).withColumn("n", F.lit(1))
+        *keys, F.posexplode_outer(scorer(F.col(text))).alias("pos", "logp")
+    ).withColumn("n", F.col("pos").isNotNull().cast("int"))

@@ -164,20 +164,23 @@ def join_texts(
     order: str,
     text: str = "text",
     separator: str = f" {P.END_OF_TEXT} ",
-    rows_per_part: int = 1024,
+    rows_per_part: int | None = None,
 ) -> DataFrame:
-    """Texts of a key joined in order.
+    """Texts of a key joined in order, one row per key. Null texts are left out; texts of
+    equal order are sorted.
 
-    ``order`` numbers the texts of a key from 0. A key with more than
-    ``rows_per_part`` texts is returned in several rows, ``part`` 0, 1, ..., whose
-    texts joined by the separator are the whole: no group is gathered unbounded.
+    A joined text is one value and must fit in a task. Where keys may be larger,
+    ``rows_per_part`` returns a key in several rows, ``part`` 0, 1, ..., whose texts
+    joined by the separator are the whole; ``order`` then numbers the texts from 0.
     """
-    part = F.floor(F.col(order) / rows_per_part)
+    by = [key]
+    if rows_per_part is not None:
+        by.append(F.floor(F.col(order) / rows_per_part).alias("part"))
     placed = F.struct(F.col(order).alias("_at"), F.col(text).alias("_t"))
     ordered = F.array_sort(F.collect_list(placed)).getField("_t")
     return (
         df.where(F.col(text).isNotNull())
-        .groupBy(key, part.alias("part"))
+        .groupBy(*by)
         .agg(F.array_join(ordered, separator).alias(text))
     )
 

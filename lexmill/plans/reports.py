@@ -16,12 +16,11 @@ def prepare_sources(
 ) -> DataFrame:
     """Web pages and paged documents, cleaned and tokenised, in one table."""
     web = cleaning.clean_web(pages, "html", "clean").select(
-        F.lit("web").alias("source"), F.col(page_key).alias("id"),
-        F.lit(0).cast("bigint").alias("part"), "clean",
+        F.lit("web").alias("source"), F.col(page_key).alias("id"), "clean"
     )
     joined = vocab.concat_pages(page_texts, doc_key, order)
     pdf = cleaning.clean_pdf(joined, "text", "clean").select(
-        F.lit("pdf").alias("source"), F.col(doc_key).alias("id"), "part", "clean"
+        F.lit("pdf").alias("source"), F.col(doc_key).alias("id"), "clean"
     )
     encoded = tokens.encode(web.unionByName(pdf), ranks, "clean", "token_ids")
     return tokens.annotate(encoded.drop("clean"))
@@ -29,8 +28,7 @@ def prepare_sources(
 
 def prep_summary(prepared: DataFrame) -> DataFrame:
     """Sequences per source and in total, with the first sequence of each source."""
-    keyed = prepared.withColumn("_key", F.struct("id", "part"))
-    return tokens.token_summary(keyed, "_key")
+    return tokens.token_summary(prepared, "id")
 
 
 def pattern_report(both: DataFrame, group: str, order: str, k: int = 10) -> DataFrame:

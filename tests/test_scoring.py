@@ -32,6 +32,18 @@ def test_scores_do_not_need_the_head(texts):
     assert sorted(here.collect()) == sorted(away.collect())
 
 
+def test_every_text_has_a_row(texts):
+    df = texts("a b a b", "x", None)
+    pairs = scoring.bigram_counts(df, ["id"])
+    scored = scoring.score_pairs(pairs, scoring.bigram_model(pairs))
+    found = {r.id: r.perplexity for r in scoring.perplexity(scored, ["id"], df).collect()}
+    assert found[0] > 1 and found[1] is None and found[2] is None and len(found) == 3
+    none = F.lit(None).cast("array<double>")
+    given = scoring.text_log_probs(df, lambda t: F.when(t != "x", F.array(F.lit(-1.0))).otherwise(none), keys=("id",))
+    found = {r.id: r.perplexity for r in scoring.perplexity(given, ["id"]).collect()}
+    assert math.isclose(found[0], math.e) and found[1] is None and found[2] is None
+
+
 def test_perplexity_of_coin_tosses(spark):
     rows = [(1, 1, math.log(0.5))] * 7
     df = spark.createDataFrame(rows, "doc_id long, n long, logp double")

@@ -80,6 +80,8 @@ def test_join_texts_in_parts(spark):
     df = spark.createDataFrame(rows, "k long, i long, text string")
     whole = {r.k: r.text for r in vocab.join_texts(df, "k", "i", separator="|").collect()}
     assert whole == {1: "t0|t1|t2|t3|t4", 2: "x"}
+    many = spark.range(3000).select(F.lit(7).alias("k"), (F.col("id") * 10).alias("i"), F.lit("y").alias("text"))
+    assert [len(r.text) for r in vocab.join_texts(many, "k", "i", separator="").collect()] == [3000]
     parts = vocab.join_texts(df, "k", "i", separator="|", rows_per_part=2).where("k = 1")
     assert column(parts, "text", "part") == ["t0|t1", "t2|t3", "t4"]
     assert vocab.concat_pages(df.where("k = 1"), "k", "i").first().text == "t0\nt1\nt2\nt3\nt4"
