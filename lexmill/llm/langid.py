@@ -85,15 +85,16 @@ def _counted(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sample(docs: DataFrame, text: str, lang: str, bound: int) -> DataFrame:
-    """At most ``bound`` rows of each language, by a digest of the text. Rows above an
-    expected share are dropped before any are brought together."""
+    """At most ``bound`` different texts of each language, by a digest of the text. Copies count
+    once; texts above an expected share are dropped before any are brought together."""
     keyed = docs.select(F.col(text).alias("_t"), F.col(lang).alias("_l"))
     keyed = keyed.where("_l is not null and _t is not null").withColumn("_h", F.xxhash64("_t"))
-    counts = keyed.groupBy("_l").agg(F.count(F.lit(1)).alias("_n"))
+    different = keyed.select("_l", "_h").distinct()
+    counts = different.groupBy("_l").agg(F.count(F.lit(1)).alias("_n"))
     share = F.shiftrightunsigned("_h", 1).cast("double") / float(1 << 63)
-    few = keyed.select("_l", "_h").join(F.broadcast(counts), "_l").where(share * F.col("_n") < 2.0 * bound)
+    few = different.join(F.broadcast(counts), "_l").where(share * F.col("_n") < 2.0 * bound)
     rank = F.row_number().over(Window.partitionBy("_l").orderBy("_h"))
-    chosen = few.withColumn("_r", rank).where(F.col("_r") <= bound).select("_l", "_h").distinct()
+    chosen = few.withColumn("_r", rank).where(F.col("_r") <= bound).select("_l", "_h")
     return keyed.join(F.broadcast(chosen), ["_l", "_h"]).dropDuplicates(["_l", "_h"])
 
 
