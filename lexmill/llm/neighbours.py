@@ -6,10 +6,11 @@ NN-descent then brings the neighbours of a point, and the points it is a neighbo
 together, and tells each of them about better neighbours among the others; pairs that
 met in an earlier round are skipped. A popular point's list is split at random into parts of
 bounded size, others each round, so no point is dropped and no part grows with the data.
+Rounds go on until at most ``SETTLED`` of the graph's entries are new.
 
 A query walks the graph: in each round the best points of its beam that were not yet
 opened are opened, their neighbours in the graph (both directions) are measured,
-and the beam keeps the best. It starts from its own point where the query is one of the
+and the beam keeps the best, until no query has a point in its beam that is not opened. It starts from its own point where the query is one of the
 points, and from ``ENTRIES`` fixed points. Points travel as one byte per component; the last
 beam is measured again on the original vectors in double precision.
 
@@ -31,14 +32,15 @@ from pyspark.sql import functions as F
 from lexmill.session import written
 
 NEIGHBOURS = 24
-ROUNDS = 4
+SETTLED = 0.001
+MOST_ROUNDS = 200  # only guards against a loop that does not end; reaching it is an error
 PROJECTIONS = 3
 BLOCK = 256
 PART = 64  # members that are compared in one part
 ENTRIES = 64
 BEAM = 160
 OPENED = 24  # points a query opens in a round
-HOPS = 9
+MOST_HOPS = 1000  # a guard as well
 
 
 def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
@@ -154,10 +156,10 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "sim"])
 
 
-def build(points: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
+def build(points: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
     """The neighbour graph: (``a``, ``b``, ``sim``), up to ``k`` rows of each point."""
     graph = written(start_graph(points, k).withColumn("new", F.lit(True)), "graph")
-    for turn in range(rounds):
+    for turn in range(MOST_ROUNDS):
         pairs = graph.select(F.col("a").alias("center"), F.col("b").alias("id"), "new")
         met = pairs.unionByName(
             graph.select(F.col("b").alias("center"), F.col("a").alias("id"), "new")
@@ -179,9 +181,10 @@ def build(points: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataF
         old = graph.withColumn("new", F.lit(False))
         joined = old.unionByName(better).groupBy("a", "b").agg(F.max("sim").alias("sim"), F.min("new").alias("new"))
         graph = written(_best(joined, k), "graph")
-        if graph.where("new").isEmpty():
-            break
-    return graph
+        share = graph.agg(F.avg(F.col("new").cast("double")).alias("share")).first().share
+        if (share or 0.0) <= SETTLED:
+            return graph
+    raise RuntimeError(f"the neighbour graph has not settled in {MOST_ROUNDS} rounds")
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +216,7 @@ def _enter(names: list[int], codes: list[bytes]):
     return apply
 
 
-def search(queries: DataFrame, points: DataFrame, graph: DataFrame, beam: int = BEAM, hops: int = HOPS) -> DataFrame:
+def search(queries: DataFrame, points: DataFrame, graph: DataFrame, beam: int = BEAM) -> DataFrame:
     """``query``, ``point`` and approximate ``sim`` of the last beam. ``queries`` has ``query``,
     ``query_code`` and ``own``, the query's own point or null."""
     ends = graph.select("a", "b").union(graph.select("b", "a")).distinct()
@@ -229,7 +232,7 @@ def search(queries: DataFrame, points: DataFrame, graph: DataFrame, beam: int =
     own = queries.where("own is not null").select("query", F.col("own").alias("point"), F.lit(2.0).cast("float").alias("sim"))
     state = first.unionByName(own).groupBy("query", "point").agg(F.max("sim").alias("sim"))
     state = written(_best(state.withColumn("open", F.lit(False)), beam, "query", "point"), "beam")
-    for _ in range(hops):
+    for _ in range(MOST_HOPS):
         order = Window.partitionBy("query", "open").orderBy(F.desc("sim"), "point")
         marked = state.withColumn("now", ~F.col("open") & (F.row_number().over(order) <= OPENED))
         opened = marked.where("now").select("query", "point").join(queries.select("query", "query_code"), "query")
@@ -239,8 +242,8 @@ def search(queries: DataFrame, points: DataFrame, graph: DataFrame, beam: int =
         after = after.groupBy("query", "point").agg(F.max("sim").alias("sim"), F.max("open").alias("open"))
         state = written(_best(after, beam, "query", "point"), "beam")
         if state.where("not open").isEmpty():
-            break
-    return state.select("query", "point", "sim")
+            return state.select("query", "point", "sim")
+    raise RuntimeError(f"the search has not ended in {MOST_HOPS} hops")
 
 
 def nearest(rows: DataFrame, wanted, k: int = 5, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
