@@ -37,6 +37,29 @@ def number_id(name: str = "doc_id"):
     return F.coalesce(F.col(name).cast("long"), F.lit((1 << 63) - 1))
 
 
+LOG_ID_BITS = 24
+
+
+def with_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Adds ``_d`` (id to compare by), ``_t`` (text) and ``_x``, ``_h``, which ``rows_of`` needs."""
+    return docs.withColumns({
+        "_d": number_id(key), "_t": F.col(text), "_x": F.xxhash64(number_id(key)), "_h": F.xxhash64(F.col(text)),
+    })
+
+
+def repeated_ids(docs: DataFrame, key: str) -> Bits:
+    """Which ids, null among them, may belong to several rows."""
+    counted = docs.groupBy(F.xxhash64(number_id(key)).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    return bitmap(counted.where("n > 1"), "k", LOG_ID_BITS)
+
+
+def rows_of(batch: pa.RecordBatch, repeated: Bits) -> list[int]:
+    """What tells the rows of an id apart: the digest of the text where the id may be
+    repeated, else 0. Rows of one id and one text are alike."""
+    again = repeated.has(batch.column("_x").to_numpy().view(np.uint64))
+    return np.where(again, batch.column("_h").to_numpy(), 0).tolist()
+
+
 def remainder(column: str, modulus: int):
     """crc32 of an id as text, modulo; null ids give null."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

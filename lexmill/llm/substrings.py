@@ -20,7 +20,8 @@ row per run. Only where an anchor has runs of different words, as at the ends of
 passages, single windows are compared.
 
 Documents are compared by id; a null id counts as the largest. Documents of the same id
-are not earlier than each other and are treated row by row. Null and empty texts have no words.
+are not earlier than each other and are treated row by row: where an id is repeated, its rows
+are told apart by a 64-bit digest of the text. Null and empty texts have no words.
 Windows are compared by 96 bits of digest.
 """
 
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest as digest
 
-from lexmill.llm.common import Bits, bitmap, number_id, words_of
+from lexmill.llm.common import Bits, bitmap, repeated_ids, rows_of, with_rows, words_of
 from lexmill.session import written
 
 WINDOW = 13
@@ -120,27 +121,30 @@ def runs_of(codes: np.ndarray, bits: Bits) -> tuple[np.ndarray, ...]:
     return anchors[starts].view(np.int64), whole.view(np.int64), starts.astype(np.int32), sizes.astype(np.int32)
 
 
-def _runs(texts: DataFrame, bits) -> DataFrame:
+def _runs(texts: DataFrame, bits, repeated) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = []
-            for key, text in zip(batch.column("_d").to_pylist(), batch.column("_t").to_pylist()):
+            rows = rows_of(batch, repeated.value)
+            for key, row, text in zip(batch.column("_d").to_pylist(), rows, batch.column("_t").to_pylist()):
                 words = words_of(text)
                 if len(words) >= WINDOW:
                     anchors, whole, starts, sizes = runs_of(codes_of(words), bits.value)
-                    made.append((anchors, whole, np.full(len(starts), key, np.int64), starts, sizes))
-            yield _table(made, "lllii", ["a", "r", "doc", "pos", "n"])
+                    made.append((anchors, whole, np.full(len(starts), key, np.int64),
+                                 np.full(len(starts), row, np.int64), starts, sizes))
+            yield _table(made, "llllii", ["a", "r", "doc", "row", "pos", "n"])
 
-    return texts.mapInArrow(find, "a long, r long, doc long, pos int, n int")
+    return texts.mapInArrow(find, "a long, r long, doc long, row long, pos int, n int")
 
 
-def _windows(texts: DataFrame, bits) -> DataFrame:
+def _windows(texts: DataFrame, bits, repeated) -> DataFrame:
     """Windows whose anchors are marked: digests, document and position."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = []
-            for key, text in zip(batch.column("_d").to_pylist(), batch.column("_t").to_pylist()):
+            rows = rows_of(batch, repeated.value)
+            for key, row, text in zip(batch.column("_d").to_pylist(), rows, batch.column("_t").to_pylist()):
                 words = words_of(text)
                 if len(words) < WINDOW:
                     continue
@@ -149,10 +153,10 @@ def _windows(texts: DataFrame, bits) -> DataFrame:
                 if len(at):
                     first, second = rolled(codes, WINDOW, _FIRST)[at], rolled(codes, WINDOW, _SECOND)[at]
                     made.append((first.view(np.int64), (second >> np.uint64(32)).astype(np.uint32).view(np.int32),
-                                 np.full(len(at), key, np.int64), at.astype(np.int32)))
-            yield _table(made, "lili", ["h", "g", "doc", "pos"])
+                                 np.full(len(at), key, np.int64), np.full(len(at), row, np.int64), at.astype(np.int32)))
+            yield _table(made, "lilli", ["h", "g", "doc", "row", "pos"])
 
-    return texts.mapInArrow(find, "h long, g int, doc long, pos int")
+    return texts.mapInArrow(find, "h long, g int, doc long, row long, pos int")
 
 
 def _firsts(rows: DataFrame, *by: str) -> DataFrame:
@@ -161,16 +165,16 @@ def _firsts(rows: DataFrame, *by: str) -> DataFrame:
     return found.select(*by, F.col("ref.doc").alias("ref_doc"), F.col("ref.pos").alias("ref_pos"), "last")
 
 
-def copied_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc``, ``pos``, ``n``: runs of windows that an earlier document holds, with ``ref_doc`` and
+def copied_runs(docs: DataFrame, repeated, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc``, ``row``, ``pos``, ``n``: runs of windows that an earlier document holds, with ``ref_doc`` and
     ``ref_pos``, their first place in the corpus."""
     context = docs.sparkSession.sparkContext
-    texts = docs.select(number_id(key).alias("_d"), F.col(text).alias("_t"))
-    runs = written(_runs(texts, context.broadcast(repeated_anchors(texts))), "runs")
+    texts = with_rows(docs, key, text).select("_d", "_t", "_x", "_h")
+    runs = written(_runs(texts, context.broadcast(repeated_anchors(texts)), repeated), "runs")
     first = written(_firsts(runs, "a", "r"), "run-index")
     several = first.groupBy("a").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    windows = written(_windows(texts, context.broadcast(bitmap(several, "a", LOG_BITS))), "windows")
-    place = ["doc", "pos", "n", "ref_doc", "ref_pos"]
+    windows = written(_windows(texts, context.broadcast(bitmap(several, "a", LOG_BITS)), repeated), "windows")
+    place = ["doc", "row", "pos", "n", "ref_doc", "ref_pos"]
     whole = runs.join(first.where("last > ref_doc"), ["a", "r"]).where("doc > ref_doc").select(*place)
     index = _firsts(windows, "h", "g").where("last > ref_doc")
     single = windows.join(index, ["h", "g"]).where("doc > ref_doc").withColumn("n", F.lit(1)).select(*place)
@@ -197,9 +201,12 @@ def parse(copied: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int,
 FACTOR = "array<struct<start:int,end:int,ref_doc:long,ref_start:int>>"
 
 
-def factors(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc`` and ``factors`` (start, end, ref_doc, ref_start in words) of every document
-    that copies from an earlier one. One document's windows meet in one row."""
+def factors(docs: DataFrame, key: str = "doc_id", text: str = "text", repeated=None) -> DataFrame:
+    """``doc``, ``row`` and ``factors`` (start, end, ref_doc, ref_start in words) of every document
+    that copies from an earlier one. One document's windows meet in one row; those of
+    rows of one id and one text are the same and count once. ``repeated`` is the broadcast
+    of ``repeated_ids``."""
+    repeated = repeated or docs.sparkSession.sparkContext.broadcast(repeated_ids(docs, key))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())]))
@@ -208,12 +215,14 @@ def factors(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
             for row in batch.column("w").to_pylist():
                 found = parse([(w["pos"], w["n"], w["ref_doc"], w["ref_pos"]) for w in row])
                 made.append([dict(zip(("start", "end", "ref_doc", "ref_start"), f)) for f in found])
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(made, kind)], ["doc", "factors"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc"), batch.column("row"), pa.array(made, kind)], ["doc", "row", "factors"]
+            )
 
-    grouped = copied_runs(docs, key, text).groupBy("doc").agg(
-        F.collect_list(F.struct("pos", "n", "ref_doc", "ref_pos")).alias("w")
+    grouped = copied_runs(docs, repeated, key, text).groupBy("doc", "row").agg(
+        F.collect_set(F.struct("pos", "n", "ref_doc", "ref_pos")).alias("w")
     )
-    return grouped.mapInArrow(apply, f"doc long, factors {FACTOR}")
+    return grouped.mapInArrow(apply, f"doc long, row long, factors {FACTOR}")
 
 
 def kept_words(words: list[bytes], spans: list[dict]) -> list[bytes]:
@@ -233,13 +242,14 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     Only texts that lose words are shuffled, told by a bitmap of their ids; a
     text that the bitmap lets through in vain comes back unchanged."""
     spark = docs.sparkSession
-    found = written(factors(docs, key, text), "factors")
+    repeated = spark.sparkContext.broadcast(repeated_ids(docs, key))
+    found = written(factors(docs, key, text, repeated), "factors")
     hit = bitmap(found.select(F.xxhash64("doc").alias("k")), "k", LOG_ROW_BITS)
     bits = spark.sparkContext.broadcast(hit)
     held = [c for c in docs.columns if c != text and c not in ("n_words", "n_removed")]
     nest = F.struct(*[F.col(c) for c in held]).alias("_held") if held else F.lit(1).alias("_held")
-    rows = docs.select(number_id(key).alias("_d"), F.xxhash64(number_id(key)).alias("_x"), F.col(text).alias("_t"), nest)
-    names = ["_d", "_t", "_held", "n_words", "n_removed"]
+    rows = with_rows(docs.withColumn("_held", nest), key, text).select("_d", "_t", "_held", "_x", "_h")
+    names = ["_d", "_row", "_t", "_held", "n_words", "n_removed"]
 
     def split(wanted: bool):
         def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,12 +258,13 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
                 part = batch.filter(pa.array(keep))
                 sizes = [len(words_of(t)) for t in part.column("_t").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_d"), part.column("_t"), part.column("_held"),
+                    [part.column("_d"), pa.array(rows_of(part, repeated.value), pa.int64()), part.column("_t"), part.column("_held"),
                      pa.array(sizes, pa.int64()), pa.array([0] * len(sizes), pa.int64())], names
                 )
 
         return rows.mapInArrow(apply, T.StructType([
-            *(rows.schema[c] for c in names[:3]), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())
+            rows.schema["_d"], T.StructField("_row", T.LongType()), rows.schema["_t"], rows.schema["_held"],
+            T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
         ]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,14 +276,14 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
                 removed.append(len(words) - len(left))
                 texts.append(body if not spans else b" ".join(left).decode("utf-8", "surrogatepass"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_d"), pa.array(texts, pa.string()), batch.column("_held"), batch.column("n_words"),
+                [batch.column("_d"), batch.column("_row"), pa.array(texts, pa.string()), batch.column("_held"), batch.column("n_words"),
                  pa.array(removed, pa.int64())], names
             )
 
     plain = split(False)
     joined = split(True).drop("n_removed").join(
-        found, F.col("_d") == F.col("doc"), "left"
-    ).select("_d", "_t", "_held", "n_words", "factors")
+        found, (F.col("_d") == F.col("doc")) & (F.col("_row") == F.col("row")), "left"
+    ).select("_d", "_row", "_t", "_held", "n_words", "factors")
     done = plain.unionByName(joined.mapInArrow(cut, plain.schema))
     order = [c for c in docs.columns if c not in ("n_words", "n_removed")]
     return done.select(

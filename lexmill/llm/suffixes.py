@@ -17,7 +17,7 @@ fixed size; a full bitmap costs sorting, never results. Bytes are compared thems
 not by digest.
 
 Null text is empty. Ids order the documents; a null id is the largest, and rows of the same id are not earlier than
-each other and are treated alike.
+each other. Where an id is repeated, its rows are told apart by a 64-bit digest of the text.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.llm.common import bitmap, number_id
+from lexmill.llm.common import bitmap, repeated_ids, rows_of, with_rows
 from lexmill.llm.substrings import _FIRST, _table, least_of, rolled
 from lexmill.session import written
 
@@ -54,14 +54,15 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _table(made, "l", ["key"])
 
 
-def _sample(texts: DataFrame, bits) -> DataFrame:
+def _sample(texts: DataFrame, bits, repeated) -> DataFrame:
     """Sampled positions that some candidate needs: both triples, the bytes around, and which
     of the shifts 0, 1, 2 belong to a candidate position."""
-    names = ["doc", "at", "one", "two", "before", "behind", "use"]
+    names = ["doc", "row", "at", "one", "two", "before", "behind", "use"]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, data in zip(batch.column("_d").to_pylist(), map(_bytes, batch.column("_t").to_pylist())):
+            rows = rows_of(batch, repeated.value)
+            for key, row, data in zip(batch.column("_d").to_pylist(), rows, map(_bytes, batch.column("_t").to_pylist())):
                 if len(data) < LENGTH:
                     continue
                 wanted = np.zeros(len(data) + 3, bool)
@@ -73,7 +74,7 @@ def _sample(texts: DataFrame, bits) -> DataFrame:
                 for start in range(0, len(at), 20_000):
                     part = at[start : start + 20_000].tolist()
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([key] * len(part), pa.int64()), pa.array(part, pa.int64()),
+                        [pa.array([key] * len(part), pa.int64()), pa.array([row] * len(part), pa.int64()), pa.array(part, pa.int64()),
                          pa.array([whole[q : q + NAMED] for q in part], pa.binary()),
                          pa.array([whole[q + NAMED : q + 2 * NAMED] for q in part], pa.binary()),
                          pa.array([whole[max(q - 2, 0) : q] for q in part], pa.binary()),
@@ -82,7 +83,7 @@ def _sample(texts: DataFrame, bits) -> DataFrame:
                         names,
                     )
 
-    return texts.mapInArrow(find, "doc long, at long, one binary, two binary, before binary, behind binary, use int")
+    return texts.mapInArrow(find, "doc long, row long, at long, one binary, two binary, before binary, behind binary, use int")
 
 
 def named(keys: DataFrame, *by: str) -> DataFrame:
@@ -100,24 +101,24 @@ def named(keys: DataFrame, *by: str) -> DataFrame:
     return ranged.join(F.broadcast(offsets), "_part").select(*by, (F.col("_before") + F.col("_place")).alias("name"))
 
 
-def copied_positions(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc``, ``at``: starts of 50-byte strings that an earlier document holds."""
+def copied_positions(docs: DataFrame, repeated, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc``, ``row``, ``at``: starts of 50-byte strings that an earlier document holds."""
     context = docs.sparkSession.sparkContext
-    texts = docs.select(number_id(key).alias("_d"), F.col(text).alias("_t")).where(F.octet_length("_t") >= LENGTH)
+    texts = with_rows(docs, key, text).select("_d", "_t", "_x", "_h").where(F.octet_length("_t") >= LENGTH)
     counted = texts.select("_t").mapInArrow(_anchors, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     bits = context.broadcast(bitmap(counted.where("n > 1"), "key", LOG_BITS))
-    sample = written(_sample(texts, bits), "sample")
+    sample = written(_sample(texts, bits, repeated), "sample")
     triples = named(sample.select(F.col("one").alias("k")).union(sample.select("two")), "k")
     first = triples.select(F.col("k").alias("one"), F.col("name").alias("a"))
     second = triples.select(F.col("k").alias("two"), F.col("name").alias("b"))
     ranked = written(
-        sample.join(first, "one").join(second, "two").select("doc", "at", "a", "b", "before", "behind", "use"), "ranked"
+        sample.join(first, "one").join(second, "two").select("doc", "row", "at", "a", "b", "before", "behind", "use"), "ranked"
     )
     order = ranked.join(named(ranked, "a", "b"), ["a", "b"])
     # The suffix at ``at - s``: s bytes before the sampled name, 2 - s behind it.
     shifts = F.filter(F.array(F.lit(0), F.lit(1), F.lit(2)), lambda s: F.floor(F.col("use") / F.pow(F.lit(2), s)) % 2 == 1)
-    rows = order.select("doc", "at", "name", "before", "behind", F.explode(shifts).alias("shift")).select(
-        "doc", (F.col("at") - F.col("shift")).alias("at"), "shift", "name",
+    rows = order.select("doc", "row", "at", "name", "before", "behind", F.explode(shifts).alias("shift")).select(
+        "doc", "row", (F.col("at") - F.col("shift")).alias("at"), "shift", "name",
         F.concat(
             F.expr("substring(before, greatest(octet_length(before) - shift + 1, 1), shift)"),
             F.expr("substring(behind, 1, 2 - shift)"),
@@ -126,11 +127,13 @@ def copied_positions(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     rows = written(rows, "suffixes")
     same = ["shift", "name", "rest"]
     groups = rows.groupBy(*same).agg(F.min("doc").alias("least"), F.max("doc").alias("last")).where("last > least")
-    return rows.join(groups, same).where("doc > least").select("doc", "at").distinct()
+    return rows.join(groups, same).where("doc > least").select("doc", "row", "at").distinct()
 
 
-def spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc`` and ``spans`` (start, end in bytes), the maximal copied runs of a document."""
+def spans(docs: DataFrame, key: str = "doc_id", text: str = "text", repeated=None) -> DataFrame:
+    """``doc``, ``row`` and ``spans`` (start, end in bytes), the maximal copied runs of a document.
+    ``repeated`` is the broadcast of ``repeated_ids``."""
+    repeated = repeated or docs.sparkSession.sparkContext.broadcast(repeated_ids(docs, key))
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,18 +144,29 @@ def spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
                 new = np.flatnonzero(np.r_[True, at[1:] > at[:-1] + LENGTH])
                 ends = at[np.r_[new[1:] - 1, len(at) - 1]] + LENGTH
                 made.append([{"start": int(s), "end": int(e)} for s, e in zip(at[new], ends)])
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(made, kind)], ["doc", "spans"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc"), batch.column("row"), pa.array(made, kind)], ["doc", "row", "spans"]
+            )
 
-    found = copied_positions(docs, key, text).groupBy("doc").agg(F.collect_list("at").alias("at"))
-    return found.mapInArrow(merge, "doc long, spans array<struct<start:long,end:long>>")
+    found = copied_positions(docs, repeated, key, text).groupBy("doc", "row").agg(F.collect_list("at").alias("at"))
+    return found.mapInArrow(merge, "doc long, row long, spans array<struct<start:long,end:long>>")
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row with ``spans`` and ``kept`` (binary: a cut may fall within a character)."""
-    found = written(spans(docs, key, text), "spans")
+    repeated = docs.sparkSession.sparkContext.broadcast(repeated_ids(docs, key))
+    found = written(spans(docs, key, text, repeated), "spans")
     names = [c for c in docs.columns if c not in ("spans", "kept")]
-    held = docs.select(F.struct(*names).alias("_held"), number_id(key).alias("_d"), F.col(text).alias("_t"))
-    joined = held.join(found, F.col("_d") == F.col("doc"), "left").select(
+    held = with_rows(docs.select(F.struct(*names).alias("_held")), f"_held.{key}", f"_held.{text}")
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pa.array(rows_of(batch, repeated.value), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("_held"), batch.column("_t"), batch.column("_d"), rows], ["_held", "_t", "_d", "_row"])
+
+    kinds = [*(held.schema[c] for c in ("_held", "_t", "_d")), T.StructField("_row", T.LongType())]
+    held = held.mapInArrow(tell, T.StructType(kinds))
+    joined = held.join(found, (F.col("_d") == F.col("doc")) & (F.col("_row") == F.col("row")), "left").select(
         "_held", "_t", F.coalesce("spans", F.array().cast("array<struct<start:long,end:long>>")).alias("spans")
     )
 
