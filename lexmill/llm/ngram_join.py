@@ -30,8 +30,9 @@ leader (for ``t`` of a third or more; below it there are no crowds), which the f
 found. No link between different components is lost.
 
 Documents of fewer words than a shingle are one shingle, those without words are linked
-with nothing. Null text has no words. A null id counts as one id larger than all others.
-Rows that repeat an id are one document for linking, and each is returned.
+with nothing. Null text has no words. A class is linked under a number of its own (64 bits of
+its digest), so rows of a null or repeated id are linked each by its own text. Ids are only labels, the
+least of a class or component; a null id counts as larger than all others.
 """
 
 from __future__ import annotations
@@ -119,7 +120,7 @@ def prefix(found: np.ndarray, threshold: int, head: np.ndarray, counts: np.ndarr
 
 
 def _classes(texts: DataFrame, size: int, threshold: int) -> DataFrame:
-    """``doc``, ``n``, ``class`` (digest of the set), ``m`` and ``prefix`` of every row."""
+    """``doc``, ``hash`` (of the text), ``n``, ``class`` (digest of the set), ``m`` and ``prefix`` of every row."""
     shared = texts.sparkSession.sparkContext.broadcast(_frequent(texts, size))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,34 +137,41 @@ def _classes(texts: DataFrame, size: int, threshold: int) -> DataFrame:
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_d"), pa.array(ns, pa.int64()), pa.array(classes, pa.binary()),
+                [batch.column("_d"), batch.column("_h"), pa.array(ns, pa.int64()), pa.array(classes, pa.binary()),
                  pa.array(ms, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                ["doc", "n", "class", "m", "prefix"],
+                ["doc", "hash", "n", "class", "m", "prefix"],
             )
 
-    return written(texts.mapInArrow(make, "doc long, n long, class binary, m int, prefix array<long>"), "shingles")
+    return written(texts.mapInArrow(make, "doc long, hash long, n long, class binary, m int, prefix array<long>"), "shingles")
 
 
-def _sets(docs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """``doc`` and ``set``, made again from the texts of the documents ``d`` asked for (and of
-    a few more), which a bitmap tells."""
-    keys = docs.select(F.xxhash64("d").alias("k"))
+def _number(digests) -> np.ndarray:
+    """Numbers of classes from their digests."""
+    return np.frombuffer(b"".join(d[:8] for d in digests), ">i8").astype(np.int64)
+
+
+def _sets(reps: DataFrame, classes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """``rep`` and ``set`` of the classes ``rep`` asked for (and of a few more), made again from the
+    texts of their least documents, which a bitmap tells. Each class once."""
+    keys = classes.join(reps.distinct(), "rep", "left_semi").select(F.xxhash64("first.doc", "first.hash").alias("k"))
     bits = texts.sparkSession.sparkContext.broadcast(bitmap(keys, "k", LOG_BITS))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             part = batch.filter(pa.array(bits.value.has(batch.column("_x").to_numpy().view(np.uint64))))
-            made = [shingles(t, size).tobytes() for t in part.column("_t").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("_d"), pa.array(made, pa.binary())], ["doc", "set"])
+            made = [m for m in (shingles(t, size).tobytes() for t in part.column("_t").to_pylist()) if m]
+            reps = _number(md5(m).digest() for m in made)
+            yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(made, pa.binary())], ["rep", "set"])
 
-    return texts.withColumn("_x", F.xxhash64("_d")).mapInArrow(sets, "doc long, set binary")
+    found = texts.withColumn("_x", F.xxhash64("_d", "_h")).mapInArrow(sets, "rep long, set binary")
+    return found.groupBy("rep").agg(F.any_value("set").alias("set"))
 
 
-def _with_sets(pairs: DataFrame, a: str, b: str, texts: DataFrame, size: int) -> DataFrame:
-    """Adds the sets ``x`` and ``y`` of the documents ``a`` and ``b``."""
-    found = _sets(pairs.select(F.explode(F.array(a, b)).alias("d")), texts, size)
-    left = found.select(F.col("doc").alias(a), F.col("set").alias("x"))
-    right = found.select(F.col("doc").alias(b), F.col("set").alias("y"))
+def _with_sets(pairs: DataFrame, a: str, b: str, classes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """Adds the sets ``x`` and ``y`` of the classes ``a`` and ``b``."""
+    found = _sets(pairs.select(F.explode(F.array(a, b)).alias("rep")), classes, texts, size)
+    left = found.select(F.col("rep").alias(a), F.col("set").alias("x"))
+    right = found.select(F.col("rep").alias(b), F.col("set").alias("y"))
     return pairs.join(left, a).join(right, b).select(a, b, "x", "y")
 
 
@@ -172,7 +180,7 @@ def _both(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
+def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
     """Pairs (``a``, ``b``) that reach the threshold."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,10 +192,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: int) ->
             part = batch.filter(pa.array(good, pa.bool_()))
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"])
 
-    return _with_sets(pairs, "a", "b", texts, size).mapInArrow(check, "a long, b long")
+    return _with_sets(pairs, "a", "b", classes, texts, size).mapInArrow(check, "a long, b long")
 
 
-def _differences(crowds: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
+def _differences(crowds: DataFrame, classes: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
     """``rep``, ``crowd``, ``d`` and the first ``token``s with their ``pos`` of the difference
     between each member's set and its leader's, those rare in the crowd first."""
 
@@ -202,7 +210,7 @@ def _differences(crowds: DataFrame, texts: DataFrame, size: int, threshold: int)
                 ["rep", "crowd", "n", "tokens"],
             )
 
-    found = _with_sets(crowds, "rep", "crowd", texts, size).mapInArrow(
+    found = _with_sets(crowds, "rep", "crowd", classes, texts, size).mapInArrow(
         differ, "rep long, crowd long, n long, tokens array<long>"
     )
     tokens = written(
@@ -243,16 +251,18 @@ def _pairs(met: DataFrame, least) -> DataFrame:
 
 
 def link(docs: DataFrame, size: int, threshold: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc``, ``n_shingles``, ``class_id`` (least document of the same set) and
-    ``component_id`` of every row; ``threshold`` in percent."""
+    """``doc``, ``n_shingles``, ``class_id`` (least document of the same set), ``component_id``,
+    ``hash`` (of the text) and ``first`` (least ``doc`` and ``hash`` of the component, null without
+    words) of every row; ``threshold`` in percent."""
     spark = docs.sparkSession
-    texts = docs.select(number_id(key).alias("_d"), F.col(text).alias("_t"))
+    texts = docs.select(number_id(key).alias("_d"), F.col(text).alias("_t"), F.xxhash64(F.col(text)).alias("_h"))
     rows = _classes(texts, size, threshold)
     full = rows.where("class is not null")
     classes = written(
         full.groupBy("class").agg(
-            F.min("doc").alias("rep"), F.max("n").alias("n"), F.max("m").alias("m"), F.any_value("prefix").alias("prefix")
-        ),
+            F.min(F.struct("doc", "hash")).alias("first"), F.max("n").alias("n"), F.max("m").alias("m"),
+            F.any_value("prefix").alias("prefix"),
+        ).withColumn("rep", F.conv(F.hex(F.substring("class", 1, 8)), 16, -10).cast("long")),
         "classes",
     )
     tokens = classes.select("rep", "n", "m", F.posexplode("prefix").alias("pos", "token"))
@@ -308,7 +318,7 @@ def link(docs: DataFrame, size: int, threshold: int, key: str = "doc_id", text:
             apart = F.coalesce(F.col("crowd") != F.col("other_crowd"), F.lit(True))
             pairs = _pairs(met.where(near("other_n") & apart & reached("") & reached("other_")), matches)
             if not crowds.isEmpty():
-                inner = _differences(crowds, texts, size, threshold).join(classes.select("rep", "n"), "rep")
+                inner = _differences(crowds, classes, texts, size, threshold).join(classes.select("rep", "n"), "rep")
                 inner = inner.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
                 met = _across(written(inner, "inner"), ["crowd", "token"])
 
@@ -322,24 +332,37 @@ def link(docs: DataFrame, size: int, threshold: int, key: str = "doc_id", text:
         pairs = written(pairs, "pairs")
         if pairs.isEmpty():
             continue
-        found = written(_verified(pairs, texts, size, threshold), "links")
+        found = written(_verified(pairs, classes, texts, size, threshold), "links")
         links = found if links is None else links.unionByName(found)
         labels = components(links)
-    named = classes.select("class", "rep").join(
-        labels.select(F.col("node").alias("rep"), "component"), "rep", "left"
-    ).select("class", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"))
+    members = classes.select("class", "rep", "first").join(
+        labels.withColumnRenamed("node", "rep"), "rep", "left"
+    ).withColumn("component", F.coalesce("component", "rep"))
+    leasts = members.groupBy("component").agg(F.min("first").alias("least"))
+    named = members.join(leasts, "component").select("class", F.col("first.doc").alias("class_id"), "least")
     return (
-        rows.select("doc", F.col("n").alias("n_shingles"), "class").join(named, "class", "left")
+        rows.select("doc", "hash", F.col("n").alias("n_shingles"), "class").join(named, "class", "left")
         .select("doc", "n_shingles", F.coalesce("class_id", "doc").alias("class_id"),
-                F.coalesce("component_id", "doc").alias("component_id"))
+                F.coalesce("least.doc", "doc").alias("component_id"), "hash", F.col("least").alias("first"))
     )
 
 
 def representatives(docs: DataFrame, size: int, similarity: float, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents whose id is the least of their group. Rows that repeat an id are one
-    document and stay or go together."""
-    found = link(docs, size, round(100 * similarity), key, text)
-    gone = written(found.where("doc <> component_id").select("doc").distinct(), "gone")
-    keyed = docs.withColumn("_doc_key", number_id(key))
-    kept = keyed.join(gone, keyed["_doc_key"] == gone["doc"], "left_anti")
-    return kept.drop("_doc_key")
+    """Of each group the document with the least id, and of several with that id the one whose
+    text has the least digest. Rows that repeat an id and its text are one document and stay or go
+    together; rows without an id are a document each, so one of equal ones stays."""
+    found = written(link(docs, size, round(100 * similarity), key, text), "groups")
+    gone = written(
+        found.where("first is not null and (doc <> first.doc or hash <> first.hash)").select("doc", "hash").distinct(), "gone"
+    )
+    keyed = docs.withColumns({"_doc_key": number_id(key), "_hash": F.xxhash64(F.col(text))})
+    left = lambda rows: rows.join(
+        gone, (rows["_doc_key"] == gone["doc"]) & (rows["_hash"] == gone["hash"]), "left_anti")
+    without = found.where(f"first is not null and doc = first.doc and hash = first.hash and doc = {(1 << 63) - 1}")
+    again = written(without.groupBy("hash").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "again")
+    if again.isEmpty():
+        return left(keyed).select(*docs.columns)
+    equal = F.col(key).isNull() & F.col("_repeated").isNotNull()
+    marked = left(keyed).join(again.select(F.col("hash").alias("_hash"), F.lit(1).alias("_repeated")), "_hash", "left")
+    one = marked.where(equal).dropDuplicates(["_hash"])
+    return marked.where(~equal).unionByName(one).select(*docs.columns)
