@@ -46,6 +46,13 @@ FAMILIES = {
 FAMILY = {code: name for name, codes in FAMILIES.items() for code in codes}
 
 _LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; the pattern also finds numerals such as a half."""
+    return any(m[0].isalpha() for m in _LETTER.finditer(text))
+
+
 _FOLD = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F], np.uint32)
 
@@ -103,7 +110,7 @@ def _features(rows: DataFrame) -> DataFrame:
         for batch in batches:
             langs, keys, values = [], [], []
             for lang, text in zip(batch.column("_l").to_pylist(), batch.column("_t").to_pylist()):
-                if not _LETTER.search(text):
+                if not has_letter(text):
                     continue
                 at = max(0, len(text) // 2 - PASSAGE // 2)
                 for part in {text, text[at : at + PASSAGE]}:
@@ -179,7 +186,7 @@ def decisions(texts: list[str], model: Model) -> np.ndarray:
 
 
 def choose(text: str | None, values: np.ndarray, model: Model) -> tuple[str, float]:
-    if not text or not model.families or not _LETTER.search(text):
+    if not text or not model.families or not has_letter(text):
         return UNKNOWN, 0.0
     certain = lambda margin: 1.0 / (1.0 + np.exp(-2.0 * np.clip(margin, -30, 30)))
     families = {c[1]: values[i] for i, c in enumerate(model.columns) if c[0] == "family"}
