@@ -6,9 +6,10 @@ bytes each, so 24 bytes) are sorted and named by rank; the algorithm then recurs
 names: a pair of names 24 bytes apart is sorted and named in turn, which orders the
 sample by 48 bytes. The remaining suffixes are merged through the cover: any two residues
 modulo 3 have a shift of 0, 1 or 2 that takes both into the sample, so they compare by the
-sampled name behind it and the two bytes left over. In each of these three orders equal
-neighbours are found and share the least document among them; two orders cover every
-position, and together they compare it with all others.
+sampled name behind it and the two bytes left over. Only equality in the first 50 bytes is
+wanted, so the ranks serve as keys: grouping by shift, name and bytes left over takes the place of
+the merge and the comparison of neighbours, and gives each group's least document. Every
+position is in the group of each shift that takes it into the sample.
 
 Positions that surely do not repeat are left out first: a window of 50 bytes has as anchor the
 least digest of its 25-byte pieces, and only windows whose anchor occurs in two documents or more can be
