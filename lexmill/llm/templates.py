@@ -9,8 +9,8 @@ and filters behind ``|``. In a loop ``loop`` has ``index``, ``first``, ``last``
 
 The language is closed: only keys of mappings are looked up, never attributes of Python
 objects, nothing can be called but the filters handed to ``compile_template``, and
-there are no unbounded loops. What is missing is empty and false. Source length and
-nesting are bounded. ``messages`` is read as a stream, once and in order, so it may only be
+there are no unbounded loops. What is missing is empty and false. Source length, nesting and
+the length of a mark are bounded. ``messages`` is read as a stream, once and in order, so it may only be
 the source of one loop that is not inside another.
 
 Text is parsed into a tree, constants are folded (expressions, filters of constants,
@@ -25,6 +25,7 @@ from typing import Any, NamedTuple
 
 LONGEST_SOURCE = 1 << 16
 DEEPEST = 40
+MOST_TOKENS = 200  # of one mark
 STREAM = "messages"
 
 # What a rendering yields besides text.
@@ -173,6 +174,8 @@ class _Expression:
                 raise TemplateError(f"not understood: {source[place:place + 20]!r}")
             self.tokens.append((found.lastgroup, found.group(found.lastgroup)))
             place = found.end()
+        if len(self.tokens) > MOST_TOKENS:
+            raise TemplateError("expression too long")
 
     def peek(self) -> str | None:
         return self.tokens[self.at][1] if self.at < len(self.tokens) and self.tokens[self.at][0] != "str" else None
