@@ -91,7 +91,7 @@ def _page_step(name: str, step, sql: str) -> None:
         return web_pages(spark, folder).select("page_id", step("html").alias("text"))
 
 
-_page_step("html_drop_elements", X.drop_html_elements, S.drop("html", *P.HTML_ELEMENTS))
+_page_step("html_drop_elements", X.drop_html_elements, S.drop("html", *S.HTML_ELEMENTS))
 _page_step("html_drop_comments", X.drop_html_comments, S.drop("html", P.HTML_COMMENT))
 _page_step("strip_tags", X.strip_tags, S.rr("html", P.HTML_TAG, " "))
 

@@ -50,8 +50,11 @@ def normalized(expr: str) -> str:
     return blanks(control(f"nfc_normalize(lower({expr}))"))
 
 
+HTML_ELEMENTS = tuple(rf"(?is)<{e}\b[^>]*>.*?</{e}\s*>" for e in P.HIDDEN_ELEMENTS)
+
+
 def html_bare(expr: str) -> str:
-    return rr(drop(expr, *P.HTML_ELEMENTS, P.HTML_COMMENT), P.HTML_TAG, " ")
+    return rr(drop(expr, *HTML_ELEMENTS, P.HTML_COMMENT), P.HTML_TAG, " ")
 
 
 def unescaped(expr: str) -> str:

@@ -36,12 +36,24 @@ CONTROL = r"[\x00-\x08\x0b-\x1f\x7f-\x9f\p{Cf}\p{Co}]"
 BLANKS = r"[ \t]+"
 MAYBE_NOT_NFC = r"[\x{300}-\x{10ffff}]"
 
-# HTML.
-HTML_ELEMENTS = (
-    r"(?is)<script\b[^>]*>.*?</script\s*>",
-    r"(?is)<style\b[^>]*>.*?</style\s*>",
-    r"(?is)<noscript\b[^>]*>.*?</noscript\s*>",
-)
+# HTML. An element is removed from its open mark to the next end mark of its kind.
+HIDDEN_ELEMENTS = ("script", "style", "noscript")
+
+
+def open_mark(element: str) -> str:
+    """How an open mark begins; it goes on to the next ``>``."""
+    return rf"(?i)<{element}\b"
+
+
+def end_mark(element: str) -> str:
+    return rf"(?i)</{element}\s*>"
+
+
+def upto_end_marks(element: str) -> str:
+    """Pieces of a text, each up to and with an end mark; the last may have none."""
+    return rf"(?is).*?</{element}\s*>|.++"
+
+
 HTML_COMMENT = r"(?s)<!--.*?-->"
 HTML_TAG = r"(?s)<[!/a-zA-Z][^>]*>"
 BOILERPLATE = (

@@ -56,8 +56,60 @@ def squeeze_newlines(text) -> Column:
 # -- web pages ---------------------------------------------------------------
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def drop_elements(text, element: str) -> Column:
+    """Remove elements of a kind, from each open mark to the next end mark behind it.
+
+    Linear whatever the marks: the text is cut once behind every end mark, and only the first
+    open mark of each piece matters. One that has its ``>`` is closed by the end mark of its piece. In
+    one without, the ``>`` of that end mark is its own, so the element goes on to the end of the
+    next piece; where there is none, it is not closed and stays. The state that runs
+    over the pieces is a string with one character each: ``k`` keep, ``c`` cut behind the
+    open mark, ``o`` the same and go on, ``d`` drop, ``t`` the tail without an end mark.
+    """
+
+    def parts(piece: Column) -> Column:
+        return F.struct(
+            piece.alias("piece"), F.split(piece, P.open_mark(element), 2).alias("cut"),
+            (~F.rlike(piece, F.lit(P.end_mark(element)))).alias("tail"),
+        )
+
+    def state(part: Column) -> Column:
+        behind = part["cut"][1]
+        return (
+            F.when(part["tail"], "t").when(F.size(part["cut"]) < 2, "k")
+            .when(F.instr(behind, ">") < F.length(behind), "c").otherwise("o")
+        )
+
+    def joined(cut: Column) -> Column:
+        states = F.array_join(F.transform(cut, state), "")
+        running = F.regexp_replace(F.regexp_replace(states, "o[^t]", "od"), "o(?!d)", "k")
+        with_state = F.arrays_zip(
+            cut.alias("part"), F.regexp_extract_all(running, F.lit("."), F.lit(0)).alias("state")
+        )
+        return F.array_join(
+            F.transform(
+                with_state,
+                lambda z: F.when(z["state"] == "d", "")
+                .when(z["state"].isin("k", "t"), z["part"]["piece"]).otherwise(z["part"]["cut"][0]),
+            ),
+            "",
+        )
+
+    def removed(whole: Column) -> Column:
+        pieces = F.regexp_extract_all(whole, F.lit(P.upto_end_marks(element)), F.lit(0))
+        cut = _let(F.transform(pieces, parts), joined)
+        return F.when(F.rlike(whole, F.lit(P.end_mark(element))), cut).otherwise(whole)
+
+    return _let(_column(text), removed)
+
+
 def drop_html_elements(text) -> Column:
-    return _drop(text, *P.HTML_ELEMENTS)
+    return reduce(drop_elements, P.HIDDEN_ELEMENTS, _column(text))
 
 
 def drop_html_comments(text) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 import unicodedata
 
 import pytest
@@ -162,3 +163,32 @@ def test_long_runs_stay_linear(texts):
         X.count_matches(X.upto_last("text", ">"), P.TAG).alias("tags"),
     ).collect()
     assert {r.id: r.tags for r in measured}[2] == 0
+
+
+MARKS = st.sampled_from([
+    "<script>", "<script ", "</script>", "</SCRIPT \n>", "<script", ">", "x", "<style a=b>", "</style>", "<noscript>",
+    "</noscript", "\n", "<scripts>", "é", "</script",
+])
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(MARKS, max_size=20).map("".join), min_size=100, max_size=200))
+def test_elements_end_at_the_next_end_mark(texts, samples):
+    def expected(page):
+        for element in P.HIDDEN_ELEMENTS:
+            page = re.sub(rf"(?is)<{element}\b[^>]*>.*?</{element}\s*>", "", page)
+        return page
+
+    assert run(texts, X.drop_html_elements, *samples, None) == [*map(expected, samples), None]
+
+
+@pytest.mark.parametrize("mark, end", [
+    ("<script>", ""), ("<style>", ""), ("<noscript>", ""), ("<script ", ""), ("<script ", "</script>"),
+    ("</script>", ""), ("<script </script>", ""), ("<script>a</script>b", ""), ("<style ", "</style></style>"),
+])
+def test_a_megabyte_of_marks_is_linear(texts, mark, end):
+    page = texts(mark * (1_000_000 // len(mark)) + end)
+    run(texts, X.drop_html_elements, mark)  # compiled before the clock starts
+    start = time.perf_counter()
+    page.select(X.drop_html_elements("text").alias("text")).collect()
+    assert time.perf_counter() - start < 3
