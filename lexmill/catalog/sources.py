@@ -66,13 +66,11 @@ def read_whole_text(spark, folder):
 @query(
     "write_text",
     f"""
-    SELECT source, stage, count(*) AS n_lines, sum(length(line))::BIGINT AS n_chars
-    FROM (
-      SELECT source, 'raw' AS stage, unnest(string_split(text, chr(10))) AS line FROM documents
+    SELECT source, stage, file, text, count(*) AS n, any_value(n_files) AS n_files FROM (
+      SELECT source, 'raw' AS stage, 0 AS file, text, 1 AS n_files FROM documents
       UNION ALL
-      SELECT source, 'clean', unnest(string_split({S.strip("text")}, chr(10)))
-      FROM documents
-    ) GROUP BY source, stage
+      SELECT source, 'clean', 0, {S.strip("text")}, 1 FROM documents
+    ) GROUP BY source, stage, file, text
     """,
 )
 def write_text(spark, folder):
@@ -83,10 +81,10 @@ def write_text(spark, folder):
     )
     path = scratch_path(spark, "staged")
     writers.write_text(docs.select("source", F.inline(stages)), path, "body")
-    lines = spark.read.schema("value string, source string, stage string").text(path)
-    return lines.groupBy("source", "stage").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("value")).alias("n_chars")
-    )
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    counted = files.groupBy("source", "stage").agg(F.count(F.lit(1)).cast("int").alias("n_files"))
+    back = writers.read_text(spark, path).groupBy("source", "stage", "file", "text").agg(F.count(F.lit(1)).alias("n"))
+    return back.join(F.broadcast(counted), ["source", "stage"])
 
 
 @query(
@@ -234,8 +232,8 @@ def filter_extension(spark, folder):
     return readers.with_extension(named, ".txt", ".xz")
 
 
-@query("list_corpus_files")
+@query("list_corpus_files", "SELECT 'documents.parquet' AS file, count(*) AS n_rows FROM documents")
 def list_corpus_files(spark, folder):
-    return readers.list_files(spark, folder, "*.parquet").select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), "length"
-    )
+    """Files of the corpus with their rows."""
+    files = readers.with_file_name(table(spark, folder, "documents"), "file")
+    return files.groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"))

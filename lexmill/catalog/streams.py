@@ -39,8 +39,12 @@ def stream_token_stats(spark, folder):
     """,
 )
 def stream_clean_tokenize(spark, folder):
-    stream = jobs.stream_clean_tokenize(_stream(spark, folder), byte_ranks())
-    done = jobs.run_to_table(stream, *jobs.fresh_paths(spark, "stream-tokens"))
+    ranks = byte_ranks()
+    done = jobs.run_spread(
+        _stream(spark, folder).select("doc_id", "text"),
+        lambda batch: jobs.stream_clean_tokenize(batch, ranks),
+        *jobs.fresh_paths(spark, "stream-tokens"),
+    )
     return done.select("doc_id", hexed("tokens").alias("tokens"), "token_count")
 
 

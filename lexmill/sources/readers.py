@@ -82,15 +82,63 @@ def sample_files(df: DataFrame, k: int, seed: int = 42, path: str = "path") -> D
     return seeded_sample(df, path, k, seed)
 
 
-def read_sql(spark: SparkSession, query: str, url: str | None = None, **options) -> DataFrame:
-    """First column of a user's query, as ``text``. With ``url`` the query runs in
-    that database over JDBC, otherwise over the session's tables and views."""
+FETCH_ROWS = 10_000
+
+
+def jdbc_options(url: str, query: str, column: str | None = None, lower: object = None,
+                 upper: object = None, parts: int | None = None, **options) -> dict[str, str]:
+    """Options of a JDBC read of a user's query.
+
+    With ``column`` the query is read in ``parts`` ranges of that column at once; it must be a
+    number, date or timestamp of the query. The bounds only place the cuts: rows beyond
+    them, and nulls, are read as well. Without it one task reads everything.
+    """
+    made = {"url": url, "fetchsize": str(FETCH_ROWS)}
+    if column is None:
+        if (lower, upper, parts) != (None, None, None):
+            raise ValueError("bounds and parts need a column")
+        return made | {"query": query} | options
+    if lower is None or upper is None or not parts or parts < 1:
+        raise ValueError("a column needs lower, upper and parts")
+    # A partition column and the option ``query`` exclude each other.
+    return made | {
+        "dbtable": f"({query.strip().rstrip(';')}) lexmill_query", "partitionColumn": column,
+        "lowerBound": str(lower), "upperBound": str(upper), "numPartitions": str(parts),
+    } | options
+
+
+def bounds_query(query: str, column: str) -> str:
+    """The query that finds a column's bounds in the database."""
+    return (
+        f"SELECT MIN({column}) AS least, MAX({column}) AS most "
+        f"FROM ({query.strip().rstrip(';')}) lexmill_query"
+    )
+
+
+def read_sql(spark: SparkSession, query: str, url: str | None = None, column: str | None = None,
+             lower: object = None, upper: object = None, parts: int | None = None, text: str | None = None,
+             **options) -> DataFrame:
+    """One column of a user's query as ``text``: the first, or the one named by ``text``. With ``url``
+    the query runs in that database over JDBC, otherwise over the session's tables and views.
+
+    ``column`` splits the JDBC read into ranges (see ``jdbc_options``). Bounds that are not
+    given are asked for first; ``parts`` is then the cluster's number of cores.
+    """
     if url is None:
         df = spark.sql(query)
     else:
-        reader = spark.read.format("jdbc").option("url", url).option("query", query)
-        df = reader.options(**options).load()
-    return df.select(F.col(df.columns[0]).alias("text"))
+        def load(**opts: str) -> DataFrame:
+            return spark.read.format("jdbc").options(**opts).load()
+
+        if column is not None:
+            parts = parts or spark.sparkContext.defaultParallelism
+            if lower is None or upper is None:
+                found = load(**jdbc_options(url, bounds_query(query, column), **options)).first()
+                lower, upper = (found[0] if lower is None else lower), (found[1] if upper is None else upper)
+            if lower is None or upper is None:  # no rows, or only nulls
+                column = lower = upper = parts = None
+        df = load(**jdbc_options(url, query, column, lower, upper, parts, **options))
+    return df.select(F.col(text or df.columns[0]).alias("text"))
 
 
 def discover_text_table(spark: SparkSession, pattern: str | None = None) -> DataFrame:

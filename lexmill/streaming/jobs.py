@@ -7,12 +7,15 @@ present have been processed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.operators import cleaning, stats, tokens
 from lexmill.operators.examples import windows_padded
 from lexmill.session import scratch_path
+from lexmill.sources.readers import spread
 
 # Schemas of the input tables (a file stream needs one).
 SCHEMAS = {
@@ -44,15 +47,64 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
+def run_spread(stream: DataFrame, step: Callable[[DataFrame], DataFrame], path: str,
+               checkpoint: str) -> DataFrame:
+    """As ``run_to_table`` for a stateless ``step``, with the rows of every micro-batch over all
+    cores first: one large file is one task otherwise. A replayed batch overwrites its own
+    folder, so the table holds every batch once."""
+    spark = stream.sparkSession
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        step(spread(batch)).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    query = (
+        stream.writeStream.option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(append)
+        .start()
+    )
+    query.awaitTermination()
+    schema = step(spark.createDataFrame([], stream.schema)).schema
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)  # without any batch
+    return spark.read.schema(schema).parquet(path).select(schema.names)
+
+
+COMMITTED = "batch_id bigint, slot int"
+
+
+def committed(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """Number and slot of the last snapshot that was written completely."""
+    last = spark.read.schema(COMMITTED).parquet(f"{path}/committed").agg(F.max("batch_id").alias("n")).first().n
+    return None if last is None else (last, last % 2)
+
+
+def read_state(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The running aggregate as of the last complete micro-batch; no rows before the first."""
+    last = committed(spark, path)
+    if last is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/slot={last[1]}")
+
+
 def run_state(aggregated: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Keep the running aggregate: each batch overwrites its own snapshot folder, the
-    last one is returned."""
+    """Keep the running aggregate until the input is used up, and return it.
+
+    Each batch overwrites one of two snapshot folders, the one that does not hold the batch
+    before; a row in a small table then says that it is complete. What is returned comes from
+    that table alone, so a restart without new input finds the same rows. A batch
+    that is replayed after its snapshot was completed leaves it as it is.
+    """
     spark = aggregated.sparkSession
-    seen: list[int] = []
+    spark.createDataFrame([], COMMITTED).write.mode("ignore").parquet(f"{path}/committed")
 
     def snapshot(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        seen.append(batch_id)
+        last = committed(spark, path)
+        if last is not None and last[0] >= batch_id:
+            return
+        slot = batch_id % 2
+        batch.write.mode("overwrite").parquet(f"{path}/slot={slot}")
+        done = spark.createDataFrame([(batch_id, slot)], COMMITTED).coalesce(1)
+        done.write.mode("append").parquet(f"{path}/committed")
 
     query = (
         aggregated.writeStream.outputMode("complete")
@@ -62,9 +114,7 @@ def run_state(aggregated: DataFrame, path: str, checkpoint: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    if not seen:
-        return spark.createDataFrame([], aggregated.schema)
-    return spark.read.schema(aggregated.schema).parquet(f"{path}/batch={max(seen)}")
+    return read_state(spark, path, aggregated.schema)
 
 
 def stream_token_stats(stream: DataFrame, *keys: str, count: str = "token_count") -> DataFrame:

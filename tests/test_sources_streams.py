@@ -173,3 +173,101 @@ def test_stream_progress(spark, folder):
     log = jobs.stream_progress(named, *paths(spark))
     assert log.agg(F.sum("n_rows"), F.sum("n_tokens")).first() == (30, sum(range(30)))
     assert log.select("batch_id").distinct().count() == 3
+
+
+def test_text_files_hold_every_row(spark, tmp_path):
+    texts = ["", None, "a\nb", "a\\nb", "\r\n", "\\", "\\\\n", "\\N", "\\E", " x ", "é" * 50, "same", "same"]
+    groups = [("web", "raw"), ("web", "clean"), (None, ""), ("", None), ("\\N", "a/b=c"), ("\\E", "0")]
+    rows = [(*g, t, i) for g in groups for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "source string, stage string, text string, file int")
+    path = str(tmp_path / "t")
+    manifest = writers.write_text(df, path)
+    back = writers.read_text(spark, path)
+    key = lambda r: tuple(map(repr, r))
+    assert sorted(map(tuple, back.drop("file").collect()), key=key) == sorted((r[:3] for r in rows), key=key)
+    assert len(list((tmp_path / "t").rglob("*.txt"))) == len(groups)
+    assert {r.n_texts for r in manifest.collect()} == {len(texts)}
+    empty = str(tmp_path / "empty")
+    assert writers.write_text(df.limit(0), empty).count() == 0
+
+
+def test_text_files_are_cut_by_size(spark, tmp_path):
+    hot = [("web", "raw", f"{i:05d}" + "x" * 95) for i in range(300)] + [("web", "raw", "y" * 100)] * 200
+    df = spark.createDataFrame(hot + [("pdf", "raw", "z")], "source string, stage string, text string")
+    manifest = writers.write_text(df, str(tmp_path / "t"), file_chars=4000)
+    files = manifest.orderBy("source", "file").collect()
+    assert [(f.source, f.file) for f in files] == [("pdf", 0)] + [("web", i) for i in range(len(files) - 1)]
+    assert 13 <= len(files) - 1 <= 40 and max(f.n_chars for f in files) <= 4100
+    assert len(list((tmp_path / "t").rglob("*.txt"))) == len(files)
+    back = writers.read_text(spark, str(tmp_path / "t"))
+    assert sorted(map(tuple, back.select("source", "stage", "text").collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_jdbc_options():
+    made = readers.jdbc_options("jdbc:x", "SELECT text, id FROM data; ", "id", 1, 900, 12, user="u")
+    assert made == {
+        "url": "jdbc:x", "fetchsize": "10000", "dbtable": "(SELECT text, id FROM data) lexmill_query",
+        "partitionColumn": "id", "lowerBound": "1", "upperBound": "900", "numPartitions": "12", "user": "u",
+    }
+    plain = readers.jdbc_options("jdbc:x", "SELECT text FROM data", fetchsize="5")
+    assert plain == {"url": "jdbc:x", "fetchsize": "5", "query": "SELECT text FROM data"}
+    assert readers.bounds_query("SELECT * FROM d;", "id") == (
+        "SELECT MIN(id) AS least, MAX(id) AS most FROM (SELECT * FROM d) lexmill_query"
+    )
+    for wrong in ({"lower": 1}, {"column": "id"}, {"column": "id", "lower": 1, "upper": 2, "parts": 0}):
+        with pytest.raises(ValueError):
+            readers.jdbc_options("jdbc:x", "SELECT 1", **wrong)
+
+
+def test_sql_column_by_name(spark):
+    spark.sql("SELECT 1 AS id, 'x' AS body").createOrReplaceTempView("named_text")
+    assert readers.read_sql(spark, "SELECT id, body FROM named_text", text="body").first().text == "x"
+
+
+def test_running_state_outlives_a_restart(spark, folder):
+    out, checkpoint = paths(spark)
+
+    def run():
+        stream = jobs.read_stream(spark, folder, jobs.SCHEMAS["documents"], files_per_trigger=1)
+        running = jobs.stream_token_stats(stream, "lang", count="n_chars")
+        return sorted(map(tuple, jobs.run_state(running, out, checkpoint).collect()))
+
+    first = run()
+    assert len(first) == 2 and run() == first == run()
+    more = [(99, "new", "fr", "s0", 3)]
+    spark.createDataFrame(more, jobs.SCHEMAS["documents"]).write.mode("append").parquet(folder)
+    after = run()
+    assert len(after) == 3 and set(first) < set(after) and run() == after
+
+
+def test_running_state_survives_a_torn_snapshot(spark, folder):
+    """A snapshot that was begun and not finished is never read."""
+    out, checkpoint = paths(spark)
+    stream = jobs.read_stream(spark, folder, jobs.SCHEMAS["documents"])
+    running = jobs.stream_token_stats(stream, "lang", count="n_chars")
+    whole = sorted(map(tuple, jobs.run_state(running, out, checkpoint).collect()))
+    last, slot = jobs.committed(spark, out)
+    spark.createDataFrame([], running.schema).write.mode("overwrite").parquet(f"{out}/slot={1 - slot}")
+    assert sorted(map(tuple, jobs.read_state(spark, out, running.schema).collect())) == whole
+    assert jobs.committed(spark, out) == (last, slot)
+
+
+def test_state_without_input(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    stream = jobs.read_stream(spark, str(tmp_path / "none"), jobs.SCHEMAS["documents"])
+    running = jobs.stream_token_stats(stream, "lang", count="n_chars")
+    assert jobs.run_state(running, *paths(spark)).count() == 0
+    assert jobs.run_spread(stream, lambda b: b.select("doc_id"), *paths(spark)).count() == 0
+
+
+def test_spread_stream_resumes(spark, folder):
+    out, checkpoint = paths(spark)
+
+    def run():
+        stream = jobs.read_stream(spark, folder, jobs.SCHEMAS["documents"])
+        return jobs.run_spread(stream, lambda b: b.select("doc_id", F.upper("text").alias("t")), out, checkpoint)
+
+    assert run().count() == 30 and run().columns == ["doc_id", "t"]
+    more = [(99, "new", "en", "s0", 3)]
+    spark.createDataFrame(more, jobs.SCHEMAS["documents"]).write.mode("append").parquet(folder)
+    assert run().where("t = 'NEW'").count() == 1 and run().count() == 31
