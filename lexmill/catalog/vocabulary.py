@@ -66,18 +66,22 @@ def append_specials(spark, folder):
 
 
 def _strict_texts(spark, folder, vocabulary):
-    docs = documents(spark, folder).select("doc_id", "text")
-    return vocab.known_documents(docs, vocabulary)
+    """Turns of conversations whose words the documents all have."""
+    turns = table(spark, folder, "conversations").select(
+        F.concat_ws("/", "conv_id", "turn").alias("turn_key"), "text"
+    )
+    return vocab.known_documents(turns, vocabulary, "turn_key")
 
 
+_TURNS = "(SELECT concat_ws('/', conv_id, turn) AS turn_key, text FROM conversations)"
 _KNOWN = f"""
-    {_occurrences('documents', 'doc_id', P.DELIMITERS_V1)},
-    bad AS (SELECT DISTINCT doc_id FROM occ WHERE token NOT IN (SELECT token FROM vocab)),
-    known AS (SELECT * FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM bad))
+    {_occurrences(_TURNS, 'turn_key', P.DELIMITERS_V1)},
+    bad AS (SELECT DISTINCT turn_key FROM occ WHERE token NOT IN (SELECT token FROM vocab)),
+    known AS (SELECT * FROM {_TURNS} WHERE turn_key NOT IN (SELECT turn_key FROM bad))
 """
 
 
-@query("in_vocab_docs", f"WITH {VOCAB}, {_KNOWN} SELECT doc_id, text FROM known")
+@query("in_vocab_docs", f"WITH {VOCAB}, {_KNOWN} SELECT turn_key, text FROM known")
 def in_vocab_docs(spark, folder):
     return _strict_texts(spark, folder, _build(spark, folder))
 
@@ -86,15 +90,15 @@ def in_vocab_docs(spark, folder):
     "vocab_encode_strict",
     f"""
     WITH {VOCAB}, {_KNOWN}
-    SELECT doc_id, string_agg(id::VARCHAR, ' ' ORDER BY pos) AS ids
-    FROM occ JOIN known USING (doc_id) JOIN vocab USING (token) GROUP BY doc_id
+    SELECT turn_key, string_agg(id::VARCHAR, ' ' ORDER BY pos) AS ids
+    FROM occ JOIN known USING (turn_key) JOIN vocab USING (token) GROUP BY turn_key
     """,
 )
 def vocab_encode_strict(spark, folder):
     vocabulary = _build(spark, folder)
     texts = _strict_texts(spark, folder, vocabulary)
-    encoded = vocab.encode(texts, vocabulary, unknown="error")
-    return encoded.select("doc_id", A.joined("ids").alias("ids"))
+    encoded = vocab.encode(texts, vocabulary, "turn_key", unknown="error")
+    return encoded.select("turn_key", A.joined("ids").alias("ids"))
 
 
 _UNK = f"(SELECT id FROM vocab WHERE token = {S.q(P.UNKNOWN)})"

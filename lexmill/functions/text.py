@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexmill.functions import patterns as P
+from lexmill.functions.arrays import let
 
 
 def _column(text) -> Column:
@@ -56,11 +57,6 @@ def squeeze_newlines(text) -> Column:
 # -- web pages ---------------------------------------------------------------
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is evaluated once, however often the body names it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def drop_elements(text, element: str) -> Column:
     """Remove elements of a kind, from each open mark to the next end mark behind it.
 
@@ -102,10 +98,10 @@ def drop_elements(text, element: str) -> Column:
 
     def removed(whole: Column) -> Column:
         pieces = F.regexp_extract_all(whole, F.lit(P.upto_end_marks(element)), F.lit(0))
-        cut = _let(F.transform(pieces, parts), joined)
+        cut = let(F.transform(pieces, parts), joined)
         return F.when(F.rlike(whole, F.lit(P.end_mark(element))), cut).otherwise(whole)
 
-    return _let(_column(text), removed)
+    return let(_column(text), removed)
 
 
 def drop_html_elements(text) -> Column:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
+from lexmill.functions import arrays as A
 from lexmill.functions import patterns as P
 from lexmill.functions import text as X
 from lexmill.operators.indexing import ordered_index
@@ -51,23 +53,43 @@ def append_specials(indexed: DataFrame) -> DataFrame:
     return words.unionByName(tail)
 
 
-def _occurrences(df: DataFrame, key: str, text: str, delimiters: str) -> DataFrame:
-    return df.select(
-        F.col(key).alias("_key"),
-        F.col(text).isNull().alias("_null"),
-        F.posexplode_outer(X.split_punct(text, delimiters)).alias("_pos", "token"),
-    )
+SPREAD = 4096
+
 
+def _resolved(df: DataFrame, key: str, values: Column, vocabulary: DataFrame, name: str) -> DataFrame:
+    """Values of every text with what the vocabulary says of them, in one pass over the
+    texts: ``_key``, ``_null``, the value under ``name`` and its place or places ``_at``. A null or
+    empty array has one row without a value.
 
-def _gather(df: DataFrame, key: str, value: str, output: str, null: str) -> DataFrame:
-    """Values of a document back in order of position: one row per document, as the
-    input had. The partial arrays are built before the shuffle."""
-    placed = F.when(F.col("_pos").isNotNull(), F.struct("_pos", value))
-    ordered = F.array_sort(F.collect_list(placed)).getField(value)
-    gathered = df.groupBy("_key").agg(ordered.alias("_list"), F.bool_or(null).alias("_n"))
-    return gathered.select(
-        F.col("_key").alias(key), F.when(~F.col("_n"), F.col("_list")).alias(output)
+    A vocabulary measured small is broadcast; texts are then spread by key, and their words
+    move no further. Beside a larger one every text sends each distinct word once, with its
+    places. Texts without words match nothing there and are dealt by key, or they would all go
+    to one task."""
+    if fits_broadcast(vocabulary):
+        taken = df.repartition(key).select(F.col(key).alias("_key"), values.alias("_values"))
+        each = taken.select("_key", F.col("_values").isNull().alias("_null"), F.posexplode_outer("_values").alias("_at", name))
+        return each.join(F.broadcast(vocabulary), name, "left")
+    taken = df.select(F.col(key).alias("_key"), values.alias("_values"))
+    entries = taken.select(
+        "_key", F.col("_values").isNull().alias("_null"), F.inline_outer(A.places("_values")).alias(name, "_at")
     )
+    none = F.pmod(F.xxhash64("_key"), F.lit(SPREAD)) + 1
+    dealt = entries.withColumn("_deal", F.when(F.col(name).isNull(), none).otherwise(0))
+    # Always 0, but from the row: a literal would leave the join's keys.
+    known = vocabulary.withColumn("_deal", F.pmod(F.xxhash64(name), F.lit(1).cast("bigint")))
+    return dealt.join(known, [name, "_deal"], "left").drop("_deal")
+
+
+def _gather(df: DataFrame, key: str, value: str, output: str) -> DataFrame:
+    """Values of a document back at their places: one row per document, as the input had.
+    The partial arrays are built before the shuffle."""
+    entry = F.when(F.col("_at").isNotNull(), F.struct(F.col("_at").alias("at"), value))
+    gathered = df.groupBy("_key").agg(F.collect_list(entry).alias("_list"), F.bool_or("_null").alias("_n"))
+    if isinstance(df.schema["_at"].dataType, ArrayType):
+        back = A.put_back("_list", value)
+    else:
+        back = F.array_sort("_list").getField(value)
+    return gathered.select(F.col("_key").alias(key), F.when(~F.col("_n"), back).alias(output))
 
 
 def encode(
@@ -89,10 +111,7 @@ def encode(
         raise ValueError(f"unknown policy: {unknown}")
     strict = unknown == "error"
     delimiters = delimiters or (P.DELIMITERS_V1 if strict else P.DELIMITERS_V2)
-    small = fits_broadcast(vocabulary)
-    # With a small vocabulary the texts are spread by key and only they are shuffled.
-    df = df.repartition(key) if small else df
-    found = lookup(_occurrences(df, key, text, delimiters), vocabulary, ["token"], broadcast=small)
+    found = _resolved(df, key, X.split_punct(text, delimiters), vocabulary, "token")
     if strict:
         fallback = F.raise_error(F.concat(F.lit("unknown token: "), F.col("token")))
         fallback = fallback.cast("bigint")
@@ -102,7 +121,7 @@ def encode(
         )
     missing = F.col("token").isNotNull() & F.col("id").isNull()
     resolved = F.when(missing, fallback).otherwise(F.col("id"))
-    return _gather(found.withColumn("id", resolved), key, "id", output, "_null")
+    return _gather(found.withColumn("id", resolved), key, "id", output)
 
 
 def decode(
@@ -114,17 +133,11 @@ def decode(
     output: str = "text",
 ) -> DataFrame:
     """Words joined by blanks, then blanks before punctuation removed."""
-    small = fits_broadcast(vocabulary)
-    placed = (df.repartition(key) if small else df).select(
-        F.col(key).alias("_key"),
-        F.col(ids).isNull().alias("_null"),
-        F.posexplode_outer(ids).alias("_pos", "id"),
-    )
-    found = lookup(placed, vocabulary, ["id"], broadcast=small)
+    found = _resolved(df, key, F.col(ids), vocabulary, "id")
     failed = F.raise_error(F.concat(F.lit("unknown id: "), F.col("id"))).cast("string")
     missing = F.col("id").isNotNull() & F.col("token").isNull()
     found = found.withColumn("token", F.when(missing, failed).otherwise(F.col("token")))
-    tokens = _gather(found, key, "token", "_tokens", "_null")
+    tokens = _gather(found, key, "token", "_tokens")
     return tokens.select(key, tighten(F.array_join("_tokens", " "), tight).alias(output))
 
 

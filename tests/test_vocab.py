@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import column
+from lexmill.functions import arrays as A
 from lexmill.functions import patterns as P
 from lexmill.functions import text as X
 from lexmill.operators import lookups, vocab
@@ -58,6 +59,38 @@ def test_large_vocabulary_gives_the_same_rows(texts, monkeypatch):
     assert found == expected
 
 
+def test_places(spark):
+    rows = [(0, ["b", "a", "b", None, "a", None]), (1, []), (2, None), (3, ["x"] * 3)]
+    df = spark.createDataFrame(rows, "id long, v array<string>").select("id", A.places("v").alias("p"))
+    found = [p if p is None else [(e.value, e["at"]) for e in p] for p in column(df, "p")]
+    assert found == [[(None, [3, 5]), ("a", [1, 4]), ("b", [0, 2])], [], None, [("x", [0, 1, 2])]]
+    back = df.select("id", A.put_back("p", "value").alias("v"))
+    assert column(back, "v") == [r[1] for r in rows]
+
+
+def test_a_long_text_is_encoded_in_one_pass(spark, tmp_path, monkeypatch):
+    """Beside a vocabulary that is not broadcast, texts are read once and only their
+    distinct words are shuffled."""
+    path = str(tmp_path / "docs")
+    rows = [(1, "a b , " * 100_000), (2, None), (3, ""), (4, "b")] + [(i, None) for i in range(5, 60)]
+    spark.createDataFrame(rows, "id long, text string").write.parquet(path)
+    vocabulary = vocab.build_vocabulary(spark.createDataFrame([("a b ,",)], "text string"))
+    monkeypatch.setattr(vocab, "fits_broadcast", lambda right: False)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        encoded = vocab.encode(spark.read.parquet(path), vocabulary, "id")
+        plan = encoded._jdf.queryExecution().executedPlan().toString()
+        outer = "\n".join(line for line in plan.splitlines() if "/ranges-" not in line)
+        assert outer.count("/docs]") == 1 and "BroadcastHashJoin [token" not in plan
+        found = {r.id: r.ids for r in encoded.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    ids = as_dict(vocabulary)
+    assert found[1] == [ids["a"], ids["b"], ids[","]] * 100_000
+    assert found[2] is None and found[3] == [] and found[4] == [ids["b"]] and len(found) == 59
+
+
 def test_strict_encoding(texts):
     vocabulary = vocab.build_vocabulary(texts("a b"))
     assert column(vocab.encode(texts("b a"), vocabulary, "id", unknown="error"), "ids") == [[1, 0]]
