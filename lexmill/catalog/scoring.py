@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexmill.catalog import sql as S
 from lexmill.catalog.registry import documents, query
 from lexmill.operators import cleaning, scoring
+from lexmill.session import written
 
 
 def pairs_sql(rel: str, keys: str) -> str:
@@ -35,19 +36,17 @@ _DOCS = f"{pairs_sql('SELECT doc_id, text FROM documents', 'doc_id')}, {model_sq
 _SCORED = f"{_DOCS}, scored AS (SELECT p.*, logp FROM pairs p JOIN model m USING (a, b))"
 
 
-def _pairs(spark, folder):
-    return scoring.bigram_counts(documents(spark, folder), ["doc_id"])
+def _model(df, text="text", learn=None):
+    return scoring.bigram_model(scoring.pair_counts(df, text, learn=learn))
 
 
-def _scored(spark, folder):
-    pairs = _pairs(spark, folder)
-    return scoring.score_pairs(pairs, scoring.bigram_model(pairs))
+def _scored(docs):
+    return scoring.score_texts(docs, _model(docs), ["doc_id"])
 
 
 @query("ngram_logprob", f"WITH {_DOCS} SELECT a, b, n, round(logp, 6) AS logp FROM model")
 def ngram_logprob(spark, folder):
-    model = scoring.bigram_model(_pairs(spark, folder)).drop("n_rows")
-    return model.withColumn("logp", F.round("logp", 6))
+    return _model(documents(spark, folder)).withColumn("logp", F.round("logp", 6))
 
 
 @query(
@@ -60,7 +59,7 @@ def ngram_logprob(spark, folder):
 )
 def perplexity(spark, folder):
     docs = documents(spark, folder)
-    scored = scoring.perplexity(_scored(spark, folder), ["doc_id"], docs)
+    scored = scoring.perplexity(_scored(docs), ["doc_id"], docs)
     return scored.withColumn("perplexity", F.round("perplexity", 4))
 
 
@@ -75,7 +74,7 @@ def perplexity(spark, folder):
     """,
 )
 def mean_batch_loss(spark, folder):
-    scored = _scored(spark, folder).withColumn("batch_id", F.floor(F.col("doc_id") / 10))
+    scored = _scored(documents(spark, folder)).withColumn("batch_id", F.floor(F.col("doc_id") / 10))
     parts = [
         scoring.mean_batch_loss(scored, k).select(
             F.lit(name).alias("batches"), F.round("mean_loss", 6).alias("mean_loss")
@@ -110,9 +109,9 @@ def perplexity_improvement(spark, folder):
         F.struct(F.lit("clean").alias("stage"), F.col("clean").alias("t")),
     )
     both = docs.select("doc_id", F.inline(stages))
-    pairs = scoring.bigram_counts(both, ["doc_id", "stage"], "t")
-    model = scoring.bigram_model(pairs, F.col("stage") == "raw")
-    scored = scoring.score_pairs(pairs, model)
+    both = written(both, "raw-and-clean")
+    model = _model(both, "t", F.col("stage") == "raw")
+    scored = scoring.score_texts(both, model, ["doc_id", "stage"], "t")
     raw, clean = (
         scoring.perplexity(scored.where(F.col("stage") == s), ["doc_id"], docs)
         for s in ("raw", "clean")

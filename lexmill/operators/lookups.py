@@ -62,3 +62,27 @@ def lookup(
     hot = left.join(F.broadcast(known), keys, "inner")
     cold = left.join(F.broadcast(head), keys, "left_anti").join(right, keys, "left")
     return hot.unionByName(cold)
+
+
+def lookup_once(
+    left: DataFrame, right: DataFrame, keys: list[str], frequency: str, value: str,
+    deal_by: list[str], head_rows: int = HEAD_ROWS,
+) -> DataFrame:
+    """As ``lookup``, but in one pass over ``left``: adds ``value``, which must not be null in
+    ``right``.
+
+    The ``head_rows`` most frequent keys are looked up by broadcast. Rows they answered then
+    take another key, a digest of ``deal_by``, into the shuffle join, where they lie
+    evenly and what they may find does not count; so again no key can be hot there."""
+    head = right.orderBy(F.desc(frequency), *keys).limit(head_rows).select(*keys, F.col(value).alias("_hot"))
+    asked = left.join(F.broadcast(head), keys, "left")
+    dealt = asked.withColumns({
+        f"_k{i}": F.when(F.col("_hot").isNull(), F.col(k)).otherwise(
+            F.xxhash64(F.lit(i), *deal_by).cast(left.schema[k].dataType)
+        )
+        for i, k in enumerate(keys)
+    })
+    rest = right.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(value).alias("_cold"))
+    joined = dealt.join(rest, [f"_k{i}" for i in range(len(keys))], "left")
+    found = F.coalesce("_hot", "_cold")
+    return joined.withColumn(value, found).drop("_hot", "_cold", *[f"_k{i}" for i in range(len(keys))])

@@ -6,73 +6,105 @@ log-probabilities can take its place.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as X
-from lexmill.operators.lookups import lookup
+from lexmill.operators.lookups import lookup_once
 from lexmill.session import written
 
 
-def bigram_counts(
-    df: DataFrame, keys: list[str], text: str = "text", max_length: int | None = None,
-    unique: bool = True,
-) -> DataFrame:
-    """Word pairs per text with their number ``n``, over the whole text or its first
-    ``max_length`` words. The first word of a text is never predicted.
+PAIR_KEY = ["h1", "h2"]
+MOST_GROUPS = 256  # each is a column of the counts
 
-    Keys that identify a text (``unique``) spread the texts once, and no words are
-    shuffled to count a text's pairs. For keys shared by many texts the pairs are
-    counted where the texts lie and combined per (keys, pair), so that no key gathers.
 
-    The pairs are written once: model and scores read them several times, and their
-    words are not split again each time."""
+def _words(text: str, max_length: int | None) -> Column:
     words = X.words(text)
-    if max_length is not None:
-        words = F.slice(words, 1, max_length)
-    texts = df.repartition(*keys) if unique else df
-    spread = texts.select(*keys, words.alias("_w")).where(F.size("_w") > 1)
-    pairs = F.arrays_zip(
-        F.slice("_w", F.lit(1), F.size("_w") - 1).alias("a"),
-        F.slice("_w", F.lit(2), F.size("_w") - 1).alias("b"),
-    )
-    counted = (
-        spread.select(*keys, F.inline(pairs).alias("a", "b"))
-        .groupBy(*keys, "a", "b")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return written(counted, "pairs")
+    return words if max_length is None else F.slice(words, 1, max_length)
+
 
+def _pair_key(a, b) -> list[Column]:
+    """128 bits that stand for a word pair, so that pairs of texts travel without words."""
+    return [F.xxhash64(a, b).alias("h1"), F.xxhash64(F.lit(1), b, a).alias("h2")]
 
-def bigram_model(pairs: DataFrame, learn: Column | None = None) -> DataFrame:
-    """``(a, b, n, logp, n_rows)`` for every pair in ``pairs``; ``n`` counts the rows
-    where ``learn`` holds, so pairs only to be scored get a count of zero and need no
-    join. ``n_rows`` is the number of rows of ``pairs`` with the pair.
 
-    logp = ln((count(a, b) + 1) / (count(a, .) + V)), V the number of learnt words.
+def _each_pair(words: Column) -> Column:
+    """Pairs of neighbouring words as an array of (a, b)."""
+    last = F.greatest(F.size("_w") - 1, F.lit(0))
+    return F.arrays_zip(F.slice(words, F.lit(1), last).alias("a"), F.slice(words, F.lit(2), last).alias("b"))
+
+
+def pair_counts(
+    df: DataFrame, text: str = "text", max_length: int | None = None, learn: Column | None = None,
+    by: list[str] | None = None,
+) -> DataFrame:
+    """Word pairs ``(a, b)`` of all texts, over whole texts or their first ``max_length`` words, and
+    ``n``, how often the texts have them in which ``learn`` holds. Pairs only to be scored get a
+    count of zero. The first word of a text is never predicted.
+
+    With ``by``, at most ``MOST_GROUPS`` values, ``groups`` lists per value how often (``n``) its texts
+    have the pair, so that groups are scored from the counts alone. Pairs are combined where the
+    texts lie; no pair of a single text is kept.
     """
-    learnt = F.col("n") if learn is None else F.when(learn, F.col("n")).otherwise(0)
-    rows = F.count(F.lit(1)).alias("n_rows")
-    counts = written(
-        pairs.groupBy("a", "b").agg(F.sum(learnt).alias("n"), rows), "pair-counts"
-    )
-    firsts = counts.groupBy("a").agg(
-        F.sum("n").alias("n_a"), F.count(F.lit(1)).alias("n_seconds")
+    told = F.lit(True) if learn is None else F.coalesce(learn, F.lit(False))
+    by = by or []
+    held = df.select(*by, told.alias("_learn"), _words(text, max_length).alias("_w"))
+    pairs = held.select(*by, "_learn", F.inline(_each_pair(F.col("_w"))).alias("a", "b"))
+    learnt = F.sum(F.col("_learn").cast("long"))
+    if not by:
+        return written(pairs.groupBy("a", "b").agg(learnt.alias("n")), "pair-counts")
+    values = df.select(*by).distinct().limit(MOST_GROUPS + 1).collect()
+    if len(values) > MOST_GROUPS:
+        raise ValueError(f"more than {MOST_GROUPS} groups; score texts instead")
+    schema = df.select(*by).schema
+
+    def same(row) -> Column:
+        return reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.lit(row[c])) for c in by])
+
+    counts = pairs.groupBy("a", "b").agg(
+        learnt.alias("n"), *[F.count_if(same(row)).alias(f"_g{i}") for i, row in enumerate(values)]
     )
+
+    def entry(row, n: Column) -> Column:
+        return F.struct(*[F.lit(row and row[c]).cast(schema[c].dataType).alias(c) for c in by], n.alias("n"))
+
+    entries = [entry(row, F.col(f"_g{i}")) for i, row in enumerate(values)] or [entry(None, F.lit(0).cast("long"))]
+    listed = F.filter(F.array(*entries), lambda g: g["n"] > 0)
+    return written(counts.select("a", "b", "n", listed.alias("groups")), "pair-counts")
+
+
+def bigram_model(counts: DataFrame) -> DataFrame:
+    """``counts`` with ``logp``: ln((count(a, b) + 1) / (count(a, .) + V)), V the number of learnt words."""
+    firsts = counts.groupBy("a").agg(F.sum("n").alias("n_a"), F.count(F.lit(1)).alias("n_seconds"))
     words = counts.where("n > 0").select(F.explode(F.array("a", "b")).alias("w"))
     size = words.agg(F.count_distinct("w")).scalar()
-    # The first words are as many as the vocabulary: never broadcast unmeasured.
-    joined = lookup(counts, firsts, ["a"], broadcast=False, frequency="n_seconds")
-    logp = F.log((F.col("n") + 1) / (F.col("n_a") + size))
-    return written(joined.select("a", "b", "n", logp.alias("logp"), "n_rows"), "pair-model")
-
-
-def score_pairs(pairs: DataFrame, model: DataFrame, learnt_here: bool = True) -> DataFrame:
-    """Add the model's ``logp`` to counted pairs. ``learnt_here`` says the model was
-    built from these pairs, so its ``n_rows`` tells the frequent ones."""
-    known = model.select("a", "b", "logp", *(["n_rows"] if learnt_here else []))
-    frequency = "n_rows" if learnt_here else None
-    return lookup(pairs, known, ["a", "b"], broadcast=False, frequency=frequency)
+    # The first words are as many as the vocabulary: never broadcast whole.
+    joined = lookup_once(counts, firsts, ["a"], "n_seconds", "n_a", ["a", "b"])
+    return joined.withColumn("logp", F.log((F.col("n") + 1) / (F.col("n_a") + size))).drop("n_a")
+
+
+def score_texts(
+    df: DataFrame, model: DataFrame, keys: list[str], text: str = "text", max_length: int | None = None,
+) -> DataFrame:
+    """Per text (``keys``) of two words or more: ``n`` predictions and their mean ``logp``.
+
+    Texts are read once; their pairs leave them as digests, and each is looked up once. Pairs
+    the model does not have are left out of both figures."""
+    held = df.select(*keys, _words(text, max_length).alias("_w"))
+    each = held.select(*keys, F.inline(_each_pair(F.col("_w"))).alias("_a", "_b"))
+    pairs = each.select(*keys, *_pair_key("_a", "_b"))
+    known = written(model.select(*_pair_key("a", "b"), "logp", F.col("n").alias("_times")), "pair-model")
+    scored = lookup_once(pairs, known, PAIR_KEY, "_times", "logp", [*keys, *PAIR_KEY])
+    known_pairs = scored.where(F.col("logp").isNotNull())
+    return known_pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg("logp").alias("logp"))
+
+
+def score_groups(model: DataFrame, keys: list[str]) -> DataFrame:
+    """As ``score_texts`` for the groups of ``pair_counts``: their counts are in the model's rows."""
+    each = model.where(F.col("logp").isNotNull()).select("logp", F.inline("groups"))
+    return each.select(*keys, "n", "logp")
 
 
 def _mean_logp() -> Column:

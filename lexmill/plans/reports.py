@@ -121,12 +121,12 @@ def perplexity_report(
 ) -> DataFrame:
     """Raw and clean perplexity and the improvement per group.
 
-    ``both`` has (group, stage, text); the model is learnt from the raw texts.
+    ``both`` has (group, stage, text); the model is learnt from the raw texts. Groups are few;
+    their counts stand beside the model's, so no text is read twice.
     """
     keys = [group, "stage"]
-    pairs = scoring.bigram_counts(both, keys, text, max_length, unique=False)
-    model = scoring.bigram_model(pairs, F.col("stage") == "raw")
-    scored = scoring.perplexity(scoring.score_pairs(pairs, model), keys)
+    counts = scoring.pair_counts(both, text, max_length, F.col("stage") == "raw", keys)
+    scored = scoring.perplexity(scoring.score_groups(scoring.bigram_model(counts), keys), keys)
     raw, clean = (
         scored.where(F.col("stage") == name).select(group, "perplexity")
         for name in ("raw", "clean")

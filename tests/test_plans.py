@@ -71,9 +71,15 @@ def test_unmeasured_tables_are_not_broadcast(spark, docs):
     assert "GlobalLimit 1024" in text
 
 
-def test_shared_keys_are_combined_before_the_shuffle(docs, monkeypatch):
+def test_pairs_are_combined_before_the_shuffle(docs, monkeypatch):
     monkeypatch.setattr(scoring, "written", lambda df, name="": df)
-    text = plan(scoring.bigram_counts(docs, ["source"], unique=False))
+    text = plan(scoring.pair_counts(docs))
     assert text.count("Exchange") == 1
-    assert "partial_count" in text.split("Exchange")[1]
-    assert "hashpartitioning(source" in text and ", a#" in text and ", b#" in text
+    assert "partial_sum" in text.split("Exchange")[1]
+
+
+def test_texts_are_read_once_to_be_scored(docs, monkeypatch):
+    monkeypatch.setattr(scoring, "written", lambda df, name="": df)
+    model = docs.sparkSession.createDataFrame([("a", "b", 1, -0.5)], "a string, b string, n long, logp double")
+    text = plan(scoring.score_texts(docs, model, ["doc_id"]))
+    assert text.count("FileScan") == 1

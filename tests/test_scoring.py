@@ -1,41 +1,94 @@
 from __future__ import annotations
 
 import math
+import random
+import re
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from lexmill.operators import scoring
+from lexmill.operators import lookups, scoring
 from lexmill.plans import reports
 
 
+def model_of(df, **options):
+    return scoring.bigram_model(scoring.pair_counts(df, **options))
+
+
 def test_bigram_model(texts):
-    pairs = scoring.bigram_counts(texts("a b a b", "A c", "x", None), ["id"])
-    assert {(r.id, r.a, r.b): r.n for r in pairs.collect()} == {
-        (0, "a", "b"): 2, (0, "b", "a"): 1, (1, "a", "c"): 1,
-    }
-    model = {(r.a, r.b): r for r in scoring.bigram_model(pairs).collect()}
+    counts = scoring.pair_counts(texts("a b a b", "A c", "x", None))
+    assert {(r.a, r.b): r.n for r in counts.collect()} == {("a", "b"): 2, ("b", "a"): 1, ("a", "c"): 1}
+    model = {(r.a, r.b): r for r in scoring.bigram_model(counts).collect()}
     assert math.isclose(model["a", "b"].logp, math.log(3 / (3 + 3)))
     assert math.isclose(model["b", "a"].logp, math.log(2 / (1 + 3)))
     assert math.isclose(model["a", "c"].logp, math.log(2 / (3 + 3)))
 
 
 def test_first_words_only(texts):
-    pairs = scoring.bigram_counts(texts("a b c d"), ["id"], max_length=3)
-    assert sorted((r.a, r.b) for r in pairs.collect()) == [("a", "b"), ("b", "c")]
-
-
-def test_scores_do_not_need_the_head(texts):
-    pairs = scoring.bigram_counts(texts("a b a b", "a c a b"), ["id"])
-    model = scoring.bigram_model(pairs)
-    here = scoring.perplexity(scoring.score_pairs(pairs, model), ["id"])
-    away = scoring.perplexity(scoring.score_pairs(pairs, model, learnt_here=False), ["id"])
-    assert sorted(here.collect()) == sorted(away.collect())
+    counts = scoring.pair_counts(texts("a b c d"), max_length=3)
+    assert sorted((r.a, r.b) for r in counts.collect()) == [("a", "b"), ("b", "c")]
+    df = texts("a b c d e")
+    assert scoring.score_texts(df, model_of(df), ["id"], max_length=3).first().n == 2
+
+
+def brute(samples, learn=None):
+    """Mean log-probability of every text of two words or more, counted in plain Python."""
+    lists = {i: re.findall(r"\w+", t.lower()) for i, t in enumerate(samples) if t}
+    learnt = [w for i, w in lists.items() if learn is None or learn(i)]
+    pairs = Counter(p for w in learnt for p in zip(w, w[1:]))
+    firsts = Counter(a for (a, b), n in pairs.items() for _ in range(n))
+    size = len({x for p in pairs for x in p})
+    found = {}
+    for i, w in lists.items():
+        logs = [math.log((pairs[p] + 1) / (firsts[p[0]] + size)) for p in zip(w, w[1:])]
+        if logs:
+            found[i] = (len(logs), sum(logs) / len(logs))
+    return found
+
+
+@pytest.mark.parametrize("head", [0, 2, 1024])
+def test_scores_do_not_depend_on_the_head(texts, monkeypatch, head):
+    draw = random.Random(4)
+    samples = [" ".join(draw.choice(["the"] * 6 + list("abcdef")) for _ in range(draw.randint(0, 60))) for _ in range(80)]
+    samples += [None, "", "x", "the " * 3000]
+    monkeypatch.setattr(lookups, "HEAD_ROWS", head)
+    monkeypatch.setattr(scoring, "lookup_once", lambda *a: lookups.lookup_once(*a, head_rows=head))
+    df = texts(*samples)
+    for learn, told in ((None, None), (F.col("id") % 2 == 0, lambda i: i % 2 == 0)):
+        found = scoring.score_texts(df, model_of(df, learn=learn), ["id"]).collect()
+        expected = brute(samples, told)
+        assert {r.id: r.n for r in found} == {i: n for i, (n, _) in expected.items()}
+        assert all(math.isclose(r.logp, expected[r.id][1]) for r in found)
+
+
+def test_pairs_the_model_lacks_are_left_out(texts):
+    model = model_of(texts("a b a b"))
+    found = {r.id: r for r in scoring.score_texts(texts("a b z", "z z"), model, ["id"]).collect()}
+    assert set(found) == {0} and found[0].n == 1
+
+
+def test_groups_are_few(texts, monkeypatch):
+    monkeypatch.setattr(scoring, "MOST_GROUPS", 2)
+    with pytest.raises(ValueError):
+        scoring.pair_counts(texts("a b", "b a", "a a"), by=["id"])
+    assert scoring.pair_counts(texts(), by=["id"]).count() == 0
+
+
+def test_groups_are_scored_from_the_counts(spark):
+    rows = [(g, t) for g in ("x", "y", None) for t in ("a b a b", "b c", "a a a", None, "z")]
+    df = spark.createDataFrame(rows + [("y", "b c b c")], "g string, text string")
+    groups = scoring.perplexity(scoring.score_groups(model_of(df, by=["g"]), ["g"]), ["g"])
+    each = scoring.score_texts(df.withColumn("i", F.monotonically_increasing_id()), model_of(df), ["g", "i"])
+    texts_ = scoring.perplexity(each, ["g"])
+    found, expected = ({r.g: r.perplexity for r in f.collect()} for f in (groups, texts_))
+    assert found.keys() == expected.keys() == {"x", "y", None}
+    assert all(math.isclose(found[g], expected[g]) for g in found)
 
 
 def test_every_text_has_a_row(texts):
     df = texts("a b a b", "x", None)
-    pairs = scoring.bigram_counts(df, ["id"])
-    scored = scoring.score_pairs(pairs, scoring.bigram_model(pairs))
+    scored = scoring.score_texts(df, model_of(df), ["id"])
     found = {r.id: r.perplexity for r in scoring.perplexity(scored, ["id"], df).collect()}
     assert found[0] > 1 and found[1] is None and found[2] is None and len(found) == 3
     none = F.lit(None).cast("array<double>")
