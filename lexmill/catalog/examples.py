@@ -118,7 +118,7 @@ def estimate_examples(spark, folder):
 )
 def batch_assign(spark, folder):
     batched = examples.batch_windows(
-        token_table(spark, folder), L, STRIDE, BATCH, drop_last=True
+        token_table(spark, folder), L, STRIDE, BATCH, drop_last=True, n=F.col("token_count")
     )
     return batched.select("doc_id", "start", "idx", "batch_id", hexed("x").alias("x"))
 
@@ -141,18 +141,22 @@ def batch_assign_shuffled(spark, folder):
     return batched.select("doc_id", "start", "idx", "batch_id", hexed("x").alias("x"))
 
 
+EPOCHS = 3
+
+
 @query(
     "tokens_seen",
     f"""
     WITH {STRICT}, i AS (SELECT *, row_number() OVER (ORDER BY doc_id, start) - 1 AS idx FROM win),
-    s AS (SELECT idx // {BATCH} AS step, count(*) * {L} AS n FROM i GROUP BY ALL),
-    r AS (SELECT step, sum(n) OVER (ORDER BY step)::BIGINT AS tokens_seen FROM s)
-    SELECT step, tokens_seen FROM r WHERE step % 5 = 0
+    s AS (SELECT epoch, idx // {BATCH} AS pos, count(*) * {L} AS n FROM i, range({EPOCHS}) t(epoch) GROUP BY ALL),
+    r AS (SELECT epoch::INTEGER AS epoch, row_number() OVER (ORDER BY epoch, pos) - 1 AS step,
+                 sum(n) OVER (ORDER BY epoch, pos)::BIGINT AS tokens_seen FROM s)
+    SELECT epoch, step, tokens_seen FROM r WHERE step % 5 = 0
     """,
 )
 def tokens_seen(spark, folder):
-    batched = examples.batch_windows(token_table(spark, folder), L, STRIDE, BATCH)
-    return examples.tokens_seen(examples.step_sizes(batched), 5, step_bucket=1000)
+    steps = examples.window_steps(_sizes(spark, folder), L, STRIDE, BATCH, F.col("n"))
+    return examples.tokens_seen(steps, 5, step_bucket=1000, n_epochs=EPOCHS)
 
 
 @query(
@@ -217,6 +221,13 @@ def epoch_expand(spark, folder):
     return examples.epochs(documents(spark, folder).select("doc_id"), "doc_id", n_epochs=3)
 
 
-@query("split_fast")
+@query(
+    "split_fast",
+    """
+    SELECT doc_id, CASE WHEN ('0x' || left(md5(doc_id || '-123'), 8))::BIGINT % 10 < 9
+                   THEN 'train' ELSE 'val' END AS split
+    FROM documents
+    """,
+)
 def split_fast(spark, folder):
     return examples.split_fast(documents(spark, folder).select("doc_id"), "doc_id")

@@ -110,7 +110,7 @@ def html_metrics(spark, folder):
     return _rounded(profile.text_metrics(pages, "html", ("page_id",)), "page_id")
 
 
-def group_metrics_sql(rel: str, group: str) -> str:
+def group_metrics_sql(rel: str, group: str, digits: int = 6) -> str:
     """Metrics of a relation (group, text), the group taken as one unit."""
     m = S.metrics("text")
     return f"""
@@ -129,7 +129,7 @@ def group_metrics_sql(rel: str, group: str) -> str:
              sum(length(word))::double / count(*) AS avg_word_length
       FROM w GROUP BY ALL)
     SELECT {group}, char_count, coalesce(word_count, 0) AS word_count, sent_count,
-           round(coalesce(avg_word_length, 0), 6) AS avg_word_length,
+           round(coalesce(avg_word_length, 0), {digits}) AS avg_word_length,
            coalesce(vocab_size, 0) AS vocab_size, whitespace_count, newline_count,
            html_tags, page_numbers
     FROM layout LEFT JOIN vocab USING ({group})

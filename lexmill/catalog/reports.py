@@ -85,8 +85,12 @@ _SPECIALS = f"regexp_extract_all(text, {S.q(P.SPECIAL_CHAR)})"
 @query(
     "pattern_report",
     f"""
-    SELECT unit, 'metric' AS kind, 0 AS rank, r.item AS item, round(r.value, 6) AS value
-    FROM (SELECT unit, unnest([{_METRIC_ROWS}]) AS r FROM ({group_metrics_sql(_UNIT, 'unit')}))
+    WITH g AS (SELECT unit, r.item AS item, r.value AS value FROM
+      (SELECT unit, unnest([{_METRIC_ROWS}]) AS r FROM ({group_metrics_sql(_UNIT, 'unit', 15)})))
+    SELECT unit, 'metric' AS kind, 0 AS rank, item, round(value, 6) AS value FROM g
+    UNION ALL SELECT split_part(r.unit, '/', 1) || '/change', 'metric', 0, r.item, round(c.value - r.value, 6)
+    FROM g r JOIN g c ON c.item = r.item AND r.unit LIKE '%/raw'
+      AND c.unit = split_part(r.unit, '/', 1) || '/clean'
     UNION ALL {_top('word', S.words('text'))}
     UNION ALL {_top('char', _SPECIALS)}
     """,
@@ -124,11 +128,17 @@ _STATS = """[{'measure': 'rows', 'value': count(*)::double},
       UNION ALL SELECT 'histogram_zoom', b::VARCHAR,
         {{'measure': 'count', 'value': coalesce(n, 0)::double}}
         FROM range(100) t(b) LEFT JOIN z ON z.bin = b)
-    SELECT section, item, m.measure AS measure, round(m.value, 6) AS value FROM rep
+    SELECT section, item, m.measure AS measure, round(m.value, 6) AS value, NULL AS note FROM rep
+    UNION ALL
+    SELECT 'sample', item, unnest(['file', 'language', 'token_count', 'preview']), NULL,
+           unnest([source, lang, n_chars::VARCHAR, left(text, 200) || '...'])
+    FROM (SELECT *, row_number() OVER (ORDER BY doc_id)::VARCHAR AS item FROM documents WHERE source = (
+            SELECT source FROM (SELECT DISTINCT source FROM documents) ORDER BY md5(source || '-42') LIMIT 1)
+          ORDER BY doc_id LIMIT 5)
     """,
 )
 def corpus_report(spark, folder):
-    report = reports.corpus_report(corpus(spark, folder))
+    report = reports.corpus_report(corpus(spark, folder), order="doc_id")
     return report.withColumn("value", F.round("value", 6))
 
 

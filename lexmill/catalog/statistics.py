@@ -105,18 +105,27 @@ def length_histogram_zoom(spark, folder):
     return _bins(stats.length_histogram(corpus(spark, folder), bounds=(0, 2000)))
 
 
-@query(
-    "numeric_describe",
-    """
-    WITH f AS (SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 5),
+def _describe_sql(rows: str) -> str:
+    return f"""
+    WITH f AS (SELECT doc_id, n_chars FROM documents {rows}),
     l AS (SELECT 'doc_id' AS "column", doc_id::double AS v FROM f
           UNION ALL SELECT 'n_chars', n_chars::double FROM f)
     SELECT "column", count(v) AS n, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std,
            min(v) AS min, quantile_cont(v, 0.25) AS q25, quantile_cont(v, 0.5) AS q50,
            quantile_cont(v, 0.75) AS q75, max(v) AS max
     FROM l GROUP BY "column"
-    """,
-)
+    """
+
+
+def _described(df):
+    return df.withColumn("mean", F.round("mean", 6)).withColumn("std", F.round("std", 6))
+
+
+@query("numeric_describe", _describe_sql("ORDER BY doc_id LIMIT 5"))
 def numeric_describe(spark, folder):
-    described = stats.describe_numeric(documents(spark, folder), "doc_id")
-    return described.withColumn("mean", F.round("mean", 6)).withColumn("std", F.round("std", 6))
+    return _described(stats.describe_numeric(documents(spark, folder), "doc_id"))
+
+
+@query("numeric_describe_all", _describe_sql(""))
+def numeric_describe_all(spark, folder):
+    return _described(stats.describe_numeric(documents(spark, folder), n=None))

@@ -54,8 +54,9 @@ def bpe_encode_special(spark, folder):
 @query("bpe_decode", f"SELECT conv_id, text FROM {_JOINED}")
 def bpe_decode(spark, folder):
     ranks = tokens.byte_ranks()
-    encoded = tokens.encode(_joined(spark, folder), ranks, policy="allow", specials=SPECIALS)
-    decoded = tokens.decode(encoded.drop("text"), ranks, specials=SPECIALS)
+    specials = {P.END_OF_TEXT: 2_000_000_000}
+    encoded = tokens.encode(_joined(spark, folder), ranks, policy="allow", specials=specials)
+    decoded = tokens.decode(encoded.drop("text"), ranks, specials=specials)
     return decoded.select("conv_id", "text")
 
 

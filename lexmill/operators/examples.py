@@ -177,7 +177,8 @@ def split_fast(
     df: DataFrame, *keys: str, tenths: int = 9, seed: int = 123, output: str = "split"
 ) -> DataFrame:
     """Random split by hash in one pass; sizes are right on average only."""
-    draw = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(10))
+    digits = F.conv(F.substring(order_key(*keys, seed=seed), 1, 8), 16, 10).cast("bigint")
+    draw = digits % 10
     return df.withColumn(
         output, F.when(draw < tenths, F.lit("train")).otherwise(F.lit("val"))
     )
@@ -203,12 +204,14 @@ def epochs(df: DataFrame, *keys: str, n_epochs: int, seed: int = 123) -> DataFra
 
 
 def windows_in_order(
-    df: DataFrame, length: int, stride: int, key: str = "doc_id", tokens: str = "tokens"
+    df: DataFrame, length: int, stride: int, key: str = "doc_id", tokens: str = "tokens",
+    n: Column | None = None,
 ) -> DataFrame:
     """Strict windows with their position ``idx`` in (key, start) order. Positions
-    come from window counts per text, so only (key, count) pairs are sorted."""
-    counts = df.select(key, window_count(F.size(tokens), length, stride).alias("_c"))
-    firsts = running_before(counts, "_c", key, output="_first").select(key, "_first")
+    come from window counts per text, so only (key, count) pairs are sorted. ``n`` tells a
+    text's number of tokens where the table has it, and spares reading the tokens for it."""
+    counts = df.select(key, window_count(F.size(tokens) if n is None else n, length, stride).alias("_c"))
+    firsts = running_before(counts.where("_c > 0"), "_c", key, output="_first").select(key, "_first")
     cut = windows_strict(df.join(firsts, key), length, stride, (key, "_first"), tokens)
     place = (F.col("start") / stride).cast("long")
     return cut.withColumn("idx", F.col("_first") + place).drop("_first")
@@ -227,11 +230,11 @@ def batch_ids(
 
 def batch_windows(
     df: DataFrame, length: int, stride: int, batch_size: int, drop_last: bool = False,
-    key: str = "doc_id", tokens: str = "tokens",
+    key: str = "doc_id", tokens: str = "tokens", n: Column | None = None,
 ) -> DataFrame:
     """Windows in order, in batches."""
-    total = df.agg(F.sum(window_count(F.size(tokens), length, stride))).scalar()
-    indexed = windows_in_order(df, length, stride, key, tokens)
+    total = df.agg(F.sum(window_count(F.size(tokens) if n is None else n, length, stride))).scalar()
+    indexed = windows_in_order(df, length, stride, key, tokens, n)
     return batch_ids(indexed, batch_size, total, drop_last)
 
 
@@ -265,13 +268,29 @@ def step_sizes(batched: DataFrame, x: str = "x") -> DataFrame:
     )
 
 
+def window_steps(
+    df: DataFrame, length: int, stride: int, batch_size: int, n: Column | None = None,
+    policy: str = "strict", drop_last: bool = False,
+) -> DataFrame:
+    """Input tokens per step of an epoch, from the texts' sizes ``n`` alone: no window is cut.
+    Every window has ``length`` input tokens, so only the last batch differs."""
+    count = window_count(F.size("tokens") if n is None else n, length, stride, policy)
+    windows = df.agg(F.coalesce(F.sum(count), F.lit(0)).alias("n")).first().n
+    steps = windows // batch_size if drop_last else -(-windows // batch_size)
+    step = F.col("id")
+    held = F.least(F.lit(batch_size).cast("long"), F.lit(windows) - step * batch_size)
+    return df.sparkSession.range(steps).select(step.alias("step"), (held * length).alias("n_tokens"))
+
+
 def tokens_seen(
-    steps: DataFrame, eval_freq: int, step_bucket: int = STEP_BUCKET
+    steps: DataFrame, eval_freq: int, step_bucket: int = STEP_BUCKET, n_epochs: int | None = None
 ) -> DataFrame:
-    """Running total of tokens, kept where ``step`` is a multiple of ``eval_freq``.
+    """Running total of tokens, kept where ``step`` is a multiple of ``eval_freq``. With ``n_epochs``
+    the steps are counted on over so many epochs, and ``epoch`` (from 0) tells which.
 
-    Steps are dense, so fixed step ranges bound every window partition; range totals
-    are summed in a table with one row per range.
+    Steps of an epoch are dense, so fixed step ranges bound every window partition; range
+    totals are summed in a table with one row per range. Every epoch has the same steps, so its
+    totals are the first epoch's, moved on by whole epochs.
     """
     ranged = steps.withColumn("_range", F.floor(F.col("step") / step_bucket))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -284,9 +303,16 @@ def tokens_seen(
         .orderBy("step")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        ranged.withColumn("_here", F.sum("n_tokens").over(here))
-        .join(offsets, "_range")
+    epoch = steps.agg(F.count(F.lit(1)).alias("steps"), F.sum("n_tokens").alias("tokens"))
+    whole = epoch.select(F.struct("steps", "tokens")).scalar()
+    visits = F.explode(F.sequence(F.lit(0), F.lit((n_epochs or 1) - 1)))
+    first = ranged.withColumn("_here", F.sum("n_tokens").over(here)).join(offsets, "_range")
+    total = (
+        first.withColumn("epoch", visits)
+        .select(
+            "epoch", (F.col("epoch") * whole["steps"] + F.col("step")).alias("step"),
+            (F.col("epoch") * whole["tokens"] + F.col("_before") + F.col("_here")).alias("tokens_seen"),
+        )
         .where(F.col("step") % eval_freq == 0)
-        .select("step", (F.col("_before") + F.col("_here")).alias("tokens_seen"))
     )
+    return total.drop("epoch") if n_epochs is None else total

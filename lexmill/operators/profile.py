@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
+from lexmill.functions import arrays as A
 from lexmill.functions import patterns as P
 from lexmill.functions import text as X
 
@@ -98,19 +99,31 @@ def top_k(counted: DataFrame, keys: list[str], k: int = 10) -> DataFrame:
 def top_words_per_text(
     df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 10
 ) -> DataFrame:
-    """Most common words of every text, ``key`` being unique.
+    """Most common words of every text, ties by first appearance.
 
-    Texts are spread by key once; counting and ranking then happen in the same stage,
-    so it is the compact texts that are shuffled, not their words.
+    Counted inside each row: words are sorted with their places, and a run of equal words is
+    its count and first place. Nothing is shuffled, and texts need no unique key.
     """
-    return top_k(word_occurrences(df.repartition(key), [key], text, key), [key], k)
+    counted = F.transform(
+        A.places(X.words(text)),
+        lambda w: F.struct(
+            (-F.size(w["at"])).alias("less"), w["at"][0].alias("first"), w["value"].alias("item")
+        ),
+    )
+    best = df.select(key, F.posexplode(F.slice(F.sort_array(counted), 1, k)).alias("_pos", "_w"))
+    return best.select(
+        key, (F.col("_pos") + 1).alias("rank"), "_w.item", (-F.col("_w.less")).cast("long").alias("cnt")
+    )
 
 
-def metrics_by_group(df: DataFrame, group: str, text: str = "text") -> DataFrame:
+def metrics_by_group(
+    df: DataFrame, group: str, text: str = "text", counted: DataFrame | None = None
+) -> DataFrame:
     """The nine metrics of a group's texts taken as one unit.
 
-    Texts are read twice, once for the layout counts and once for the words; words
-    are counted per (group, word) before anything is gathered per group.
+    Words are counted per (group, word) before anything is gathered per group; ``counted``
+    gives these counts (``group``, ``item``, ``cnt``) where they are at hand, and spares
+    reading the texts a second time for them.
     """
     layout = _layout_counts(text)
     runs = layout.pop("sent_count") - 1
@@ -118,15 +131,16 @@ def metrics_by_group(df: DataFrame, group: str, text: str = "text") -> DataFrame
         *[F.sum(column).alias(name) for name, column in layout.items()],
         (F.sum(runs) + 1).alias("sent_count"),
     )
-    per_word = (
-        df.select(group, F.explode(X.words(text)).alias("word"))
-        .groupBy(group, "word")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    vocabulary = per_word.groupBy(group).agg(
-        F.sum("n").alias("word_count"),
+    if counted is None:
+        counted = (
+            df.select(group, F.explode(X.words(text)).alias("item"))
+            .groupBy(group, "item")
+            .agg(F.count(F.lit(1)).alias("cnt"))
+        )
+    vocabulary = counted.groupBy(group).agg(
+        F.sum("cnt").alias("word_count"),
         F.count(F.lit(1)).alias("vocab_size"),
-        (F.sum(F.col("n") * F.length("word")) / F.sum("n")).alias("avg_word_length"),
+        (F.sum(F.col("cnt") * F.length("item")) / F.sum("cnt")).alias("avg_word_length"),
     )
     joined = sums.join(vocabulary, group, "left")
     return joined.select(

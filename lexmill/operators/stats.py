@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from lexmill.functions import text as X
-from lexmill.operators.indexing import order_key
+from lexmill.operators.indexing import order_key, running_before
 
 
 def resolve_text_column(columns: list[str]) -> str:
@@ -122,33 +122,54 @@ def first_rows(df: DataFrame, *order: str, n: int = 5) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def describe_numeric(df: DataFrame, *order: str, n: int = 5) -> DataFrame:
-    """count, mean, std, min, quartiles and max of the numeric columns of the first
-    ``n`` rows, one row per column; quartiles are interpolated."""
+QUARTILES = ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))
+
+
+def _long_numbers(df: DataFrame) -> DataFrame:
+    """Values (``column``, ``v``) of all numeric columns."""
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    entries = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
-            for c in names
-        ]
-    )
-    quartiles = [
-        F.percentile("v", F.lit(q)).alias(name)
-        for q, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))
-    ]
-    return (
-        first_rows(df, *order, n=n)
-        .select(F.inline(entries))
-        .groupBy("column")
-        .agg(
-            F.count("v").alias("n"),
-            F.avg("v").alias("mean"),
-            F.stddev_samp("v").alias("std"),
-            F.min("v").alias("min"),
-            *quartiles,
-            F.max("v").alias("max"),
-        )
+    if not names:
+        raise ValueError("no numeric column")
+    entries = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("v")) for c in names]
+    return df.select(F.inline(F.array(*entries)))
+
+
+def quantiles(values: DataFrame, wanted: tuple[tuple[float, str], ...] = QUARTILES) -> DataFrame:
+    """Exact quantiles of ``v`` per ``column``, interpolated; nulls are left out, NaN is largest.
+
+    Equal values are counted first. Distinct values are then put in order by ranges, and
+    running counts tell which of them holds a rank. No task holds more than one range, and no
+    value is hot."""
+    counted = values.where("v is not null").groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    placed = running_before(counted, "n", "column", "v", output="before")
+    sizes = placed.groupBy("column").agg(F.min("before").alias("_first"), F.sum("n").alias("_n"))
+    ranked = placed.join(F.broadcast(sizes), "column")  # a row per column of the table
+    at = F.col("before") - F.col("_first")
+
+    def value_of(rank: Column) -> Column:
+        return F.max(F.when((at <= rank) & (rank < at + F.col("n")), F.col("v")))
+
+    def quantile(q: float) -> Column:
+        place = (F.col("_n") - 1) * F.lit(q)
+        low = F.floor(place)
+        share = F.max(place - low)
+        first, second = value_of(low), value_of(F.ceil(place))
+        return F.when(share == 0, first).otherwise(first + (second - first) * share)
+
+    return ranked.groupBy("column").agg(*[quantile(q).alias(name) for q, name in wanted])
+
+
+def describe_numeric(df: DataFrame, *order: str, n: int | None = 5) -> DataFrame:
+    """count, mean, std, min, quartiles and max of the numeric columns, one row per
+    column; quartiles are exact and interpolated. Of the first ``n`` rows, or of all (``None``)."""
+    values = _long_numbers(df if n is None else first_rows(df, *order, n=n))
+    summed = values.groupBy("column").agg(
+        F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+        F.min("v").alias("min"), F.max("v").alias("max"),
     )
+    # Without any value a column has no quartiles.
+    found = summed.join(quantiles(values), "column", "left")
+    return found.select("column", "n", "mean", "std", "min", *[name for _, name in QUARTILES], "max")
 
 
 def table_profile(df: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from lexmill.functions import patterns as P
 from lexmill.operators.stats import resolve_text_column
 
 MAX_RANKS = 1_000_000
+MAX_FAR = 4096  # ids beyond twice the number of tokens
 
 
 def byte_ranks() -> dict[bytes, int]:
@@ -153,15 +154,32 @@ def decode(
     output: str = "text",
     specials: dict[str, int] | None = None,
 ) -> DataFrame:
-    """Add the text of the token ids, inside the JVM and without a shuffle: ids index
-    an array of byte strings, whose size is bounded by the rank table's."""
-    if len(ranks) > MAX_RANKS:
+    """Add the text of the token ids, inside the JVM and without a shuffle.
+
+    Ids below twice the table's size index an array of byte strings; the few beyond, such as
+    special tokens with far-off ids, are told apart one by one. So the size of both follows
+    the number of tokens, whatever the largest id."""
+    by_id = {i: b.hex() for b, i in ranks.items()}
+    by_id.update({i: t.encode().hex() for t, i in (specials or {}).items()})
+    if len(by_id) > MAX_RANKS:
         raise ValueError(f"rank table has more than {MAX_RANKS} entries")
-    by_id = {i: b for b, i in ranks.items()}
-    by_id.update({i: t.encode() for t, i in (specials or {}).items()})
-    table = [by_id[i].hex() if i in by_id else None for i in range(max(by_id) + 1)]
+    if min(by_id, default=0) < 0:
+        raise ValueError("rank table has a negative id")
+    dense = min(2 * len(by_id), max(by_id, default=-1) + 1)
+    far = {i: h for i, h in by_id.items() if i >= dense}
+    if len(far) > MAX_FAR:
+        raise ValueError(f"rank table has more than {MAX_FAR} ids beyond twice its size")
+    table = [by_id.get(i) for i in range(dense)]
     pieces = F.from_json(F.lit(json.dumps(table)), "array<string>")  # folded to a constant
-    hexes = F.transform(tokens, lambda i: F.get(pieces, i))
+
+    def piece(i: Column) -> Column:
+        near = F.get(pieces, i)
+        if not far:
+            return near
+        known = F.create_map(*[F.lit(x) for pair in far.items() for x in pair])
+        return F.when(i < dense, near).otherwise(F.try_element_at(known, i))
+
+    hexes = F.transform(tokens, piece)
     known = ~F.exists(hexes, lambda h: h.isNull())
     raw = F.unhex(F.array_join(hexes, ""))
     text = F.make_valid_utf8(raw.cast("string"))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.functions import text as X
 from lexmill.operators import cleaning, examples, profile, scoring, stats, tokens, vocab
+from lexmill.session import written
 
 
 def prepare_sources(
@@ -34,20 +36,32 @@ def prep_summary(prepared: DataFrame) -> DataFrame:
 def pattern_report(both: DataFrame, group: str, order: str, k: int = 10) -> DataFrame:
     """Profile of raw and clean texts per group, in long form.
 
-    ``both`` has the columns (group, stage, text, order). Rows: every metric, the
-    most common words and the most common special characters of each stage.
+    ``both`` has the columns (group, stage, text, order). Rows: every metric, the most common
+    words and the most common special characters of each stage; and, as stage ``change``, what
+    cleaning changed of every metric, where a group has both stages.
+
+    Words are split and counted once, for metrics and for ranking.
     """
     keys = [group, "stage"]
-    unit = both.withColumn("_unit", F.struct(*keys))
-    metrics = profile.metrics_by_group(unit, "_unit")
+    words = written(profile.word_occurrences(both, keys, "text", order), "word-counts")
+    unit = F.struct(*keys).alias("_unit")
+    metrics = profile.metrics_by_group(
+        both.withColumn("_unit", unit), "_unit", counted=words.select(unit, "item", "cnt")
+    ).select("_unit.*", *profile.METRICS)
+    raw, clean = (metrics.where(F.col("stage") == s).alias(s) for s in ("raw", "clean"))
+    same = F.col(f"raw.{group}").eqNullSafe(F.col(f"clean.{group}"))
+    change = raw.join(clean, same).select(
+        F.col(f"raw.{group}").alias(group), F.lit("change").alias("stage"),
+        *[(F.col(f"clean.{m}") - F.col(f"raw.{m}")).alias(m) for m in profile.METRICS],
+    )
     long = F.array(
         *[
             F.struct(F.lit(m).alias("item"), F.col(m).cast("double").alias("value"))
             for m in profile.METRICS
         ]
     )
-    measured = metrics.select(
-        "_unit.*", F.lit("metric").alias("kind"), F.lit(0).alias("rank"), F.inline(long)
+    measured = metrics.unionByName(change).select(
+        *keys, F.lit("metric").alias("kind"), F.lit(0).alias("rank"), F.inline(long)
     )
 
     def top(counted: DataFrame, kind: str) -> DataFrame:
@@ -56,14 +70,31 @@ def pattern_report(both: DataFrame, group: str, order: str, k: int = 10) -> Data
             F.col("cnt").cast("double").alias("value"),
         )
 
-    words = top(profile.word_occurrences(both, keys, "text", order), "word")
     marks = top(profile.special_char_occurrences(both, keys, "text", order), "char")
-    return measured.unionByName(words).unionByName(marks)
+    return measured.unionByName(top(words, "word")).unionByName(marks)
 
 
-def corpus_report(df: DataFrame, language: str = "language", file: str = "file") -> DataFrame:
-    """Statistics per file and in total, language shares, and both histograms, as
-    ``(section, item, value)``."""
+def sample_documents(
+    df: DataFrame, order: str, file: str = "file", n: int = 5, seed: int = 42, length: int = 200,
+    columns: tuple[str, ...] = ("url", "language", "language_score", "token_count"), text: str = "text",
+) -> DataFrame:
+    """The first ``n`` documents of a file picked by seed: (``item``, ``measure``, ``note``), with those of
+    ``columns`` that the table has and the beginning of the text."""
+    picked = stats.seeded_sample(df, file, 1, seed).agg(F.min(file)).scalar()
+    rows = stats.first_rows(df.where(F.col(file).eqNullSafe(picked)), order, n=n)
+    place = F.row_number().over(Window.orderBy(order))  # of n rows
+    notes = [(c, F.col(c).cast("string")) for c in (file, *columns) if c in df.columns]
+    notes.append(("preview", X.preview(text, length)))
+    entries = F.array(*[F.struct(F.lit(name).alias("measure"), c.alias("note")) for name, c in notes])
+    return rows.withColumn("item", place.cast("string")).select("item", F.inline(entries))
+
+
+def corpus_report(
+    df: DataFrame, language: str = "language", file: str = "file", order: str | None = None,
+) -> DataFrame:
+    """Statistics per file and in total, language shares and both histograms, and with
+    ``order`` some sample documents, as ``(section, item, measure, value, note)``; samples have notes
+    instead of values."""
     def section(frame: DataFrame, name: str, item, **values) -> DataFrame:
         entries = F.array(
             *[
@@ -91,6 +122,12 @@ def corpus_report(df: DataFrame, language: str = "language", file: str = "file")
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)
+    report = report.withColumn("note", F.lit(None).cast("string"))
+    if order is not None:
+        samples = sample_documents(df, order, file).withColumns(
+            {"section": F.lit("sample"), "value": F.lit(None).cast("double")}
+        )
+        report = report.unionByName(samples)
     return report
 
 

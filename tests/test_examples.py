@@ -151,3 +151,24 @@ def test_training_examples(token_rows):
 def test_exact_count_of_a_long_text(spark):
     df = spark.createDataFrame([(0, list(range(5000)))], "doc_id long, tokens array<int>")
     assert E.estimate_examples(df, 100, 50, "doc_id").first().exact == 99
+
+
+def test_tokens_seen_over_epochs(spark):
+    """Steps of 4 examples of 3 tokens, counted on over the epochs, against a plain loop."""
+    sizes = [10, 3, 0, 7, 25, 4]
+    df = spark.createDataFrame(list(enumerate(sizes)), "doc_id long, n long")
+    windows = sum(len(range(0, max(n - 3, 0), 2)) for n in sizes)
+    for drop_last in (False, True):
+        batches = [min(4, windows - i) for i in range(0, windows, 4)]
+        batches = [b for b in batches if b == 4 or not drop_last]
+        expected, seen, step = [], 0, -1
+        for epoch in range(3):
+            for size in batches:
+                seen, step = seen + size * 3, step + 1
+                if step % 2 == 0:
+                    expected.append((epoch, step, seen))
+        steps = E.window_steps(df, 3, 2, 4, F.col("n"), drop_last=drop_last)
+        found = E.tokens_seen(steps, 2, step_bucket=2, n_epochs=3)
+        assert sorted(map(tuple, found.collect())) == expected
+    none = E.window_steps(df.limit(0), 3, 2, 4, F.col("n"))
+    assert E.tokens_seen(none, 2).count() == 0

@@ -30,6 +30,7 @@ def test_text_work_has_no_shuffle(docs):
         cleaning.clean_pdf(docs),
         cleaning.clean_web(docs, "text"),
         profile.text_metrics(docs),
+        profile.top_words_per_text(docs),
         profile.compare_columns(docs.withColumn("clean", F.upper("text")), "text", "clean"),
         tokens.encode(docs, tokens.byte_ranks()),
         examples.windows_strict(docs, 2, 1),
@@ -52,8 +53,10 @@ def test_only_needed_columns_are_read(docs):
     assert "ReadSchema: struct<doc_id:bigint,n_chars:int>" in read
 
 
-def test_top_words_of_texts_take_one_shuffle(docs):
-    assert plan(profile.top_words_per_text(docs)).count("Exchange") == 1
+def test_steps_are_counted_from_sizes(docs, spark):
+    query = docs.select(F.col("n_chars").alias("n"))
+    steps = examples.tokens_seen(examples.window_steps(query, 2, 1, 4, F.col("n")), 1)
+    assert "FileScan" not in plan(steps)  # only their number is left
 
 
 def test_top_words_of_groups_are_cut_before_the_shuffle(docs):

@@ -1,10 +1,14 @@
 from __future__ import annotations
 
+import random
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from conftest import column
 from lexmill.functions import text as X
 from lexmill.operators import profile, stats
+from lexmill.plans import reports
 
 
 def test_text_metrics(texts):
@@ -106,3 +110,44 @@ def test_vocabulary_size(texts):
     assert profile.vocabulary_size(df).first().vocab_size == 3
     assert profile.vocabulary_size(df, approximate=True).first().vocab_size == 3
     assert column(df.select("id", F.size(X.words("text")).alias("n")), "n") == [2, 2]
+
+
+def test_top_words_are_counted_in_the_row(texts):
+    df = texts("b a b a c", "", None, "x", "z y " * 50_000 + "z")
+    rows = profile.top_words_per_text(df, "id", k=2).collect()
+    found = [(r.id, r["rank"], r.item, r.cnt) for r in sorted(rows, key=lambda r: (r.id, r["rank"]))]
+    assert found == [(0, 1, "b", 2), (0, 2, "a", 2), (3, 1, "x", 1), (4, 1, "z", 50_001), (4, 2, "y", 50_000)]
+
+
+def test_quantiles_of_all_rows(spark):
+    draw = random.Random(8)
+    values = [draw.choice([1.5, 1.5, draw.gauss(0, 1e6), draw.random() * 1e-9, -7.0]) for _ in range(999)]
+    rows = [(v, i % 3, None) for i, v in enumerate(values)] + [(None, 5, None)]
+    df = spark.createDataFrame(rows, "v double, `odd.name` int, empty long").repartition(7)
+    found = {r.column: r for r in stats.describe_numeric(df, n=None).collect()}
+    for name, own in (("v", values), ("odd.name", [r[1] for r in rows])):
+        cuts = np.quantile(own, [0.25, 0.5, 0.75])
+        assert np.allclose([found[name].q25, found[name].q50, found[name].q75], cuts, rtol=1e-12)
+        assert found[name].n == len(own) and found[name]["max"] == max(own)
+    assert found["empty"].n == 0 and found["empty"].q50 is None
+    assert {r.column: r.n for r in stats.describe_numeric(df.limit(0), n=None).collect()} == {}
+    assert {r.column: r.n for r in stats.describe_numeric(df, "v", n=2).collect()} == {"v": 1, "odd.name": 2, "empty": 0}
+
+
+def test_pattern_report_has_changes(spark):
+    rows = [("s", "raw", "a b. c", 1), ("s", "clean", "a b", 1), ("t", "raw", "x", 2), (None, "raw", "p q", 3), (None, "clean", "p", 3)]
+    both = spark.createDataFrame(rows, "source string, stage string, text string, id long")
+    report = [r for r in reports.pattern_report(both, "source", "id").collect() if r.stage == "change"]
+    found = {(r.source, r.item): r.value for r in report}
+    assert {k[0] for k in found} == {"s", None} and len(report) == 2 * len(profile.METRICS)
+    assert found["s", "char_count"] == -3.0 and found["s", "word_count"] == -1.0 and found[None, "vocab_size"] == -1.0
+
+
+def test_sample_documents(spark):
+    rows = [(i, f"f{i % 2}", "x" * 300, "en", 7) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, file string, text string, language string, token_count long")
+    found = reports.sample_documents(df, "doc_id").collect()
+    assert {r.item for r in found} == set("12345") and {r.measure for r in found} == {"file", "language", "token_count", "preview"}
+    assert {r.note for r in found if r.measure == "preview"} == {"x" * 200 + "..."}
+    assert len({r.note for r in found if r.measure == "file"}) == 1
+    assert reports.sample_documents(df.limit(0), "doc_id").count() == 0

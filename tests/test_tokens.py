@@ -97,3 +97,16 @@ def test_rank_file_with_a_token_twice(spark, tmp_path):
     (tmp_path / "twice").write_text("YQ== 0\nYg== 1\nYQ== 2\n")
     with pytest.raises(ValueError, match="twice"):
         tokens.load_ranks(spark, str(tmp_path))
+
+
+def test_far_ids_are_decoded(spark):
+    specials = {"<|far|>": 2_000_000_000, "<|near|>": 300}
+    ranks = tokens.byte_ranks()
+    df = spark.createDataFrame([(0, [97, 2_000_000_000, 98, 300]), (1, []), (2, None)], "id long, tokens array<int>")
+    assert column(tokens.decode(df, ranks, specials=specials), "text") == ["a<|far|>b<|near|>", "", None]
+    for wrong in (299, 1_999_999_999, -1):
+        bad = spark.createDataFrame([(0, [wrong])], "id long, tokens array<int>")
+        with pytest.raises(Exception, match="unknown token id"):
+            tokens.decode(bad, ranks, specials=specials).collect()
+    with pytest.raises(ValueError):
+        tokens.decode(df, ranks, specials={str(i): 10**6 + i for i in range(tokens.MAX_FAR + 1)})
