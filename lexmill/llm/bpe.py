@@ -13,7 +13,6 @@ encoded whole. Null text is empty text, with no ids. Rows stay separate.
 from __future__ import annotations
 
 import base64
-import functools
 import struct
 from collections.abc import Iterator
 
@@ -22,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from lexmill.llm.common import held
 from lexmill.llm.wordcache import TextEncoder
 
 # Bytes of matches that are merged together; a longer match is merged alone.
@@ -181,9 +181,12 @@ class Encoder:
         return b"".join([table[i] for i in struct.unpack(f"<{len(ids) // 4}I", ids)])
 
 
-@functools.cache
 def encoder(path: str, pattern: str) -> Encoder:
     """The worker's encoder for a file of base64 tokens and ranks."""
+    return held(("bpe", path, pattern), lambda: _encoder(path, pattern))
+
+
+def _encoder(path: str, pattern: str) -> Encoder:
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     return Encoder(ranks, pattern)

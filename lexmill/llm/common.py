@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +67,23 @@ def remainder(column: str, modulus: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
 
+_HELD: dict[object, object] = {}
+
+
+def held(kind: object, make: Callable[[], object]):
+    """The worker's store of a kind. Workers are reused by later stages, so a worker keeps the
+    store of one kind only."""
+    if kind not in _HELD:
+        _HELD.clear()
+        _HELD[kind] = make()
+    return _HELD[kind]
+
+
+def release() -> None:
+    """Drop what earlier stages left in this worker."""
+    _HELD.clear()
+
+
 class Bits:
     """A bitmap of fixed size held by every worker: tells keys that surely are not in a
     set. ``2 ** log_bits`` bits, whatever the set's size; a full one filters nothing."""

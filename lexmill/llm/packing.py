@@ -14,7 +14,6 @@ one. An empty table gives an empty result. Columns asked for by ``carry`` are ke
 
 from __future__ import annotations
 
-import functools
 import os
 import struct
 from collections.abc import Iterator
@@ -24,18 +23,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import texts_of
+from lexmill.llm.common import held, texts_of
 from lexmill.llm.wordcache import TextEncoder
 from lexmill.session import written
 
 WINDOW = 1024
 END_ID = 0
 BUCKETS = 1024
+FORMATS = [f"<{n}I" for n in range(64)]
 
 
-@functools.cache
 def encoder(path: str, pattern: str) -> TextEncoder:
     """The worker's encoder; ``pattern`` is the one by which the tokenizer splits texts."""
+    return held(("packing", path, pattern), lambda: _encoder(path, pattern))
+
+
+def _encoder(path: str, pattern: str) -> TextEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
@@ -44,7 +47,8 @@ def encoder(path: str, pattern: str) -> TextEncoder:
 
     def ids(matches: list[str]) -> list[bytes]:
         found = made.encode_batch_fast(matches, add_special_tokens=False)
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
+        return [struct.pack(FORMATS[len(x)], *x) if len(x) < len(FORMATS) else np.array(x, "<u4").tobytes()
+                for x in (e.ids for e in found)]
 
     return TextEncoder(pattern, ids)
 

@@ -6,22 +6,27 @@ from collections.abc import Callable
 
 import regex
 
-WORDS = 250_000  # in each of two generations
-LONGEST = 64  # longer words and matches are not remembered
+# Entries in each of two generations; one takes about 200 bytes, at most 900.
+WORDS, MATCHES = 400_000, 50_000
+LONGEST = 32  # longer words and matches are not remembered
 # With this choice in a pattern, a space and letters up to the end are one match.
 LETTERS = r" ?\p{L}+"
 
 
 class Recent:
-    """A bounded store in two generations: what is still used moves to the new one."""
+    """A bounded store in two generations: what is still used moves to the new one. Each
+    holds ``size`` entries and at most one update more."""
 
-    def __init__(self, size: int = WORDS):
+    def __init__(self, size: int):
         self.size, self.new, self.old = size, {}, {}
 
     def put(self, key: str, value: bytes) -> None:
+        self.update(((key, value),))
+
+    def update(self, entries) -> None:
         if len(self.new) >= self.size:
             self.old, self.new = self.new, {}
-        self.new[key] = value
+        self.new.update(entries)
 
     def find(self, key: str) -> bytes | None:
         value = self.new.get(key)
@@ -45,42 +50,52 @@ class TextEncoder:
 
     def __init__(self, pattern: str, encode: Callable[[list[str]], list[bytes]]):
         self.match, self.encode = regex.compile(pattern).findall, encode
-        self.words, self.matches = Recent(), Recent()
+        self.words, self.matches = Recent(WORDS), Recent(MATCHES)
         self.letters = LETTERS in pattern.split("|")
 
     def texts(self, texts: list[str]) -> list[bytes]:
         parts = [t.split(" ") for t in texts]
-        self._learn({p for ps in parts for p in ps[1:] if p not in self.words.new})
+        self._learn(set().union(*parts) - self.words.new.keys())
         return [self._one(ps) for ps in parts]
 
     def _learn(self, words: set[str]) -> None:
-        """Remember new words of a batch, their new matches encoded together."""
-        split, old, put, match = {}, self.words.old, self.words.put, self.match
+        """Remember new words of a batch. Words of letters are one match with the space before
+        them, and are encoded together; of others the new matches are."""
+        plain, split, seen, old, match = [], {}, [], self.words.old.get, self.match
         for word in words:
-            if not 0 < len(word) < LONGEST or word[-1].isspace():
-                continue
-            ids = old.get(word)
+            ids = old(word)
             if ids is not None:
-                put(word, ids)
-            elif self.letters and word.isascii() and word.isalpha():
-                split[word] = [" " + word]
-            else:
+                seen.append((word, ids))
+            elif word.isalpha() and self.letters:
+                if len(word) < LONGEST:
+                    plain.append(word)
+            elif 0 < len(word) < LONGEST and not word[-1].isspace():
                 split[word] = match(" " + word)
+        self.words.update(seen)
+        self.words.update(zip(plain, self.encode([" " + word for word in plain])))
         known = self._matched({m for ms in split.values() for m in ms})
-        for word, matches in split.items():
-            put(word, known[matches[0]] if len(matches) == 1 else b"".join([known[m] for m in matches]))
+        self.words.update(
+            (word, known[ms[0]] if len(ms) == 1 else b"".join([known[m] for m in ms])) for word, ms in split.items()
+        )
 
     def _matched(self, matches: set[str]) -> dict[str, bytes]:
-        known = dict(zip(matches, map(self.matches.new.get, matches)))
-        new = []
-        for m in [m for m, ids in known.items() if ids is None]:
-            ids = known[m] = self.matches.find(m)
+        """Ids of matches. A word's match with the space before it is kept under the word."""
+        known, new, find, of_word = {}, [], self.matches.find, self.words.find
+        for m in matches:
+            word = self.letters and m[0] == " " and m[1:].isalpha()
+            ids = of_word(m[1:]) if word else find(m)
             if ids is None:
-                new.append(m)
-        for m, ids in zip(new, self.encode(new)):
-            known[m] = ids
-            if len(m) < LONGEST:
-                self.matches.put(m, ids)
+                new.append((m, word))
+            else:
+                known[m] = ids
+        if new:
+            for (m, word), ids in zip(new, self.encode([m for m, _ in new])):
+                known[m] = ids
+                if len(m) < LONGEST:
+                    if word:
+                        self.words.put(m[1:], ids)
+                    else:
+                        self.matches.put(m, ids)
         return known
 
     def _plain(self, text: str) -> bytes:
