@@ -22,7 +22,8 @@ except those inside the list's largest component.
 
 Variants of one text that are too far from each other to link share nearly all of their
 shingles, prefixes too. Where ``CROWD`` or more of one leader are in several components, they
-are therefore compared by their differences from the leader's set, of size ``d``: two
+are therefore compared by their differences from the leader's set, of size ``d``, in star rounds
+of their own before their pairs are taken: two
 sets link when their differences differ in at most ``h = (1 - t) / (1 + t) * (n1 + n2)``
 places, so the differences share at least ``(d1 + d2 - h) / 2``, and the same prefixes with
 several required matches apply to them. Where this bound is not positive, both link with the
@@ -56,6 +57,7 @@ BLOCK = 1 << 21  # shingles that a task counts at a time
 PER_MATCH = 8  # prefix shingles for each further required match
 MOST_MATCHES = 12
 STARS = 2
+INNER_STARS = 5
 CROWD = 64
 LOG_BITS = 24
 
@@ -195,9 +197,9 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int,
     return _with_sets(pairs, "a", "b", classes, texts, size).mapInArrow(check, "a long, b long")
 
 
-def _differences(crowds: DataFrame, classes: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
-    """``rep``, ``crowd``, ``d`` and the first ``token``s with their ``pos`` of the difference
-    between each member's set and its leader's, those rare in the crowd first."""
+def _differences(crowds: DataFrame, classes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """``rep``, ``crowd``, ``n`` (of the member's set) and ``tokens``, the difference between the member's
+    set and its leader's."""
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,21 +212,80 @@ def _differences(crowds: DataFrame, classes: DataFrame, texts: DataFrame, size:
                 ["rep", "crowd", "n", "tokens"],
             )
 
-    found = _with_sets(crowds, "rep", "crowd", classes, texts, size).mapInArrow(
-        differ, "rep long, crowd long, n long, tokens array<long>"
-    )
-    tokens = written(
-        found.select("rep", "crowd", "n", F.size("tokens").cast("long").alias("d"), F.explode("tokens").alias("token")),
-        "differences",
-    )
+    found = _with_sets(crowds, "rep", "crowd", classes, texts, size)
+    return written(found.mapInArrow(differ, "rep long, crowd long, n long, tokens array<long>"), "differences")
+
+
+def _rare_first(differences: DataFrame, threshold: int) -> DataFrame:
+    """``rep``, ``crowd``, ``n``, ``d`` and the first ``token``s of each difference with their ``pos``, those rare
+    in the crowd first."""
+    tokens = differences.select("rep", "crowd", "n", F.size("tokens").cast("long").alias("d"), F.explode("tokens").alias("token"))
     often = tokens.groupBy("crowd", "token").agg(F.count(F.lit(1)).alias("often"))
     place = F.row_number().over(Window.partitionBy("rep").orderBy("often", "token")) - 1
     # A partner's difference is at most (1 - t) / t * n shorter, and one more for the second match.
-    return (
-        tokens.join(often, ["crowd", "token"]).withColumn("pos", place)
-        .where((F.col("pos") - 1) * threshold <= F.col("n") * (100 - threshold))
-        .select("rep", "crowd", "d", "token", "pos")
+    first = tokens.join(often, ["crowd", "token"]).withColumn("pos", place).where(
+        (F.col("pos") - 1) * threshold <= F.col("n") * (100 - threshold)
     )
+    return written(first.select("rep", "crowd", "n", "d", "token", "pos"), "inner")
+
+
+def _linked_inside(pairs: DataFrame, differences: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (``a``, ``b``) of a crowd that link, by their differences from the leader alone: two sets
+    differ where these do."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (batch.column(c).to_pylist() for c in ("x", "y"))
+            apart = np.fromiter((len(set(p) ^ set(q)) for p, q in zip(x, y)), np.int64, len(x))
+            good = apart * (100 + threshold) <= batch.column("sizes").to_numpy() * (100 - threshold)
+            part = batch.filter(pa.array(good))
+            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"])
+
+    left = differences.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("x"))
+    right = differences.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("y"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", (F.col("n_a") + F.col("n_b")).alias("sizes"), "x", "y")
+    return written(both.mapInArrow(check, "a long, b long"), "links")
+
+
+def _inside(differences: DataFrame, links: DataFrame | None, labels: DataFrame, threshold: int) -> tuple[DataFrame | None, DataFrame]:
+    """Links within crowds, joined to ``links``, and the labels they lead to. Star rounds first: every
+    member is compared with one other, a pivot of the token lists they share, another pivot each
+    round. They join most of a dense crowd; all pairs are then taken between what is left apart."""
+    scale = 100 + threshold
+    sizes = (F.col("n") + F.col("other_n")) * (100 - threshold)
+    tokens = _rare_first(differences, threshold)
+    near = (F.col("n") * 100 >= F.col("other_n") * threshold) & (F.col("other_n") * 100 >= F.col("n") * threshold)
+
+    def within(of: str, other: str):
+        places = 2 * (F.col(f"{of}pos") - 1) - F.col(f"{of}d") + F.col(f"{other}d")
+        return places * scale <= sizes
+
+    possible = near & within("", "other_") & within("other_", "")
+    two = (F.col("d") + F.col("other_d") - 2) * scale > sizes
+    least = F.when(two, 2).otherwise(1)
+    for turn in range(INNER_STARS + 1):
+        label = labels.withColumnRenamed("node", "rep")
+        own = tokens.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        if turn < INNER_STARS:
+            columns = ["rep", "n", "d", "pos", "component"]
+            first = F.struct(F.xxhash64("rep", F.lit(turn)).alias("rank"), *columns)
+            pivots = own.groupBy("crowd", "token").agg(
+                F.min(first).alias("p"), F.min("component").alias("lo"), F.max("component").alias("hi")
+            ).where("lo <> hi").select("crowd", "token", *[F.col(f"p.{c}").alias(f"other_{c}") for c in columns])
+            met = own.join(pivots, ["crowd", "token"]).where(possible & (F.col("component") != F.col("other_component")))
+            shared = met.groupBy("rep", "other_rep").agg(F.count(F.lit(1)).alias("k"), F.min(least).alias("least"))
+            best = shared.where("k >= least").groupBy("rep").agg(
+                F.max_by("other_rep", F.struct("k", "other_rep")).alias("pivot")
+            )
+            pairs = best.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
+        else:
+            pairs = _pairs(_across(own, ["crowd", "token"]).where(possible), least)
+        found = _linked_inside(written(pairs, "pairs"), differences, threshold)
+        if found.isEmpty():
+            continue
+        links = found if links is None else links.unionByName(found)
+        labels = components(links)
+    return links, labels
 
 
 def _across(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -305,8 +366,11 @@ def link(docs: DataFrame, size: int, threshold: int, key: str = "doc_id", text:
             crowds = written(
                 leaders.join(crowded, "pivot").select("rep", F.col("pivot").alias("crowd")), "crowds"
             )
-            # Twice the bounds, times 100 + t; "sizes" is h.
-            scale, sizes = 100 + threshold, (F.col("n") + F.col("other_n")) * (100 - threshold)
+            if not crowds.isEmpty():
+                links, labels = _inside(_differences(crowds, classes, texts, size), links, labels, threshold)
+                label = labels.withColumnRenamed("node", "rep")
+                own = live.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+            scale = 100 + threshold
             met = _across(own.join(crowds, "rep", "left"), ["token"])
             matches = F.least("m", "other_m")
 
@@ -317,18 +381,6 @@ def link(docs: DataFrame, size: int, threshold: int, key: str = "doc_id", text:
 
             apart = F.coalesce(F.col("crowd") != F.col("other_crowd"), F.lit(True))
             pairs = _pairs(met.where(near("other_n") & apart & reached("") & reached("other_")), matches)
-            if not crowds.isEmpty():
-                inner = _differences(crowds, classes, texts, size, threshold).join(classes.select("rep", "n"), "rep")
-                inner = inner.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-                met = _across(written(inner, "inner"), ["crowd", "token"])
-
-                def within(of: str, other: str):
-                    places = 2 * (F.col(f"{of}pos") - 1) - F.col(f"{of}d") + F.col(f"{other}d")
-                    return places * scale <= sizes
-
-                two = (F.col("d") + F.col("other_d") - 2) * scale > sizes
-                met = met.where(near("other_n") & within("", "other_") & within("other_", ""))
-                pairs = pairs.unionByName(_pairs(met, F.when(two, 2).otherwise(1)))
         pairs = written(pairs, "pairs")
         if pairs.isEmpty():
             continue
