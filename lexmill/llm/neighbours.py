@@ -14,8 +14,9 @@ and the beam keeps the best, until no query has a point in its beam that is not
 points, and from ``ENTRIES`` fixed points. Points travel as one byte per component; the last
 beam is measured again on the original vectors in double precision.
 
-Vectors that are null, zero, or hold a null or a component that is not finite take no part,
-nor do vectors of another length than the most frequent one. Of equal vectors
+Rows with a null id and vectors that are null, zero, or hold a null or a component that is not
+finite take no part, nor do vectors of another length than the most frequent one, as they have
+no cosine with the others. Very large and very small vectors count by their direction. Of equal vectors
 the smaller ids come first, and a query never finds its own row. Rows that repeat an id
 count once, with their least vector. Fewer points than asked for give fewer rows.
 """
@@ -51,6 +52,13 @@ def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists("v", lambda x: x != 0)
     ).groupBy("id").agg(F.min("v").alias("v"))
+    # Cosines do not change with length. Powers of two, in two steps, keep every component exact
+    # and bring the largest near 1, so that no product overflows or vanishes.
+    power = F.floor(F.log2(F.array_max(F.transform("v", lambda x: F.abs(x)))))
+    half = F.floor(power / 2)
+    fine = fine.withColumns({"_a": F.pow(F.lit(2.0), -half), "_b": F.pow(F.lit(2.0), half - power)}).select(
+        "id", F.transform("v", lambda x: x * F.col("_a") * F.col("_b")).alias("v")
+    )
     sizes = fine.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("k"))
     most = sizes.orderBy(F.desc("k"), "n").limit(1).collect()
     return fine.where(F.size("v") == (most[0].n if most else 0))
@@ -221,8 +229,9 @@ def search(queries: DataFrame, points: DataFrame, graph: DataFrame, beam: int =
     ``query_code`` and ``own``, the query's own point or null."""
     ends = graph.select("a", "b").union(graph.select("b", "a")).distinct()
     # A popular point's neighbours are kept in parts too; opening it opens all parts.
-    lists = ends.join(points.withColumnRenamed("id", "b"), "b").groupBy(
-        "a", F.pmod(F.xxhash64("b"), F.lit(4)).alias("part")
+    parts = ends.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts"))
+    lists = ends.join(parts, "a").join(points.withColumnRenamed("id", "b"), "b").groupBy(
+        "a", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part")
     ).agg(F.collect_list(F.struct(F.col("b").alias("id"), "code")).alias("members"))
     lists = written(lists.select(F.col("a").alias("point"), "members"), "lists")
     entries = points.orderBy(F.xxhash64("id"), "id").limit(ENTRIES).collect()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lexmill.llm import neighbours
 
@@ -47,3 +48,13 @@ def test_a_graph_that_does_not_settle_is_an_error(spark, monkeypatch):
     v = np.random.default_rng(1).standard_normal((300, 8))
     with pytest.raises(RuntimeError):
         neighbours.build(_points(spark, v), 10)
+
+
+def test_extreme_vectors(spark):
+    """Vectors whose products overflow or vanish count by their direction."""
+    rows = [(0, [1.0, 0.0]), (1, [1e-200, 0.0]), (2, [1e200, 1e200]), (3, [1e-45, 2e-45]), (4, [5e-324, 0.0]),
+            (5, [-1.7e308, 0.0]), (None, [1.0, 0.0]), (6, [1.0, 2.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(df, F.col("id") == 0, 5).orderBy("rank").collect()
+    assert [r.vec_id for r in found] == [1, 4, 2, 3, 5]
+    assert [round(r.score, 12) for r in found] == [1.0, 1.0, round(0.5**0.5, 12), round(0.2**0.5, 12), -1.0]
