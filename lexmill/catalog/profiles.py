@@ -161,7 +161,7 @@ def _word_items(keys: str) -> str:
 
 @query("word_frequency_top", top_sql(_word_items("doc_id"), "doc_id"))
 def word_frequency_top(spark, folder):
-    return profile.top_words_per_text(table(spark, folder, "documents"))
+    return profile.top_words_per_text(documents(spark, folder))
 
 
 @query("topk_per_group", top_sql(_word_items("source"), "source"))
