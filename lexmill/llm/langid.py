@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.llm.common import texts_of
+from lexmill.llm.common import release, texts_of
 
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
@@ -217,6 +217,7 @@ def predict(docs: DataFrame, model: Model, lang_output: str = "lang_pred", score
     )
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             texts = texts_of(batch, text)
             values = decisions(texts, held.value)

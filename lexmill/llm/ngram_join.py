@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import bitmap, number_id, words_of
+from lexmill.llm.common import bitmap, number_id, release, words_of
 from lexmill.llm.graphs import components
 from lexmill.llm.substrings import _FIRST, codes_of, mixed, rolled
 from lexmill.session import written
@@ -77,6 +77,7 @@ def _frequent(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The head of the order: shingles (sorted) and their estimated counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         held, total = [], 0
 
         def out() -> pa.RecordBatch:
@@ -126,6 +127,7 @@ def _classes(texts: DataFrame, size: int, threshold: int) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(_frequent(texts, size))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         head, counts = shared.value
         for batch in batches:
             ns, classes, ms, prefixes = [], [], [], []
