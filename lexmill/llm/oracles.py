@@ -87,3 +87,86 @@ WITH RECURSIVE steps AS (
 SELECT f.word, f.n, f.n_near, f.form, f.form_n, c.at AS root
 FROM forms f JOIN chain c ON f.word = c.word AND c.next IS NULL
 """
+
+# Words hold no space, so words joined by spaces stand for their sequence.
+ORACLE["op9_substring_dedup"] = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), words AS (
+  SELECT doc_id, len(ws) AS n, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM texts
+), windows AS MATERIALIZED (
+  SELECT doc_id, i, word, CASE WHEN i <= n - 12 THEN string_agg(word, ' ') OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) END AS win
+  FROM words
+), firsts AS (
+  SELECT win, min(doc_id) AS first FROM windows WHERE win IS NOT NULL GROUP BY win
+), marked AS (
+  SELECT w.doc_id, w.i, w.word, bool_or(coalesce(f.first < w.doc_id, false)) OVER (
+    PARTITION BY w.doc_id ORDER BY w.i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone
+  FROM windows w LEFT JOIN firsts f USING (win)
+), cut AS (
+  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed,
+    string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept
+  FROM marked GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)
+"""
+
+# Bytes as hexadecimal digits, two each.
+ORACLE["op8_suffix_array_dedup"] = r"""
+WITH texts AS MATERIALIZED (
+  SELECT doc_id, hex(coalesce(text, '')) AS bytes FROM documents
+), windows AS (
+  SELECT doc_id, i, substr(bytes, 2 * i + 1, 100) AS win
+  FROM (SELECT doc_id, bytes, unnest(range(length(bytes) // 2 - 49)) AS i FROM texts)
+), hits AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY win) AS first FROM windows) WHERE first < doc_id
+), edges AS (
+  SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50, true) AS begins FROM hits
+), numbered AS (
+  SELECT doc_id, i, sum(begins::INT) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM edges
+), spans AS (
+  SELECT doc_id, min(i) AS s, max(i) + 50 AS e FROM numbered GROUP BY doc_id, span
+), gaps AS (
+  SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS before FROM spans
+), cut AS (
+  SELECT g.doc_id, count(*) AS n_spans, sum(e - s) AS n_removed, max(e) AS last,
+    string_agg(substr(bytes, 2 * before + 1, 2 * (s - before)), '' ORDER BY s) AS kept
+  FROM gaps g JOIN texts USING (doc_id) GROUP BY g.doc_id
+)
+SELECT doc_id, (length(bytes) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(bytes, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)
+"""
+
+ORACLE["op7_ngram_jaccard_join"] = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents
+), words AS (
+  SELECT doc_id, len(ws) AS n, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM texts
+), windows AS (
+  SELECT doc_id, n, i, string_agg(word, ' ') OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS shingle
+  FROM words
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, shingle FROM windows WHERE i <= greatest(n - 2, 1)
+), sizes AS MATERIALIZED (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS same
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS MATERIALIZED (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * same >= 90 * (x.n + y.n - same)
+), either AS MATERIALIZED (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS at FROM texts UNION SELECT r.doc_id, e.b FROM reach r JOIN either e ON r.at = e.a
+)
+SELECT t.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles, min(r.at) AS component_id
+FROM texts t JOIN reach r USING (doc_id) LEFT JOIN sizes s USING (doc_id) GROUP BY t.doc_id
+"""
