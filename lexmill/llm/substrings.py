@@ -74,23 +74,46 @@ def least_of(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def window_anchors(codes: np.ndarray) -> np.ndarray:
-    """The anchor of every window of a document."""
-    return least_of(rolled(codes, ANCHOR, _SECOND), WINDOW - ANCHOR + 1)
-
-
 def codes_of(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(digest, words), np.uint64, len(words))
 
 
+class Windows:
+    """The windows of a batch of texts one after another: ``text`` (its place in the batch) and
+    ``pos`` (first word) of each. Digests are rolled over the batch at once; what reaches
+    over a text's end is left out."""
+
+    def __init__(self, texts: list[str | None]):
+        codes = [codes_of(words_of(t)) for t in texts]
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes))
+        counts = np.maximum(sizes - WINDOW + 1, 0)
+        self.codes = np.concatenate(codes) if codes else np.zeros(0, np.uint64)
+        self.text = np.repeat(np.arange(len(sizes)), counts)
+        self.pos = np.arange(len(self.text)) - np.repeat(np.cumsum(counts) - counts, counts)
+        self.at = self.pos + np.repeat(np.cumsum(sizes) - sizes, counts)
+
+    def anchors(self) -> np.ndarray:
+        if not len(self.at):
+            return np.zeros(0, np.uint64)
+        return least_of(rolled(self.codes, ANCHOR, _SECOND), WINDOW - ANCHOR + 1)[self.at]
+
+    def digests(self, odd: np.uint64) -> np.ndarray:
+        return rolled(self.codes, WINDOW, odd)[self.at] if len(self.at) else np.zeros(0, np.uint64)
+
+    def changes(self, anchors: np.ndarray) -> np.ndarray:
+        """Where a text or an anchor begins."""
+        if not len(anchors):
+            return np.zeros(0, np.int64)
+        return np.flatnonzero(np.r_[True, (anchors[1:] != anchors[:-1]) | (self.text[1:] != self.text[:-1])])
+
+
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = []
-        for text in batch.column("_t").to_pylist():
-            words = words_of(text)
-            if len(words) >= WINDOW:
-                found.append(np.unique(window_anchors(codes_of(words))))
-        keys = np.concatenate(found) if found else np.zeros(0, np.uint64)
+        windows = Windows(batch.column("_t").to_pylist())
+        anchors = windows.anchors()
+        change = windows.changes(anchors)
+        parts = np.split(anchors[change], np.flatnonzero(np.diff(windows.text[change])) + 1)
+        keys = np.concatenate([np.unique(part) for part in parts])
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], ["key"])
 
 
@@ -105,34 +128,34 @@ def _table(made: list[tuple], kinds: str, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
 
-def runs_of(codes: np.ndarray, bits: Bits) -> tuple[np.ndarray, ...]:
-    """Runs of a document whose anchors may be repeated: anchor, digest of all words, first
+def runs_of(windows: Windows, bits: Bits) -> tuple[np.ndarray, ...]:
+    """Runs of a batch whose anchors may be repeated: anchor, digest of all words, text, first
     window and number of windows. First and last window overlap, so they give all words."""
-    anchors = window_anchors(codes)
+    anchors = windows.anchors()
     n = len(anchors)
-    change = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
+    change = windows.changes(anchors)
     begun = np.repeat(change, np.diff(np.r_[change, n]))
     starts = np.flatnonzero((np.arange(n) - begun) % RUN == 0)
     sizes = np.diff(np.r_[starts, n])
     keep = bits.has(anchors[starts])
     starts, sizes = starts[keep], sizes[keep]
-    first = rolled(codes, WINDOW, _FIRST) if len(starts) else anchors
+    first = windows.digests(_FIRST) if len(starts) else anchors
     whole = mixed(first[starts] * _SECOND + first[starts + sizes - 1] + sizes.astype(np.uint64))
-    return anchors[starts].view(np.int64), whole.view(np.int64), starts.astype(np.int32), sizes.astype(np.int32)
+    return anchors[starts].view(np.int64), whole.view(np.int64), windows.text[starts], windows.pos[starts], sizes
+
+
+def _places(batch: pa.RecordBatch, repeated: Bits) -> tuple[np.ndarray, np.ndarray]:
+    """Document and row of every text of a batch."""
+    return batch.column("_d").to_numpy(), np.array(rows_of(batch, repeated), np.int64)
 
 
 def _runs(texts: DataFrame, bits, repeated) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = []
-            rows = rows_of(batch, repeated.value)
-            for key, row, text in zip(batch.column("_d").to_pylist(), rows, batch.column("_t").to_pylist()):
-                words = words_of(text)
-                if len(words) >= WINDOW:
-                    anchors, whole, starts, sizes = runs_of(codes_of(words), bits.value)
-                    made.append((anchors, whole, np.full(len(starts), key, np.int64),
-                                 np.full(len(starts), row, np.int64), starts, sizes))
-            yield _table(made, "llllii", ["a", "r", "doc", "row", "pos", "n"])
+            docs, rows = _places(batch, repeated.value)
+            anchors, whole, text, pos, sizes = runs_of(Windows(batch.column("_t").to_pylist()), bits.value)
+            made = (anchors, whole, docs[text], rows[text], pos.astype(np.int32), sizes.astype(np.int32))
+            yield _table([made], "llllii", ["a", "r", "doc", "row", "pos", "n"])
 
     return texts.mapInArrow(find, "a long, r long, doc long, row long, pos int, n int")
 
@@ -142,18 +165,15 @@ def _windows(texts: DataFrame, bits, repeated) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            docs, rows = _places(batch, repeated.value)
+            windows = Windows(batch.column("_t").to_pylist())
+            at = np.flatnonzero(bits.value.has(windows.anchors()))
             made = []
-            rows = rows_of(batch, repeated.value)
-            for key, row, text in zip(batch.column("_d").to_pylist(), rows, batch.column("_t").to_pylist()):
-                words = words_of(text)
-                if len(words) < WINDOW:
-                    continue
-                codes = codes_of(words)
-                at = np.flatnonzero(bits.value.has(window_anchors(codes)))
-                if len(at):
-                    first, second = rolled(codes, WINDOW, _FIRST)[at], rolled(codes, WINDOW, _SECOND)[at]
-                    made.append((first.view(np.int64), (second >> np.uint64(32)).astype(np.uint32).view(np.int32),
-                                 np.full(len(at), key, np.int64), np.full(len(at), row, np.int64), at.astype(np.int32)))
+            if len(at):
+                first, second = windows.digests(_FIRST)[at], windows.digests(_SECOND)[at]
+                text = windows.text[at]
+                made.append((first.view(np.int64), (second >> np.uint64(32)).astype(np.uint32).view(np.int32),
+                             docs[text], rows[text], windows.pos[at].astype(np.int32)))
             yield _table(made, "lilli", ["h", "g", "doc", "row", "pos"])
 
     return texts.mapInArrow(find, "h long, g int, doc long, row long, pos int")
@@ -198,6 +218,19 @@ def parse(copied: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int,
     return out
 
 
+def chains(text, pos, n, doc, ref) -> tuple[np.ndarray, ...]:
+    """Copied runs by text and position; those that go on in the reference where the one
+    before breaks off are one."""
+    if not len(text):
+        return text, pos, n, doc, ref
+    order = np.lexsort((-n, pos, text))
+    text, pos, n, doc, ref = (x[order] for x in (text, pos, n, doc, ref))
+    end, shift = pos + n, ref - pos
+    other = (text[1:] != text[:-1]) | (doc[1:] != doc[:-1]) | (shift[1:] != shift[:-1]) | (pos[1:] > end[:-1])
+    at = np.flatnonzero(np.r_[True, other])
+    return text[at], pos[at], np.maximum.reduceat(end, at) - pos[at], doc[at], ref[at]
+
+
 FACTOR = "array<struct<start:int,end:int,ref_doc:long,ref_start:int>>"
 
 
@@ -211,10 +244,14 @@ def factors(docs: DataFrame, key: str = "doc_id", text: str = "text", repeated=N
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("ref_doc", pa.int64()), ("ref_start", pa.int32())]))
         for batch in batches:
-            made = []
-            for row in batch.column("w").to_pylist():
-                found = parse([(w["pos"], w["n"], w["ref_doc"], w["ref_pos"]) for w in row])
-                made.append([dict(zip(("start", "end", "ref_doc", "ref_start"), f)) for f in found])
+            made = [[] for _ in range(batch.num_rows)]
+            runs = batch.column("w").flatten()
+            text = np.repeat(np.arange(batch.num_rows), batch.column("w").value_lengths().to_numpy())
+            fields = [runs.field(f).to_numpy().astype(np.int64) for f in ("pos", "n", "ref_doc", "ref_pos")]
+            for i, *run in zip(*(x.tolist() for x in chains(text, *fields))):
+                made[i].append(run)
+            names = ("start", "end", "ref_doc", "ref_start")
+            made = [[dict(zip(names, f)) for f in parse(row)] for row in made]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc"), batch.column("row"), pa.array(made, kind)], ["doc", "row", "factors"]
             )
