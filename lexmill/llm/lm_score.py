@@ -10,8 +10,8 @@ spelled by the vocabulary's byte pieces.
 
 The lattice is computed once per distinct word of the corpus, in a table spread over
 the cluster. Texts look words up in it: the ``HEAD_WORDS`` most frequent short words are
-broadcast (a bound on rows and bytes), so no frequent word is ever shuffled; all other words
-go through a join.
+broadcast (a bound on rows and bytes), so no frequent word of up to ``HEAD_BYTES`` bytes is ever
+shuffled; all other words go through a join. Texts are read once for it.
 
 Null and empty texts have one token, the end. Rows are scored one by one, repeated ids
 included; rows with a null id belong to training. With an empty training set every
@@ -149,9 +149,6 @@ class Lattice:
         return top + math.log10(sum(10.0 ** (p - top) for p in reach[n]))
 
 
-_lattices: dict[tuple, Lattice] = {}
-
-
 def with_lattice(counted: DataFrame, path: str, logs: np.ndarray) -> DataFrame:
     """Adds ``lm``, the lattice's log10 probability of each distinct word."""
     shared = counted.sparkSession.sparkContext.broadcast(logs)
@@ -167,6 +164,21 @@ def with_lattice(counted: DataFrame, path: str, logs: np.ndarray) -> DataFrame:
     return counted.mapInArrow(apply, "word binary, c long, lm double")
 
 
+def frequent(vocabulary: DataFrame) -> DataFrame:
+    """The most frequent words, at most ``HEAD_WORDS``: those whose count, of which the first
+    six bits matter, is above what a small histogram of such counts tells."""
+    high = F.greatest(F.floor(F.log2(F.greatest(F.col("c"), F.lit(1)))) - 5, F.lit(0)).cast("int")
+    rough = F.col("c") - F.pmod(F.col("c"), F.call_function("shiftleft", F.lit(1).cast("long"), high))
+    most = -1
+    left = HEAD_WORDS
+    for row in vocabulary.groupBy(rough.alias("c")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).collect():
+        left -= row.n
+        if left < 0:
+            most = row.c
+            break
+    return vocabulary.where(rough > most)
+
+
 def score(docs: DataFrame, path: str, learn: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` (both
     log10) of every text; ``learn`` tells which texts are learnt from."""
@@ -182,29 +194,28 @@ def score(docs: DataFrame, path: str, learn: Column, key: str = "doc_id", text:
     stop = (ends + 1) / (n_all + 2)
     go_on, end_score = math.log10(1 - stop), math.log10(stop)
 
-    head = (
-        vocabulary.where(F.octet_length("word") <= HEAD_BYTES)
-        .orderBy(F.desc("c"), "word").limit(HEAD_WORDS).toArrow()
-    )
+    head = frequent(vocabulary.where(F.octet_length("word") <= HEAD_BYTES)).toArrow()
     shared = spark.sparkContext.broadcast(
         (head["word"].to_pylist(), head["c"].to_numpy(), head["lm"].to_numpy())
     )
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per text one row of sums over the head, and a row per other word."""
+        """Per text one row of sums over the head, and a row per other word. The text's own row
+        has a key with a space, which no word has: it finds nothing, and such rows spread."""
         names, c, lm = shared.value
         at = {w: i for i, w in enumerate(names)}
         base = np.r_[np.log10((c + 1) / spare), 0.0]
         known, lm = np.r_[c > 0, False], np.r_[lm, 0.0]
         for batch in batches:
-            rows, ids, words_, ns, knowns, bases, scores = [], [], [], [], [], [], []
+            rows, ids, own, words_, ns, knowns, bases, scores = [], [], [], [], [], [], [], []
             numbers = batch.column("_row").to_pylist()
             for i, body in enumerate(batch.column("_t").to_pylist()):
                 found, number = words(body), numbers[i]
                 places = np.fromiter((at.get(w, -1) for w in found), np.int64, len(found))
                 rows.append(i)
                 ids.append(number)
-                words_.append(None)
+                own.append(True)
+                words_.append(b" %d" % number)
                 ns.append(len(found))
                 knowns.append(int(known[places].sum()))
                 bases.append(float(base[places].sum()))
@@ -213,6 +224,7 @@ def score(docs: DataFrame, path: str, learn: Column, key: str = "doc_id", text:
                 for word, n in rest.items():
                     rows.append(i)
                     ids.append(number)
+                    own.append(False)
                     words_.append(word)
                     ns.append(n)
                     knowns.append(0)
@@ -220,30 +232,30 @@ def score(docs: DataFrame, path: str, learn: Column, key: str = "doc_id", text:
                     scores.append(0.0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_k").take(pa.array(rows, pa.int64())), pa.array(ids, pa.int64()),
-                 pa.array(words_, pa.binary()), pa.array(ns, pa.int64()), pa.array(knowns, pa.int64()),
+                 pa.array(own, pa.bool_()), pa.array(words_, pa.binary()), pa.array(ns, pa.int64()), pa.array(knowns, pa.int64()),
                  pa.array(bases, pa.float64()), pa.array(scores, pa.float64())],
                 schema.names,
             )
 
     kind = docs.schema[key].dataType
     schema = T.StructType([
-        T.StructField("_k", kind), T.StructField("_row", T.LongType()), T.StructField("word", T.BinaryType()),
+        T.StructField("_k", kind), T.StructField("_row", T.LongType()), T.StructField("own", T.BooleanType()),
+        T.StructField("word", T.BinaryType()),
         T.StructField("n", T.LongType()), T.StructField("known", T.LongType()),
         T.StructField("base", T.DoubleType()), T.StructField("sub", T.DoubleType()),
     ])
     # The row's number comes from the scan's own partition, whatever stage it runs in.
     numbered = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).withColumn("_row", F.monotonically_increasing_id())
     found = numbered.mapInArrow(look_up, schema)
-    whole = found.where("word is null").select("_k", "_row", "n", "known", "base", "sub")
-    rest = found.where("word is not null").select("_k", "_row", "word", "n").join(vocabulary, "word")
-    rest = rest.select(
-        "_k", "_row", F.lit(0).cast("long").alias("n"),
-        F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("known"),
-        (F.col("n") * F.log10((F.col("c") + 1) / F.lit(float(spare)))).alias("base"),
-        (F.col("n") * F.col("lm")).alias("sub"),
+    looked = found.join(vocabulary, "word", "left").select(
+        "_k", "_row",
+        F.when(F.col("own"), F.col("n")).otherwise(0).alias("n"),
+        F.when(F.col("own"), F.col("known")).when(F.col("c") > 0, F.col("n")).otherwise(0).alias("known"),
+        F.when(F.col("own"), F.col("base")).otherwise(F.col("n") * F.log10((F.col("c") + 1) / F.lit(float(spare)))).alias("base"),
+        F.when(F.col("own"), F.col("sub")).otherwise(F.col("n") * F.col("lm")).alias("sub"),
     )
     return (
-        whole.unionByName(rest).groupBy("_k", "_row")
+        looked.groupBy("_k", "_row")
         .agg(*[F.sum(c).alias(c) for c in ("n", "known", "base", "sub")])
         .select(
             F.col("_k").alias(key),
