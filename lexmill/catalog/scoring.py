@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexmill.catalog import sql as S
 from lexmill.catalog.registry import documents, query
+from lexmill.functions.udfs import by_pieces
 from lexmill.operators import cleaning, scoring
 from lexmill.session import written
 
@@ -128,7 +129,7 @@ def perplexity_improvement(spark, folder):
 )
 def user_scorer(spark, folder):
     """A user's scorer in place of the model: here every character is a coin toss."""
-    @F.arrow_udf("array<double>")
+    @by_pieces("array<double>")
     def coin(texts: pa.Array) -> pa.Array:
         return pa.array([[-0.6931471805599453] * (len(t or "") - 1) for t in texts.to_pylist()])
 

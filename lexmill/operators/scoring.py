@@ -145,7 +145,8 @@ def mean_batch_loss(scored: DataFrame, batches: int | None = None) -> DataFrame:
 def text_log_probs(df: DataFrame, scorer, text: str = "text", keys=("doc_id",)) -> DataFrame:
     """Apply a user's scorer, an Arrow or pandas function from text to an array of
     log-probabilities; one row per predicted token, ready for ``perplexity``. A text
-    without predictions has one row of ``n`` 0. The scorer sees null texts too."""
+    without predictions has one row of ``n`` 0. The scorer sees null texts too. ``udfs.by_pieces``
+    makes one whose memory does not follow the batch."""
     return df.select(
         *keys, F.posexplode_outer(scorer(F.col(text))).alias("pos", "logp")
     ).withColumn("n", F.col("pos").isNotNull().cast("int"))
