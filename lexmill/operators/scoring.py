@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as X
-from lexmill.operators.lookups import lookup_once
+from lexmill.operators.lookups import lookup, lookup_once
 from lexmill.session import written
 
 
 PAIR_KEY = ["h1", "h2"]
+HEAD_WORDS = 200_000  # first words with most pairs, looked up where the counts lie
 MOST_GROUPS = 256  # each is a column of the counts
 
 
@@ -78,10 +79,12 @@ def pair_counts(
 def bigram_model(counts: DataFrame) -> DataFrame:
     """``counts`` with ``logp``: ln((count(a, b) + 1) / (count(a, .) + V)), V the number of learnt words."""
     firsts = counts.groupBy("a").agg(F.sum("n").alias("n_a"), F.count(F.lit(1)).alias("n_seconds"))
+    firsts = written(firsts, "first-words")
     words = counts.where("n > 0").select(F.explode(F.array("a", "b")).alias("w"))
     size = words.agg(F.count_distinct("w")).scalar()
-    # The first words are as many as the vocabulary: never broadcast whole.
-    joined = lookup_once(counts, firsts, ["a"], "n_seconds", "n_a", ["a", "b"])
+    # The first words are as many as the vocabulary: never broadcast whole. The counts are
+    # written, so reading them twice costs less than to shuffle what the head answers.
+    joined = lookup(counts, firsts, ["a"], HEAD_WORDS, broadcast=False, frequency="n_seconds")
     return joined.withColumn("logp", F.log((F.col("n") + 1) / (F.col("n_a") + size))).drop("n_a")
 
 
