@@ -75,7 +75,8 @@ def perplexity(spark, folder):
     """,
 )
 def mean_batch_loss(spark, folder):
-    scored = _scored(documents(spark, folder)).withColumn("batch_id", F.floor(F.col("doc_id") / 10))
+    scored = written(_scored(documents(spark, folder)), "scored")  # read once per part
+    scored = scored.withColumn("batch_id", F.floor(F.col("doc_id") / 10))
     parts = [
         scoring.mean_batch_loss(scored, k).select(
             F.lit(name).alias("batches"), F.round("mean_loss", 6).alias("mean_loss")
@@ -112,7 +113,7 @@ def perplexity_improvement(spark, folder):
     both = docs.select("doc_id", F.inline(stages))
     both = written(both, "raw-and-clean")
     model = _model(both, "t", F.col("stage") == "raw")
-    scored = scoring.score_texts(both, model, ["doc_id", "stage"], "t")
+    scored = written(scoring.score_texts(both, model, ["doc_id", "stage"], "t"), "scored")
     raw, clean = (
         scoring.perplexity(scored.where(F.col("stage") == s), ["doc_id"], docs)
         for s in ("raw", "clean")
