@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
 
-from lexmill.functions import arrays as A
 from lexmill.functions import patterns as P
 from lexmill.functions import text as X
+from lexmill.operators import blocks
 from lexmill.operators.indexing import ordered_index
 from lexmill.operators.lookups import fits_broadcast, lookup
 from lexmill.session import written
@@ -53,27 +52,21 @@ def append_specials(indexed: DataFrame) -> DataFrame:
     return words.unionByName(tail)
 
 
-SPREAD = 4096
-
-
 def _resolved(df: DataFrame, key: str, values: Column, vocabulary: DataFrame, name: str) -> DataFrame:
     """Values of every text with what the vocabulary says of them, in one pass over the
-    texts: ``_key``, ``_null``, the value under ``name`` and its place or places ``_at``. A null or
-    empty array has one row without a value.
+    texts, spread by key.
 
-    A vocabulary measured small is broadcast; texts are then spread by key, and their words
-    move no further. Beside a larger one every text sends each distinct word once, with its
-    places. Texts without words match nothing there and are dealt by key, or they would all go
-    to one task."""
+    A vocabulary measured small is broadcast: ``_key``, ``_null``, the value under ``name`` and its
+    place ``_at``; a null or empty array has one row without a value. Beside a larger one the texts lie in
+    blocks (``operators.blocks``), and every block sends each distinct value once."""
     if fits_broadcast(vocabulary):
         taken = df.repartition(key).select(F.col(key).alias("_key"), values.alias("_values"))
         each = taken.select("_key", F.col("_values").isNull().alias("_null"), F.posexplode_outer("_values").alias("_at", name))
         return each.join(F.broadcast(vocabulary), name, "left")
-    taken = df.select(F.col(key).alias("_key"), values.alias("_values"))
-    entries = taken.select(
-        "_key", F.col("_values").isNull().alias("_null"), F.inline_outer(A.places("_values")).alias(name, "_at")
-    )
-    none = F.pmod(F.xxhash64("_key"), F.lit(SPREAD)) + 1
+    ordered = df.repartition(key).sortWithinPartitions(key)
+    entries = blocks.cut(ordered.select(F.col(key).alias("_key"), values.alias("_values")), name)
+    # Rows without a value match nothing; dealt by block, or they would all go to one task.
+    none = F.xxhash64("_block").bitwiseOR(F.lit(1))
     dealt = entries.withColumn("_deal", F.when(F.col(name).isNull(), none).otherwise(0))
     # Always 0, but from the row: a literal would leave the join's keys.
     known = vocabulary.withColumn("_deal", F.pmod(F.xxhash64(name), F.lit(1).cast("bigint")))
@@ -82,13 +75,13 @@ def _resolved(df: DataFrame, key: str, values: Column, vocabulary: DataFrame, na
 
 def _gather(df: DataFrame, key: str, value: str, output: str) -> DataFrame:
     """Values of a document back at their places: one row per document, as the input had.
-    The partial arrays are built before the shuffle."""
+    Rows that share a key are one document, with the values of each place side by side."""
+    if "_block" in df.columns:
+        return blocks.put_back(df, value).select(F.col("_key").alias(key), F.col("_list").alias(output))
     entry = F.when(F.col("_at").isNotNull(), F.struct(F.col("_at").alias("at"), value))
+    # The partial arrays are built before the shuffle.
     gathered = df.groupBy("_key").agg(F.collect_list(entry).alias("_list"), F.bool_or("_null").alias("_n"))
-    if isinstance(df.schema["_at"].dataType, ArrayType):
-        back = A.put_back("_list", value)
-    else:
-        back = F.array_sort("_list").getField(value)
+    back = F.array_sort("_list").getField(value)
     return gathered.select(F.col("_key").alias(key), F.when(~F.col("_n"), back).alias(output))
 
 
