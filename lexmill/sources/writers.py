@@ -46,21 +46,32 @@ def _value(name: Column) -> Column:
     )
 
 
-def _numbered(rows: DataFrame, by: list[str], file_chars: int) -> DataFrame:
-    """Adds ``_part`` and ``_cut``, both 0 where a group fits in one file.
+def _same(left: str, right: str, columns: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
 
-    A large group is first dealt by digest of line and row to as many parts as make about half
-    a file each; a part that is larger all the same is cut along a running sum. So no
-    window holds more than a part, however large the group or often a line.
-    """
+
+def _dealt(rows: DataFrame, by: list[str], file_chars: int) -> DataFrame:
+    """Adds ``_part``, 0 where a group fits in one file. A larger group is dealt by digest of line and
+    row to as many parts as make about half a file each."""
     totals = rows.groupBy(*by).agg(F.ceil(F.sum("_size") / file_chars).alias("_k"))
-    same = reduce(lambda a, b: a & b, [F.col(f"r.{c}").eqNullSafe(F.col(f"t.{c}")) for c in by])
-    dealt = rows.alias("r").join(totals.alias("t"), same).select("r.*", "_k")
+    dealt = rows.alias("r").join(written(totals, "groups").alias("t"), _same("r", "t", by)).select("r.*", "_k")
     part = F.when(F.col("_k") <= 1, 0).otherwise(F.pmod(F.xxhash64("_line", "_row"), F.col("_k") * 2))
-    whole = Window.partitionBy(*by, "_part").orderBy("_line").rowsBetween(Window.unboundedPreceding, -1)
+    return dealt.withColumn("_part", part).drop("_k")
+
+
+def _numbered(dealt: DataFrame, by: list[str], file_chars: int) -> DataFrame:
+    """Adds ``_cut``, 0 where a part fits in one file. Only lines of a larger part are shuffled,
+    to be cut along a running sum; so no window holds more than a part, however large the group
+    or often a line."""
+    columns = [*by, "_part"]
+    over = F.sum("_size") > file_chars
+    parts = dealt.groupBy(*columns).agg(over.alias("_over"))
+    told = dealt.alias("r").join(written(parts, "parts").alias("t"), _same("r", "t", columns)).select("r.*", "_over")
+    whole = Window.partitionBy(*columns).orderBy("_line").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("_size").over(whole), F.lit(0))
-    cut = F.when(F.col("_k") <= 1, 0).otherwise(F.floor(before / file_chars))
-    return dealt.withColumn("_part", part).withColumn("_cut", cut).drop("_k")
+    fit = told.where(~F.col("_over")).withColumn("_cut", F.lit(0).cast("bigint"))
+    large = told.where("_over").withColumn("_cut", F.floor(before / file_chars).cast("bigint"))
+    return fit.unionByName(large).drop("_over")
 
 
 def write_text(df: DataFrame, path: str, text: str = "text", by: tuple[str, ...] = ("source", "stage"),
@@ -72,13 +83,13 @@ def write_text(df: DataFrame, path: str, text: str = "text", by: tuple[str, ...]
     line = escaped(F.col(text))
     sized = df.select(*[F.col(c).cast("string").alias(c) for c in by], line.alias("_line"))
     sized = sized.withColumns({"_size": F.length("_line").cast("bigint"), "_row": F.monotonically_increasing_id()})
-    placed = written(_numbered(sized, list(by), file_chars).drop("_row"), "text")
+    placed = _numbered(written(_dealt(sized, list(by), file_chars).drop("_row"), "text"), list(by), file_chars)
     files = placed.groupBy(*by, "_part", "_cut").agg(
         F.count(F.lit(1)).alias("n_texts"), F.sum("_size").cast("bigint").alias("n_chars")
     )
     order = Window.partitionBy(*by).orderBy("_part", "_cut")
-    numbered = files.withColumn("file", F.row_number().over(order) - 1)
-    same = reduce(lambda a, b: a & b, [F.col(f"p.{c}").eqNullSafe(F.col(f"f.{c}")) for c in (*by, "_part", "_cut")])
+    numbered = written(files.withColumn("file", F.row_number().over(order) - 1), "files")  # small, so joined by broadcast
+    same = _same("p", "f", [*by, "_part", "_cut"])
     lines = placed.alias("p").join(numbered.alias("f"), same).select(
         *[_folder(F.col(f"p.{c}")).alias(c) for c in by], "file", F.col("_line").alias("value")
     )

@@ -271,3 +271,19 @@ def test_spread_stream_resumes(spark, folder):
     more = [(99, "new", "en", "s0", 3)]
     spark.createDataFrame(more, jobs.SCHEMAS["documents"]).write.mode("append").parquet(folder)
     assert run().where("t = 'NEW'").count() == 1 and run().count() == 31
+
+
+def test_texts_that_fit_in_a_file_are_not_ordered(spark, tmp_path, monkeypatch):
+    """Lines are shuffled to their files only; a running sum is for parts larger than a file."""
+    plans, real = {}, writers.written
+
+    def spy(df, name="table"):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(writers, "written", spy)
+    rows = [("web", "raw", f"{i}") for i in range(50)] + [(None, "raw", None)]
+    df = spark.createDataFrame(rows, "source string, stage string, text string")
+    manifest = writers.write_text(df, str(tmp_path / "t"))
+    assert "Window" not in plans["text"] and "Exchange hashpartitioning" not in plans["text"]
+    assert sorted((r.source or "", r.file, r.n_texts) for r in manifest.collect()) == [("", 0, 1), ("web", 0, 50)]
