@@ -55,7 +55,8 @@ class TextEncoder:
 
     def texts(self, texts: list[str]) -> list[bytes]:
         parts = [t.split(" ") for t in texts]
-        self._learn(set().union(*parts) - self.words.new.keys())
+        # The store itself, not its keys: the words are looked up, the store is not gone through.
+        self._learn(set().union(*parts).difference(self.words.new))
         return [self._one(ps) for ps in parts]
 
     def _learn(self, words: set[str]) -> None:
