@@ -97,18 +97,19 @@ class Bits:
 
 
 CHUNK_BITS = 32768  # of Spark's bitmap functions
+BITMAP_PARTS = 4
 
 
 def bitmap(keys: DataFrame, column: str, log_bits: int) -> Bits:
     """The bitmap of a column of 64-bit hashes, from their top bits. It is built by
-    Spark in chunks; the driver gets ``2 ** log_bits / 8`` bytes at most."""
+    Spark in chunks; the driver gets ``2 ** log_bits / 8`` bytes at most, a part at a time."""
     at = F.shiftrightunsigned(F.col(column), 64 - log_bits) + 1
     chunks = keys.groupBy(F.bitmap_bucket_number(at).alias("n")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("b")
     )
     size = max(CHUNK_BITS // 8, (1 << log_bits) // 8)
     data = np.zeros(size, np.uint8)
-    for row in chunks.toLocalIterator():
+    for row in chunks.coalesce(BITMAP_PARTS).toLocalIterator():  # a job for each part
         start = (row.n - 1) * (CHUNK_BITS // 8)
         data[start : start + CHUNK_BITS // 8] = np.frombuffer(bytes(row.b), np.uint8)
     return Bits(data, log_bits)
