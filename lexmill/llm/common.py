@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -74,7 +75,7 @@ def held(kind: object, make: Callable[[], object]):
     """The worker's store of a kind. Workers are reused by later stages, so a worker keeps the
     store of one kind only."""
     if kind not in _HELD:
-        _HELD.clear()
+        release()
         _HELD[kind] = make()
     return _HELD[kind]
 
@@ -82,6 +83,25 @@ def held(kind: object, make: Callable[[], object]):
 def release() -> None:
     """Drop what earlier stages left in this worker."""
     _HELD.clear()
+    trim()
+
+
+def trim() -> None:
+    """Give what this worker has freed back to the system, which counts it as used otherwise."""
+    pa.default_memory_pool().release_unused()
+    give = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if give:
+        give(0)
+
+
+def trimmed(function):
+    """A function of batches after which the worker, which may wait or serve other stages, is trimmed."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        trim()
+
+    return apply
 
 
 class Bits:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexmill.llm.common import release, texts_of
+from lexmill.llm.common import release, texts_of, trimmed
 
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
@@ -123,7 +123,7 @@ def _features(rows: DataFrame) -> DataFrame:
                 ["lang", "keys", "values"],
             )
 
-    return rows.select("_l", "_t").mapInArrow(make, "lang string, keys binary, values binary")
+    return rows.select("_l", "_t").mapInArrow(trimmed(make), "lang string, keys binary, values binary")
 
 
 def fit_machine(rows: list[tuple[np.ndarray, np.ndarray]], signs: np.ndarray, size: int,
@@ -228,4 +228,4 @@ def predict(docs: DataFrame, model: Model, lang_output: str = "lang_pred", score
                 [*kept, lang_output, score_output],
             )
 
-    return docs.mapInArrow(apply, schema)
+    return docs.mapInArrow(trimmed(apply), schema)

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import bitmap, number_id, release, words_of
+from lexmill.llm.common import bitmap, number_id, release, trimmed, words_of
 from lexmill.llm.graphs import components
 from lexmill.llm.substrings import _FIRST, codes_of, mixed, rolled
 from lexmill.session import written
@@ -94,7 +94,7 @@ def _frequent(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
                 held, total = [], 0
         yield out()
 
-    found = texts.select("_t").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    found = texts.select("_t").mapInArrow(trimmed(count), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     head = found.orderBy(F.desc("n"), "token").limit(HEAD).toArrow()
     keys = head["token"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
@@ -146,7 +146,7 @@ def _classes(texts: DataFrame, size: int, threshold: int) -> DataFrame:
                 ["doc", "hash", "n", "class", "m", "prefix"],
             )
 
-    return written(texts.mapInArrow(make, "doc long, hash long, n long, class binary, m int, prefix array<long>"), "shingles")
+    return written(texts.mapInArrow(trimmed(make), "doc long, hash long, n long, class binary, m int, prefix array<long>"), "shingles")
 
 
 def _number(digests) -> np.ndarray:
@@ -167,7 +167,7 @@ def _sets(reps: DataFrame, classes: DataFrame, texts: DataFrame, size: int) -> D
             reps = _number(md5(m).digest() for m in made)
             yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(made, pa.binary())], ["rep", "set"])
 
-    found = texts.withColumn("_x", F.xxhash64("_d", "_h")).mapInArrow(sets, "rep long, set binary")
+    found = texts.withColumn("_x", F.xxhash64("_d", "_h")).mapInArrow(trimmed(sets), "rep long, set binary")
     return found.groupBy("rep").agg(F.any_value("set").alias("set"))
 
 
@@ -196,7 +196,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int,
             part = batch.filter(pa.array(good, pa.bool_()))
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"])
 
-    return _with_sets(pairs, "a", "b", classes, texts, size).mapInArrow(check, "a long, b long")
+    return _with_sets(pairs, "a", "b", classes, texts, size).mapInArrow(trimmed(check), "a long, b long")
 
 
 def _differences(crowds: DataFrame, classes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
@@ -215,7 +215,7 @@ def _differences(crowds: DataFrame, classes: DataFrame, texts: DataFrame, size:
             )
 
     found = _with_sets(crowds, "rep", "crowd", classes, texts, size)
-    return written(found.mapInArrow(differ, "rep long, crowd long, n long, tokens array<long>"), "differences")
+    return written(found.mapInArrow(trimmed(differ), "rep long, crowd long, n long, tokens array<long>"), "differences")
 
 
 def _rare_first(differences: DataFrame, threshold: int) -> DataFrame:
@@ -246,7 +246,7 @@ def _linked_inside(pairs: DataFrame, differences: DataFrame, threshold: int) ->
     left = differences.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("x"))
     right = differences.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("y"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", (F.col("n_a") + F.col("n_b")).alias("sizes"), "x", "y")
-    return written(both.mapInArrow(check, "a long, b long"), "links")
+    return written(both.mapInArrow(trimmed(check), "a long, b long"), "links")
 
 
 def _inside(differences: DataFrame, links: DataFrame | None, labels: DataFrame, threshold: int) -> tuple[DataFrame | None, DataFrame]:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest as digest
 
-from lexmill.llm.common import Bits, bitmap, repeated_ids, rows_of, with_rows, words_of
+from lexmill.llm.common import Bits, bitmap, repeated_ids, rows_of, trimmed, with_rows, words_of
 from lexmill.session import written
 
 WINDOW = 13
@@ -119,7 +119,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_anchors(texts: DataFrame, log_bits: int = LOG_BITS) -> Bits:
     """Which anchors may occur in two documents or more."""
-    counted = texts.select("_t").mapInArrow(_anchors, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    counted = texts.select("_t").mapInArrow(trimmed(_anchors), "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     return bitmap(counted.where("n > 1"), "key", log_bits)
 
 
@@ -157,7 +157,7 @@ def _runs(texts: DataFrame, bits, repeated) -> DataFrame:
             made = (anchors, whole, docs[text], rows[text], pos.astype(np.int32), sizes.astype(np.int32))
             yield _table([made], "llllii", ["a", "r", "doc", "row", "pos", "n"])
 
-    return texts.mapInArrow(find, "a long, r long, doc long, row long, pos int, n int")
+    return texts.mapInArrow(trimmed(find), "a long, r long, doc long, row long, pos int, n int")
 
 
 def _windows(texts: DataFrame, bits, repeated) -> DataFrame:
@@ -176,7 +176,7 @@ def _windows(texts: DataFrame, bits, repeated) -> DataFrame:
                              docs[text], rows[text], windows.pos[at].astype(np.int32)))
             yield _table(made, "lilli", ["h", "g", "doc", "row", "pos"])
 
-    return texts.mapInArrow(find, "h long, g int, doc long, row long, pos int")
+    return texts.mapInArrow(trimmed(find), "h long, g int, doc long, row long, pos int")
 
 
 def _firsts(rows: DataFrame, *by: str) -> DataFrame:
@@ -259,7 +259,7 @@ def factors(docs: DataFrame, key: str = "doc_id", text: str = "text", repeated=N
     grouped = copied_runs(docs, repeated, key, text).groupBy("doc", "row").agg(
         F.collect_set(F.struct("pos", "n", "ref_doc", "ref_pos")).alias("w")
     )
-    return grouped.mapInArrow(apply, f"doc long, row long, factors {FACTOR}")
+    return grouped.mapInArrow(trimmed(apply), f"doc long, row long, factors {FACTOR}")
 
 
 def kept_words(words: list[bytes], spans: list[dict]) -> list[bytes]:
@@ -299,7 +299,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
                      pa.array(sizes, pa.int64()), pa.array([0] * len(sizes), pa.int64())], names
                 )
 
-        return rows.mapInArrow(apply, T.StructType([
+        return rows.mapInArrow(trimmed(apply), T.StructType([
             rows.schema["_d"], T.StructField("_row", T.LongType()), rows.schema["_t"], rows.schema["_held"],
             T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
         ]))
@@ -321,7 +321,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     joined = split(True).drop("n_removed").join(
         found, (F.col("_d") == F.col("doc")) & (F.col("_row") == F.col("row")), "left"
     ).select("_d", "_row", "_t", "_held", "n_words", "factors")
-    done = plain.unionByName(joined.mapInArrow(cut, plain.schema))
+    done = plain.unionByName(joined.mapInArrow(trimmed(cut), plain.schema))
     order = [c for c in docs.columns if c not in ("n_words", "n_removed")]
     return done.select(
         *[F.col("_t").alias(c) if c == text else F.col("_held")[c].alias(c) for c in order],
