@@ -15,6 +15,7 @@ one. An empty table gives an empty result. Columns asked for by ``carry`` are ke
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Iterator
 
@@ -31,6 +32,8 @@ WINDOW = 1024
 END_ID = 0
 BUCKETS = 1024
 FORMATS = [f"<{n}I" for n in range(64)]
+# Matches that no Unicode version splits again: printable ASCII, and a space and Latin letters.
+ASCII, LATIN = (re.compile(p).fullmatch for p in ("[ -~]+", " ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"))
 
 
 def encoder(path: str, pattern: str) -> TextEncoder:
@@ -40,19 +43,43 @@ def encoder(path: str, pattern: str) -> TextEncoder:
 
 def _encoder(path: str, pattern: str) -> TextEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, models, pre_tokenizers
 
     made = Tokenizer.from_file(path)
     made.encode_special_tokens = True  # their strings in a text are ordinary text
+    split, tokens = made.pre_tokenizer, made.model.tokenize
+    # A match is then one word of the model, whose letters stand for bytes.
+    direct = (
+        made.normalizer is None and isinstance(made.model, models.BPE)
+        and isinstance(split, pre_tokenizers.ByteLevel) and not split.add_prefix_space
+    )
+    letters = byte_letters()
+
+    def one(match: str) -> list[int] | None:
+        if ASCII(match):
+            return [t.id for t in tokens(match.replace(" ", letters[32]))]
+        if LATIN(match):
+            return [t.id for t in tokens(match.encode().decode("latin-1").translate(letters))]
+        return None
 
     def ids(matches: list[str]) -> list[bytes]:
-        found = made.encode_batch_fast(matches, add_special_tokens=False)
+        found = list(map(one, matches)) if direct else [None] * len(matches)
+        rest = [m for m, x in zip(matches, found) if x is None]
+        others = (e.ids for e in made.encode_batch_fast(rest, add_special_tokens=False)) if rest else iter(())
         return [struct.pack(FORMATS[len(x)], *x) if len(x) < len(FORMATS) else np.array(x, "<u4").tobytes()
-                for x in (e.ids for e in found)]
+                for x in (next(others) if x is None else x for x in found)]
 
     return TextEncoder(pattern, ids)
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter by which byte-level vocabularies write each byte: printable ones stand for
+    themselves, the others for code points from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
 def pieces(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text",
            window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """``key``, ``start``, ``length``, ``ids`` (binary, little-endian 32 bit) and
