@@ -18,22 +18,24 @@ import os
 import re
 import struct
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import held, texts_of
+from lexmill.llm.common import held, texts_of, trim
 from lexmill.llm.wordcache import TextEncoder
 from lexmill.session import written
 
 WINDOW = 1024
 END_ID = 0
 BUCKETS = 1024
-FORMATS = [f"<{n}I" for n in range(64)]
+# Texts encoded together: the more, the fewer words are looked up again, and the fewer need to be remembered.
+GROUP_BYTES, WORDS = 3 << 20, 80_000
 # Matches that no Unicode version splits again: printable ASCII, and a space and Latin letters.
-ASCII, LATIN = (re.compile(p).fullmatch for p in ("[ -~]+", " ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"))
+LATIN = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
 
 
 def encoder(path: str, pattern: str) -> TextEncoder:
@@ -55,21 +57,24 @@ def _encoder(path: str, pattern: str) -> TextEncoder:
     )
     letters = byte_letters()
 
-    def one(match: str) -> list[int] | None:
-        if ASCII(match):
-            return [t.id for t in tokens(match.replace(" ", letters[32]))]
-        if LATIN(match):
-            return [t.id for t in tokens(match.encode().decode("latin-1").translate(letters))]
-        return None
+    space, code = letters[32], [struct.pack("<I", i) for i in range(1 + max(made.get_vocab().values()))]
+
+    def one(match: str) -> bytes | None:
+        if match.isascii() and match.isprintable():
+            found = tokens(match.replace(" ", space))
+        elif LATIN(match):
+            found = tokens(match.encode().decode("latin-1").translate(letters))
+        else:
+            return None
+        return b"".join([code[t.id] for t in found])
 
     def ids(matches: list[str]) -> list[bytes]:
         found = list(map(one, matches)) if direct else [None] * len(matches)
         rest = [m for m, x in zip(matches, found) if x is None]
         others = (e.ids for e in made.encode_batch_fast(rest, add_special_tokens=False)) if rest else iter(())
-        return [struct.pack(FORMATS[len(x)], *x) if len(x) < len(FORMATS) else np.array(x, "<u4").tobytes()
-                for x in (next(others) if x is None else x for x in found)]
+        return [np.array(next(others), "<u4").tobytes() if x is None else x for x in found]
 
-    return TextEncoder(pattern, ids)
+    return TextEncoder(pattern, ids, WORDS)
 
 
 def byte_letters() -> dict[int, str]:
@@ -80,6 +85,27 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
 
 
+def encoded_groups(batches: Iterator[pa.RecordBatch], encode, column: str = "_text"):
+    """Each batch with the ids of its texts. Batches are encoded in groups of ``GROUP_BYTES`` of text,
+    or of one batch that is larger."""
+    group, size = [], 0
+    for batch in batches:
+        more = batch.column(column).nbytes
+        if group and size + more > GROUP_BYTES:
+            yield from _encoded(group, encode, column)
+            group, size = [], 0
+        group.append(batch)
+        size += more
+    yield from _encoded(group, encode, column)
+
+
+def _encoded(group: list[pa.RecordBatch], encode, column: str):
+    found = iter(encode([t for batch in group for t in texts_of(batch, column)]) if group else ())
+    for batch in group:
+        yield batch, list(islice(found, batch.num_rows))
+    trim()
+
+
 def pieces(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text",
            window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """``key``, ``start``, ``length``, ``ids`` (binary, little-endian 32 bit) and
@@ -88,9 +114,9 @@ def pieces(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch, encoded in encoded_groups(batches, encoder(path, pattern).texts):
             rows, start, length, ids, total = [], [], [], [], []
-            for i, found in enumerate(encoder(path, pattern).texts(texts_of(batch, "_text"))):
+            for i, found in enumerate(encoded):
                 found += end
                 n = len(found) // 4
                 for at in range(0, n, window):
