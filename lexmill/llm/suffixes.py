@@ -1,21 +1,22 @@
-"""Suffix-array deduplication of bytes by a distributed difference-cover algorithm.
-
-Every position is a suffix; wanted are the groups of suffixes that agree in their first 50
-bytes. Positions 1 and 2 modulo 3 are the sample. Sampled triples of characters (eight
-bytes each, so 24 bytes) are sorted and named by rank; the algorithm then recurses on the
-names: a pair of names 24 bytes apart is sorted and named in turn, which orders the
-sample by 48 bytes. The remaining suffixes are merged through the cover: any two residues
-modulo 3 have a shift of 0, 1 or 2 that takes both into the sample, so they compare by the
-sampled name behind it and the two bytes left over. Only equality in the first 50 bytes is
-wanted, so the ranks serve as keys: grouping by shift, name and bytes left over takes the place of
-the merge and the comparison of neighbours, and gives each group's least document. Every
-position is in the group of each shift that takes it into the sample.
-
-Positions that surely do not repeat are left out first: a window of 50 bytes has as anchor the
-least digest of its 25-byte pieces, and only windows whose anchor occurs in two documents or more can be
-repeated. Anchors are counted over the whole corpus and looked up in a bitmap of
-fixed size; a full bitmap costs sorting, never results. Bytes are compared themselves,
-not by digest.
+"""Suffix-array deduplication of bytes by a sparse suffix array on synchronizing positions.
+
+Every position is a suffix; wanted are the suffixes whose first 50 bytes begin in an
+earlier document too. The array is sparse: a window of 50 bytes is found through its anchor, the
+least digest among its 25-byte pieces (the leftmost one of equals). Equal windows have
+equal anchors at equal places, so the anchors' places are a sample chosen by content: about two in 27
+positions. The windows of one anchor begin at consecutive positions; they are its run,
+26 windows at most.
+
+- Only windows whose anchor occurs in two documents or more can be repeated. Anchors are
+  counted over the whole corpus and looked up in a bitmap of fixed size; a full bitmap costs
+  sorting, never results.
+- Runs of one anchor that hold the same bytes (by 64 bits of digest beside the anchor's) are a class.
+  Where an earlier document has the class, the whole run is copied.
+- Where an anchor has several classes, as at the ends of passages, the suffixes at the anchors of each
+  class's first documents are sorted, and so are the bytes before them, read backwards.
+  Lengths of common prefixes of neighbours cut both orders into intervals: a window that begins ``i``
+  bytes before its anchor is named by the interval of its ``50 - i`` bytes from there on and that of the ``i``
+  bytes before. Windows of one name are equal, byte for byte, and the least document of a name has it first.
 
 Null text is empty. Ids order the documents; a null id is the largest, and rows of the same id are not earlier than
 each other. Where an id is repeated, its rows are told apart by a 64-bit digest of the text.
@@ -30,105 +31,204 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh3_64_intdigest as digest
 
-from lexmill.llm.common import bitmap, repeated_ids, rows_of, with_rows
-from lexmill.llm.substrings import _FIRST, _table, least_of, rolled
+from lexmill.llm.common import bitmap, repeated_ids, rows_of, trimmed, with_rows
+from lexmill.llm.substrings import _FIRST, _SECOND, LOG_ROW_BITS, _table, least_of, mixed, rolled
 from lexmill.session import written
 
 LENGTH = 50
-NAMED = 24  # bytes of a sampled triple
 ANCHOR = 25
+RUN = LENGTH - ANCHOR + 1  # windows of one anchor, at most
 LOG_BITS = 27
+LOW = np.uint64(63)  # bits of a digest that give way to a position
+TIES = 50_000
+SORTED_ROWS = 20_000
 
 
 def _bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
 
 
-def window_anchors(data: np.ndarray) -> np.ndarray:
-    return least_of(rolled(data.astype(np.uint64) + np.uint64(1), ANCHOR, _FIRST), LENGTH - ANCHOR + 1)
+def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of every window: its anchor's digest and place."""
+    values = rolled(data.astype(np.uint64) + np.uint64(1), ANCHOR, _FIRST) & ~LOW
+    at = np.arange(len(values)).astype(np.uint64) & LOW
+    one = least_of(values | at, RUN)
+    other = least_of(values | (LOW - at), RUN) & LOW
+    begin = np.arange(len(one))
+    place = begin + (((one & LOW).astype(np.int64) - begin) & 63)
+    ties = np.flatnonzero(place != begin + ((63 - other.astype(np.int64) - begin) & 63))
+    views = np.lib.stride_tricks.sliding_window_view(values, RUN)
+    for start in range(0, len(ties), TIES):
+        part = ties[start : start + TIES]
+        place[part] = part + views[part].argmin(axis=1)
+    return one & ~LOW, place
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The upper half of the anchors' digests is counted: a bitmap takes fewer bits still."""
     for batch in batches:
-        made = [(np.unique(window_anchors(d)).view(np.int64),) for d in map(_bytes, batch.column("_t").to_pylist()) if len(d) >= LENGTH]
-        yield _table(made, "l", ["key"])
+        made = [(np.unique((anchors(d)[0] >> np.uint64(32)).astype(np.uint32)).view(np.int32),)
+                for d in map(_bytes, batch.column("_t").to_pylist()) if len(d) >= LENGTH]
+        yield _table(made, "i", ["key"])
 
 
-def _sample(texts: DataFrame, bits, repeated) -> DataFrame:
-    """Sampled positions that some candidate needs: both triples, the bytes around, and which
-    of the shifts 0, 1, 2 belong to a candidate position."""
-    names = ["doc", "row", "at", "one", "two", "before", "behind", "use"]
+def runs_of(data: np.ndarray, bits) -> tuple[np.ndarray, ...]:
+    """Runs whose anchor may be repeated: anchor, its place, first window, number of windows."""
+    keys, place = anchors(data)
+    at = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    n = np.diff(np.r_[at, len(place)])
+    keep = bits.has(keys[at])
+    at, n = at[keep], n[keep]
+    return keys[at], place[at], at, n
+
+
+def _runs(texts: DataFrame, bits, repeated) -> DataFrame:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for doc, row, data in zip(batch.column("_d").to_pylist(), rows_of(batch, repeated.value), map(_bytes, batch.column("_t").to_pylist())):
+                if len(data) < LENGTH:
+                    continue
+                keys, _, at, n = runs_of(data, bits.value)
+                whole, ends = data.tobytes(), (at + n + LENGTH - 1).tolist()
+                held = np.fromiter((digest(whole[a:b]) for a, b in zip(at.tolist(), ends)), np.uint64, len(at))
+                made.append((keys.view(np.int64), held.view(np.int64), np.full(len(at), doc), np.full(len(at), row, np.int64),
+                             at.astype(np.int32), n.astype(np.int32)))
+            yield _table(made, "llllii", ["g", "r", "doc", "row", "at", "n"])
+
+    return texts.mapInArrow(trimmed(find), "g long, r long, doc long, row long, at int, n int")
+
+
+def place_keys(doc: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
+    doc, row, at = (x.astype(np.int64).view(np.uint64) for x in (doc, row, at))
+    return mixed((doc * _FIRST + row) * _SECOND + at)
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = place_keys(*(batch.column(c).to_numpy() for c in ("doc", "row", "at")))
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], ["k"])
+
+
+def _suffixes(texts: DataFrame, bits, places, repeated) -> DataFrame:
+    """The runs at marked places: bytes from the anchor on, and bytes before it, backwards."""
+    names = ["g", "doc", "row", "at", "n", "before", "behind"]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = rows_of(batch, repeated.value)
-            for key, row, data in zip(batch.column("_d").to_pylist(), rows, map(_bytes, batch.column("_t").to_pylist())):
+            made, before, behind = [], [], []
+            for doc, row, data in zip(batch.column("_d").to_pylist(), rows_of(batch, repeated.value), map(_bytes, batch.column("_t").to_pylist())):
                 if len(data) < LENGTH:
                     continue
-                wanted = np.zeros(len(data) + 3, bool)
-                wanted[2 : 2 + len(data) - LENGTH + 1] = bits.value.has(window_anchors(data))
-                # Shift s of position q belongs to the suffix at q - s.
-                use = sum(wanted[2 - s : 2 - s + len(data)].astype(np.int32) << s for s in range(3))
-                at = np.flatnonzero((use > 0) & (np.arange(len(data)) % 3 > 0))
+                keys, place, at, n = runs_of(data, bits.value)
+                docs, rows = np.full(len(at), doc), np.full(len(at), row, np.int64)
+                keep = places.value.has(place_keys(docs, rows, at))
+                keys, place, at, n, docs, rows = (x[keep] for x in (keys, place, at, n, docs, rows))
                 whole = data.tobytes()
-                for start in range(0, len(at), 20_000):
-                    part = at[start : start + 20_000].tolist()
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([key] * len(part), pa.int64()), pa.array([row] * len(part), pa.int64()), pa.array(part, pa.int64()),
-                         pa.array([whole[q : q + NAMED] for q in part], pa.binary()),
-                         pa.array([whole[q + NAMED : q + 2 * NAMED] for q in part], pa.binary()),
-                         pa.array([whole[max(q - 2, 0) : q] for q in part], pa.binary()),
-                         pa.array([whole[q + 2 * NAMED : q + 2 * NAMED + 2] for q in part], pa.binary()),
-                         pa.array(use[part], pa.int32())],
-                        names,
-                    )
-
-    return texts.mapInArrow(find, "doc long, row long, at long, one binary, two binary, before binary, behind binary, use int")
-
-
-def named(keys: DataFrame, *by: str) -> DataFrame:
-    """Distinct keys with their rank in sorted order. Ranges are sorted one by one and shifted
-    by the sizes of those before; no task sees all keys."""
-    ranged = written(
-        keys.select(*by).distinct().repartitionByRange(*by).sortWithinPartitions(*by)
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_place", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)),
-        "names",
-    )
-    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # a row per range
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return ranged.join(F.broadcast(offsets), "_part").select(*by, (F.col("_before") + F.col("_place")).alias("name"))
+                for first, p, many in zip(at.tolist(), place.tolist(), n.tolist()):
+                    before.append(whole[first:p][::-1])
+                    behind.append(whole[p : first + many - 1 + LENGTH])
+                made.append((keys.view(np.int64), docs, rows, at.astype(np.int32), n.astype(np.int32)))
+            columns = _table(made, "lllii", names[:5]).columns
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(before, pa.binary()), pa.array(behind, pa.binary())], names)
+
+    return texts.mapInArrow(trimmed(find), "g long, doc long, row long, at int, n int, before binary, behind binary")
+
+
+def common_prefixes(strings: list[bytes], new: np.ndarray, width: int) -> np.ndarray:
+    """Of each string in a sorted list, the length of the prefix it shares with the one before;
+    -1 where a group begins."""
+    sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+    table = np.zeros((len(strings), width + 1), np.uint8)
+    table[np.arange(width + 1) < sizes[:, None]] = np.frombuffer(b"".join(strings), np.uint8)
+    other = table[1:] != table[:-1]
+    other[:, width] = True
+    shared = np.minimum(other.argmax(axis=1), np.minimum(sizes[1:], sizes[:-1]))
+    return np.where(new, -1, np.r_[-1, shared])
+
+
+def copied_windows(g: np.ndarray, doc: np.ndarray, n: np.ndarray, before: list[bytes], behind: list[bytes]) -> np.ndarray:
+    """A bit for each window of a run (the first is the lowest) that an earlier document holds in
+    a run of the same anchor. Runs come sorted by anchor and ``behind``."""
+    shift = np.fromiter(map(len, before), np.int64, len(before))  # of the first window
+    last = shift - n + 1
+    new = np.r_[True, g[1:] != g[:-1]]
+    after = common_prefixes(behind, new, LENGTH)
+    group = np.cumsum(new)
+    keys = group.tolist()
+    order = np.array(sorted(range(len(before)), key=lambda j: (keys[j], before[j])), np.int64)
+    ahead = common_prefixes([before[j] for j in order.tolist()], new, LENGTH)
+    mask = np.zeros(len(g), np.int32)
+    for i in range(RUN):
+        held = np.flatnonzero((last <= i) & (shift >= i))
+        name = np.empty(len(g), np.int64)
+        name[order] = np.cumsum(ahead < i)
+        name = np.cumsum(after < LENGTH - i)[held] * (len(g) + 1) + name[held]
+        by = np.lexsort((doc[held], name))
+        first = np.r_[True, name[by][1:] != name[by][:-1]][: len(by)]
+        least = doc[held][by][first][np.cumsum(first) - 1]
+        hit = held[by[doc[held][by] > least]]
+        mask[hit] |= (1 << (shift[hit] - i)).astype(np.int32)
+    return mask
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole groups of an anchor, many at once."""
+
+    def done(table: pa.Table) -> pa.RecordBatch:
+        g, doc, row, at, n = (table[c].to_numpy() for c in ("g", "doc", "row", "at", "n"))
+        mask = copied_windows(g, doc, n, table["before"].to_pylist(), table["behind"].to_pylist())
+        hit = np.flatnonzero(mask)
+        return pa.RecordBatch.from_arrays([pa.array(x[hit]) for x in (doc, row, at, mask)], ["doc", "row", "at", "mask"])
+
+    waiting, size = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        size += batch.num_rows
+        if size >= SORTED_ROWS and batch.num_rows:
+            table = pa.Table.from_batches(waiting)
+            g = table["g"].to_numpy()
+            end = int(np.flatnonzero(g == g[-1])[0])  # the last group may go on
+            if end:
+                yield done(table.slice(0, end))
+                waiting, size = table.slice(end).combine_chunks().to_batches(), len(g) - end
+    if size:
+        yield done(pa.Table.from_batches(waiting))
 
 
 def copied_positions(docs: DataFrame, repeated, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc``, ``row``, ``at``: starts of 50-byte strings that an earlier document holds."""
+    """``doc``, ``row``, ``at``, ``mask``: of the windows from ``at`` on, those whose bit is set begin in
+    an earlier document too."""
     context = docs.sparkSession.sparkContext
     texts = with_rows(docs, key, text).select("_d", "_t", "_x", "_h").where(F.octet_length("_t") >= LENGTH)
-    counted = texts.select("_t").mapInArrow(_anchors, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    bits = context.broadcast(bitmap(counted.where("n > 1"), "key", LOG_BITS))
-    sample = written(_sample(texts, bits, repeated), "sample")
-    triples = named(sample.select(F.col("one").alias("k")).union(sample.select("two")), "k")
-    first = triples.select(F.col("k").alias("one"), F.col("name").alias("a"))
-    second = triples.select(F.col("k").alias("two"), F.col("name").alias("b"))
-    ranked = written(
-        sample.join(first, "one").join(second, "two").select("doc", "row", "at", "a", "b", "before", "behind", "use"), "ranked"
+    counted = texts.select("_t").mapInArrow(trimmed(_anchors), "key int").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    often = counted.where("n > 1").select(F.shiftleft(F.col("key").cast("long"), 32).alias("key"))
+    bits = context.broadcast(bitmap(often, "key", LOG_BITS))
+    anchor, held = Window.partitionBy("g"), Window.partitionBy("g", "r")
+    runs = written(
+        _runs(texts, bits, repeated)
+        .withColumn("several", F.min("r").over(anchor) < F.max("r").over(anchor))
+        .withColumn("copied", F.col("doc") > F.min("doc").over(held))
+        .where("copied or several").select("doc", "row", "at", "n", "copied"),
+        "runs",
     )
-    order = ranked.join(named(ranked, "a", "b"), ["a", "b"])
-    # The suffix at ``at - s``: s bytes before the sampled name, 2 - s behind it.
-    shifts = F.filter(F.array(F.lit(0), F.lit(1), F.lit(2)), lambda s: F.floor(F.col("use") / F.pow(F.lit(2), s)) % 2 == 1)
-    rows = order.select("doc", "row", "at", "name", "before", "behind", F.explode(shifts).alias("shift")).select(
-        "doc", "row", (F.col("at") - F.col("shift")).alias("at"), "shift", "name",
-        F.concat(
-            F.expr("substring(before, greatest(octet_length(before) - shift + 1, 1), shift)"),
-            F.expr("substring(behind, 1, 2 - shift)"),
-        ).alias("rest"),
+    places = runs.where("not copied").select("doc", "row", "at").mapInArrow(_places, "k long")
+    suffixes = _suffixes(texts, bits, context.broadcast(bitmap(places, "k", LOG_BITS)), repeated)
+    single = suffixes.repartition("g").sortWithinPartitions("g", "behind").mapInArrow(
+        trimmed(_compare), "doc long, row long, at int, mask int"
     )
-    rows = written(rows, "suffixes")
-    same = ["shift", "name", "rest"]
-    groups = rows.groupBy(*same).agg(F.min("doc").alias("least"), F.max("doc").alias("last")).where("last > least")
-    return rows.join(groups, same).where("doc > least").select("doc", "row", "at").distinct()
+    whole = runs.where("copied").select("doc", "row", "at", F.expr("shiftleft(1, n) - 1").alias("mask"))
+    return whole.unionByName(single)
+
+
+def merged(at: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal stretches that the windows cover."""
+    bit = (mask[:, None] >> np.arange(RUN)) & 1 == 1
+    starts = np.sort((at[:, None] + np.arange(RUN))[bit])
+    new = np.flatnonzero(np.r_[True, starts[1:] > starts[:-1] + LENGTH])
+    return starts[new], starts[np.r_[new[1:] - 1, len(starts) - 1]] + LENGTH
 
 
 def spans(docs: DataFrame, key: str = "doc_id", text: str = "text", repeated=None) -> DataFrame:
@@ -140,50 +240,61 @@ def spans(docs: DataFrame, key: str = "doc_id", text: str = "text", repeated=Non
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = []
-            for starts in batch.column("at"):
-                at = np.sort(starts.values.to_numpy())
-                new = np.flatnonzero(np.r_[True, at[1:] > at[:-1] + LENGTH])
-                ends = at[np.r_[new[1:] - 1, len(at) - 1]] + LENGTH
-                made.append([{"start": int(s), "end": int(e)} for s, e in zip(at[new], ends)])
+            for found in batch.column("w"):
+                at, mask = (found.values.field(c).to_numpy().astype(np.int64) for c in ("at", "mask"))
+                made.append([{"start": s, "end": e} for s, e in zip(*(x.tolist() for x in merged(at, mask)))])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc"), batch.column("row"), pa.array(made, kind)], ["doc", "row", "spans"]
             )
 
-    found = copied_positions(docs, repeated, key, text).groupBy("doc", "row").agg(F.collect_list("at").alias("at"))
-    return found.mapInArrow(merge, "doc long, row long, spans array<struct<start:long,end:long>>")
+    found = copied_positions(docs, repeated, key, text).groupBy("doc", "row").agg(F.collect_list(F.struct("at", "mask")).alias("w"))
+    return found.mapInArrow(trimmed(merge), "doc long, row long, spans array<struct<start:long,end:long>>")
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every row with ``spans`` and ``kept`` (binary: a cut may fall within a character)."""
-    repeated = docs.sparkSession.sparkContext.broadcast(repeated_ids(docs, key))
+    """Every row with ``spans`` and ``kept`` (binary: a cut may fall within a character). Only texts
+    that lose bytes are shuffled, told by a bitmap of their ids; one that it lets through in
+    vain comes back unchanged."""
+    spark = docs.sparkSession
+    repeated = spark.sparkContext.broadcast(repeated_ids(docs, key))
     found = written(spans(docs, key, text, repeated), "spans")
+    bits = spark.sparkContext.broadcast(bitmap(found.select(F.xxhash64("doc").alias("k")), "k", LOG_ROW_BITS))
     names = [c for c in docs.columns if c not in ("spans", "kept")]
-    held = with_rows(docs.select(F.struct(*names).alias("_held")), f"_held.{key}", f"_held.{text}")
-
-    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = pa.array(rows_of(batch, repeated.value), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("_held"), batch.column("_t"), batch.column("_d"), rows], ["_held", "_t", "_d", "_row"])
-
-    kinds = [*(held.schema[c] for c in ("_held", "_t", "_d")), T.StructField("_row", T.LongType())]
-    held = held.mapInArrow(tell, T.StructType(kinds))
-    joined = held.join(found, (F.col("_d") == F.col("doc")) & (F.col("_row") == F.col("row")), "left").select(
-        "_held", "_t", F.coalesce("spans", F.array().cast("array<struct<start:long,end:long>>")).alias("spans")
-    )
+    others = [F.col(c) for c in names if c != text]
+    rows = with_rows(docs.withColumn("_held", F.struct(*others) if others else F.lit(1)), key, text).select("_d", "_t", "_held", "_x", "_h")
+    long = T.StructField("_row", T.LongType())
+    schema = T.StructType([*(rows.schema[c] for c in ("_d", "_t", "_held")), long])
+
+    def split(wanted: bool) -> DataFrame:
+        def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                part = batch.filter(pa.array(bits.value.has(batch.column("_x").to_numpy().view(np.uint64)) == wanted))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("_d"), part.column("_t"), part.column("_held"), pa.array(rows_of(part, repeated.value), pa.int64())],
+                    ["_d", "_t", "_held", "_row"],
+                )
+
+        return rows.mapInArrow(trimmed(apply), schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
-            for text, runs in zip(batch.column("_t").to_pylist(), batch.column("spans").to_pylist()):
-                data, at, out = (text or "").encode("utf-8", "surrogatepass"), 0, []
+            for body, runs in zip(batch.column("_t").to_pylist(), batch.column("spans").to_pylist()):
+                data, at, out = (body or "").encode("utf-8", "surrogatepass"), 0, []
                 for run in runs:
                     out.append(data[at : run["start"]])
                     at = run["end"]
                 kept.append(b"".join(out) + data[at:])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_held"), batch.column("spans"), pa.array(kept, pa.binary())], ["_held", "spans", "kept"]
+                [batch.column("_t"), batch.column("_held"), batch.column("spans"), pa.array(kept, pa.binary())],
+                ["_t", "_held", "spans", "kept"],
             )
 
-    schema = T.StructType([joined.schema["_held"], joined.schema["spans"], T.StructField("kept", T.BinaryType())])
-    done = joined.mapInArrow(cut, schema)
-    return done.select(*[F.col("_held")[c].alias(c) for c in names], "spans", "kept")
+    none = F.array().cast("array<struct<start:long,end:long>>")
+    plain = split(False).select("_t", "_held", none.alias("spans"), F.coalesce(F.col("_t"), F.lit("")).cast("binary").alias("kept"))
+    joined = split(True).join(found, (F.col("_d") == F.col("doc")) & (F.col("_row") == F.col("row")), "left").select(
+        "_t", "_held", F.coalesce("spans", none).alias("spans")
+    )
+    lost = T.StructType([*joined.schema, T.StructField("kept", T.BinaryType())])
+    done = plain.unionByName(joined.mapInArrow(trimmed(cut), lost))
+    return done.select(*[F.col("_t").alias(c) if c == text else F.col("_held")[c].alias(c) for c in names], "spans", "kept")
