@@ -55,12 +55,21 @@ def mixed(codes: np.ndarray) -> np.ndarray:
     return codes * np.uint64(0xD6E8FEB86659FD93)
 
 
+def _power(odd: np.uint64, n: int) -> np.uint64:
+    return np.uint64(pow(int(odd), n, 1 << 64))
+
+
 def rolled(codes: np.ndarray, size: int, odd: np.uint64) -> np.ndarray:
-    """Digest of every run of ``size`` codes."""
-    n = len(codes) - size + 1
-    out = np.zeros(n, np.uint64)
-    for i in range(size):
-        out = out * odd + codes[i : i + n]
+    """Digest of every run of ``size`` codes: a polynomial, put together from runs of 1, 2, 4 and so on."""
+    n = max(len(codes) - size + 1, 0)
+    out, have, part, long = np.zeros(n, np.uint64), 0, codes, 1
+    while have < size:
+        if size & long:  # the codes before those that ``out`` has
+            out = out + part[size - have - long : size - have - long + n] * _power(odd, have)
+            have += long
+        if have < size:
+            part = part[:-long] * _power(odd, long) + part[long:] if len(part) > long else part[:0]
+            long *= 2
     return mixed(out)
 
 

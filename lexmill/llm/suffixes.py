@@ -2,15 +2,17 @@
 
 Every position is a suffix; wanted are the suffixes whose first 50 bytes begin in an
 earlier document too. The array is sparse: a window of 50 bytes is found through its anchor, the
-least digest among its 25-byte pieces (the leftmost one of equals). Equal windows have
-equal anchors at equal places, so the anchors' places are a sample chosen by content: about two in 27
+least digest among its 21-byte pieces (the leftmost one of equals). Equal windows have
+equal anchors at equal places, so the anchors' places are a sample chosen by content: about two in 31
 positions. The windows of one anchor begin at consecutive positions; they are its run,
-26 windows at most.
+30 windows at most.
 
+- A whole text that an earlier document has (by 128 bits of digest) is copied as it is, and takes no part in what
+  follows: the earlier one has all of its windows.
 - Only windows whose anchor occurs in two documents or more can be repeated. Anchors are
   counted over the whole corpus and looked up in a bitmap of fixed size; a full bitmap costs
   sorting, never results.
-- Runs of one anchor that hold the same bytes (by 64 bits of digest beside the anchor's) are a class.
+- Runs of one anchor that hold the same bytes (by 59 bits of digest beside the anchor's and their length) are a class.
   Where an earlier document has the class, the whole run is copied.
 - Where an anchor has several classes, as at the ends of passages, the suffixes at the anchors of each
   class's first documents are sorted, and so are the bytes before them, read backwards.
@@ -38,16 +40,18 @@ from lexmill.llm.substrings import _FIRST, _SECOND, LOG_ROW_BITS, _table, least_
 from lexmill.session import written
 
 LENGTH = 50
-ANCHOR = 25
+ANCHOR = 21
 RUN = LENGTH - ANCHOR + 1  # windows of one anchor, at most
-LOG_BITS = 27
+LOG_BITS = 28
+LOG_PLACE_BITS = 27
 LOW = np.uint64(63)  # bits of a digest that give way to a position
+SIZE = np.uint64(31)  # those that give way to a number of windows
 TIES = 50_000
 SORTED_ROWS = 20_000
 
 
-def _bytes(text: str | None) -> np.ndarray:
-    return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+def _bytes(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(t, np.uint8) for t in batch.column("_t").cast(pa.binary()).to_pylist()]
 
 
 def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,12 +70,21 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return one & ~LOW, place
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _marked(batch: pa.RecordBatch, firsts, wanted: bool = True) -> pa.RecordBatch:
+    """Rows whose id and text are marked as the first with this text, or those that are not."""
+    return batch.filter(pa.array(firsts.value.has(batch.column("_k").to_numpy().view(np.uint64)) == wanted))
+
+
+def _anchors(texts: DataFrame, firsts) -> DataFrame:
     """The upper half of the anchors' digests is counted: a bitmap takes fewer bits still."""
-    for batch in batches:
-        made = [(np.unique((anchors(d)[0] >> np.uint64(32)).astype(np.uint32)).view(np.int32),)
-                for d in map(_bytes, batch.column("_t").to_pylist()) if len(d) >= LENGTH]
-        yield _table(made, "i", ["key"])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [(np.unique((anchors(d)[0] >> np.uint64(32)).astype(np.uint32)).view(np.int32),)
+                    for d in _bytes(_marked(batch, firsts)) if len(d) >= LENGTH]
+            yield _table(made, "i", ["key"])
+
+    return texts.select("_t", "_k").mapInArrow(trimmed(find), "key int")
 
 
 def runs_of(data: np.ndarray, bits) -> tuple[np.ndarray, ...]:
@@ -84,21 +97,24 @@ def runs_of(data: np.ndarray, bits) -> tuple[np.ndarray, ...]:
     return keys[at], place[at], at, n
 
 
-def _runs(texts: DataFrame, bits, repeated) -> DataFrame:
+def _runs(texts: DataFrame, firsts, bits, repeated) -> DataFrame:
+    """Runs whose anchor ``g`` may be repeated; ``r`` is the digest of their bytes, whose lowest bits are
+    the number of windows."""
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (_marked(b, firsts) for b in batches):
             made = []
-            for doc, row, data in zip(batch.column("_d").to_pylist(), rows_of(batch, repeated.value), map(_bytes, batch.column("_t").to_pylist())):
+            for doc, row, data in zip(batch.column("_d").to_pylist(), rows_of(batch, repeated.value), _bytes(batch)):
                 if len(data) < LENGTH:
                     continue
                 keys, _, at, n = runs_of(data, bits.value)
                 whole, ends = data.tobytes(), (at + n + LENGTH - 1).tolist()
                 held = np.fromiter((digest(whole[a:b]) for a, b in zip(at.tolist(), ends)), np.uint64, len(at))
-                made.append((keys.view(np.int64), held.view(np.int64), np.full(len(at), doc), np.full(len(at), row, np.int64),
-                             at.astype(np.int32), n.astype(np.int32)))
-            yield _table(made, "llllii", ["g", "r", "doc", "row", "at", "n"])
+                held = held & ~SIZE | n.astype(np.uint64)
+                made.append((keys.view(np.int64), held.view(np.int64), np.full(len(at), doc), np.full(len(at), row, np.int64), at.astype(np.int32)))
+            yield _table(made, "lllli", ["g", "r", "doc", "row", "at"])
 
-    return texts.mapInArrow(trimmed(find), "g long, r long, doc long, row long, at int, n int")
+    return texts.mapInArrow(trimmed(find), "g long, r long, doc long, row long, at int")
 
 
 def place_keys(doc: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -112,14 +128,14 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], ["k"])
 
 
-def _suffixes(texts: DataFrame, bits, places, repeated) -> DataFrame:
+def _suffixes(texts: DataFrame, firsts, bits, places, repeated) -> DataFrame:
     """The runs at marked places: bytes from the anchor on, and bytes before it, backwards."""
     names = ["g", "doc", "row", "at", "n", "before", "behind"]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (_marked(b, firsts) for b in batches):
             made, before, behind = [], [], []
-            for doc, row, data in zip(batch.column("_d").to_pylist(), rows_of(batch, repeated.value), map(_bytes, batch.column("_t").to_pylist())):
+            for doc, row, data in zip(batch.column("_d").to_pylist(), rows_of(batch, repeated.value), _bytes(batch)):
                 if len(data) < LENGTH:
                     continue
                 keys, place, at, n = runs_of(data, bits.value)
@@ -198,24 +214,43 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done(pa.Table.from_batches(waiting))
 
 
-def copied_positions(docs: DataFrame, repeated, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _first_texts(texts: DataFrame, repeated) -> tuple:
+    """The broadcast bitmap of the rows that have their text first, and the others, as ``doc``, ``row``
+    and ``end``. What a bitmap marks in vain is no copy here, and is compared like a first one."""
+    least = F.min("_d").over(Window.partitionBy("_h", "_g"))
+    rows = written(
+        texts.select("_d", "_x", "_h", "_k", F.xxhash64(F.lit(1), "_t").alias("_g"), F.octet_length("_t").cast("long").alias("end"))
+        .withColumn("_again", F.col("_d") > least).drop("_g"),
+        "texts",
+    )
+    firsts = texts.sparkSession.sparkContext.broadcast(bitmap(rows.where("not _again"), "_k", LOG_PLACE_BITS))
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (_marked(b, firsts, False) for b in batches):
+            places = pa.array(rows_of(batch, repeated.value), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("_d"), places, batch.column("end")], ["doc", "row", "end"])
+
+    again = rows.where("_again").mapInArrow(tell, "doc long, row long, end long")
+    return firsts, again.distinct()  # rows of one id and one text are alike
+
+
+def copied_positions(texts: DataFrame, firsts, repeated) -> DataFrame:
     """``doc``, ``row``, ``at``, ``mask``: of the windows from ``at`` on, those whose bit is set begin in
     an earlier document too."""
-    context = docs.sparkSession.sparkContext
-    texts = with_rows(docs, key, text).select("_d", "_t", "_x", "_h").where(F.octet_length("_t") >= LENGTH)
-    counted = texts.select("_t").mapInArrow(trimmed(_anchors), "key int").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    context = texts.sparkSession.sparkContext
+    counted = _anchors(texts, firsts).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     often = counted.where("n > 1").select(F.shiftleft(F.col("key").cast("long"), 32).alias("key"))
     bits = context.broadcast(bitmap(often, "key", LOG_BITS))
     anchor, held = Window.partitionBy("g"), Window.partitionBy("g", "r")
     runs = written(
-        _runs(texts, bits, repeated)
+        _runs(texts, firsts, bits, repeated)
         .withColumn("several", F.min("r").over(anchor) < F.max("r").over(anchor))
         .withColumn("copied", F.col("doc") > F.min("doc").over(held))
-        .where("copied or several").select("doc", "row", "at", "n", "copied"),
+        .where("copied or several").select("doc", "row", "at", F.expr(f"int(r & {SIZE})").alias("n"), "copied"),
         "runs",
     )
     places = runs.where("not copied").select("doc", "row", "at").mapInArrow(_places, "k long")
-    suffixes = _suffixes(texts, bits, context.broadcast(bitmap(places, "k", LOG_BITS)), repeated)
+    suffixes = _suffixes(texts, firsts, bits, context.broadcast(bitmap(places, "k", LOG_PLACE_BITS)), repeated)
     single = suffixes.repartition("g").sortWithinPartitions("g", "behind").mapInArrow(
         trimmed(_compare), "doc long, row long, at int, mask int"
     )
@@ -247,8 +282,13 @@ def spans(docs: DataFrame, key: str = "doc_id", text: str = "text", repeated=Non
                 [batch.column("doc"), batch.column("row"), pa.array(made, kind)], ["doc", "row", "spans"]
             )
 
-    found = copied_positions(docs, repeated, key, text).groupBy("doc", "row").agg(F.collect_list(F.struct("at", "mask")).alias("w"))
-    return found.mapInArrow(trimmed(merge), "doc long, row long, spans array<struct<start:long,end:long>>")
+    texts = with_rows(docs, key, text).select("_d", "_t", "_x", "_h").where(F.octet_length("_t") >= LENGTH)
+    texts = texts.withColumn("_k", F.xxhash64("_d", "_h"))
+    firsts, again = _first_texts(texts, repeated)
+    found = copied_positions(texts, firsts, repeated).groupBy("doc", "row").agg(F.collect_list(F.struct("at", "mask")).alias("w"))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("end")))
+    parts = found.mapInArrow(trimmed(merge), "doc long, row long, spans array<struct<start:long,end:long>>")
+    return parts.union(again.select("doc", "row", whole.alias("spans")))
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
