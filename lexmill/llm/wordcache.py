@@ -65,7 +65,7 @@ class TextEncoder:
         Arrow strings them together."""
         parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         coded = parts.values.dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist makes a scalar of each
         ids = self._known(words)
         joined = pa.array(ids, pa.large_binary()).take(coded.indices)
         raw, places = memoryview(joined.buffers()[2] or b""), np.frombuffer(joined.buffers()[1], np.int64)
