@@ -37,8 +37,8 @@ _DOCS = f"{pairs_sql('SELECT doc_id, text FROM documents', 'doc_id')}, {model_sq
 _SCORED = f"{_DOCS}, scored AS (SELECT p.*, logp FROM pairs p JOIN model m USING (a, b))"
 
 
-def _model(df, text="text", learn=None):
-    return scoring.bigram_model(scoring.pair_counts(df, text, learn=learn))
+def _model(df, text="text", learn=None, number=None):
+    return scoring.bigram_model(scoring.pair_counts(df, text, learn=learn, number=number))
 
 
 def _scored(docs):
@@ -111,9 +111,9 @@ def perplexity_improvement(spark, folder):
         F.struct(F.lit("clean").alias("stage"), F.col("clean").alias("t")),
     )
     both = docs.select("doc_id", F.inline(stages))
-    both = written(both, "raw-and-clean")
-    model = _model(both, "t", F.col("stage") == "raw")
-    scored = written(scoring.score_texts(both, model, ["doc_id", "stage"], "t"), "scored")
+    both = written(both.withColumn("number", F.monotonically_increasing_id()), "raw-and-clean", "zstd")
+    model = _model(both, "t", F.col("stage") == "raw", "number")
+    scored = written(scoring.score_texts(both, model, ["doc_id", "stage"], "t", number="number"), "scored")
     raw, clean = (
         scoring.perplexity(scored.where(F.col("stage") == s), ["doc_id"], docs)
         for s in ("raw", "clean")

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 BLOCK_VALUES = 1 << 19
+BLOCK_PAIRS = 1 << 22
+BLOCK_ROWS = 1 << 15  # places in a block are shorts
+BATCH_PAIRS = 1 << 16
 
 
 def _starts(keys: pa.Array) -> np.ndarray:
@@ -21,6 +24,11 @@ def _starts(keys: pa.Array) -> np.ndarray:
     return np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
 
 
+def _sizes(rows: pa.RecordBatch) -> np.ndarray:
+    """Lengths of the arrays; null has no values."""
+    return pc.fill_null(pc.list_value_length(rows.column("_values")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def _one(values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
@@ -59,8 +67,8 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
         def blocks_of(rows: pa.RecordBatch, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
             nonlocal number
-            sizes = pc.fill_null(pc.list_value_length(rows.column("_values")), 0).to_numpy(zero_copy_only=False)
-            before = (np.cumsum(sizes, dtype=np.int64) - sizes)[starts]
+            sizes = _sizes(rows)
+            before = (np.cumsum(sizes) - sizes)[starts]
             ends, at = np.r_[starts[1:], len(rows)], 0
             while at < len(starts):
                 end = int(np.searchsorted(before, before[at] + BLOCK_VALUES))
@@ -132,3 +140,66 @@ def put_back(df: DataFrame, value: str) -> DataFrame:
 
     ordered = df.select("_block", "_at", "_keys", "_sizes", "_codes", value).repartition("_block").sortWithinPartitions("_block")
     return ordered.mapInArrow(join, schema)
+
+
+def cut_pairs(df: DataFrame) -> DataFrame:
+    """Of rows ``_number`` (different longs, mostly ascending), ``_learn`` (true or false) and ``_values`` (an array
+    of words without blanks): each ``pair`` of neighbours, joined by a blank, once a block, in order; ``base``, the
+    block's first number; and ``at``, for every occurrence how much larger its row's number is, with all bits turned
+    (so below zero) where ``_learn`` is false. A block has about ``BLOCK_PAIRS`` values, or one longer row, and
+    its numbers are less than ``BLOCK_ROWS`` apart. Few columns, as every one adds to a shuffled row."""
+    schema = T.StructType([
+        T.StructField("pair", T.StringType()), T.StructField("base", T.LongType()),
+        T.StructField("at", T.ArrayType(T.ShortType())),
+    ])
+
+    def block(base: int, parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = np.concatenate([_sizes(p) for p in parts])
+        if sizes.max() < 2:
+            return
+        places = (np.concatenate([p.column("_number").to_numpy() for p in parts]) - base).astype(np.int16)
+        learn = np.concatenate([p.column("_learn").to_numpy(zero_copy_only=False) for p in parts])
+        places = np.where(learn, places, ~places)
+        found = pa.chunked_array([p.column("_values").flatten() for p in parts]).dictionary_encode().unify_dictionaries()
+        words = found.chunk(0).dictionary
+        order = pc.sort_indices(words).to_numpy()
+        rank = np.empty(len(words), np.int64)
+        rank[order] = np.arange(len(words))
+        words = words.take(pa.array(order))
+        codes = rank[np.concatenate([c.indices.to_numpy() for c in found.chunks])]
+        row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        inside = row[1:] == row[:-1]
+        pairs, row = (codes[:-1] * len(words) + codes[1:])[inside], row[:-1][inside]
+        order = np.argsort(pairs, kind="stable")
+        pairs, at = pairs[order], places[row[order]]
+        starts = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
+        first, second = np.divmod(pairs[starts], len(words))
+        ends = np.r_[starts, len(pairs)]
+        for i in range(0, len(starts), BATCH_PAIRS):
+            j = min(i + BATCH_PAIRS, len(starts))
+            joined = pc.binary_join_element_wise(
+                words.take(pa.array(first[i:j])), words.take(pa.array(second[i:j])), pa.scalar(" ", words.type))
+            lists = pa.ListArray.from_arrays((ends[i : j + 1] - ends[i]).astype(np.int32), at[ends[i] : ends[j]])
+            yield pa.RecordBatch.from_arrays([joined, pa.array(np.full(j - i, base)), lists], schema.names)
+
+    def divide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, held_values, base = [], 0, 0
+        for batch in batches:
+            numbers, sizes, at = batch.column("_number").to_numpy(), _sizes(batch), 0
+            while at < len(batch):
+                base = base if held else int(numbers[at])
+                apart = numbers[at:] - base
+                fits = (apart >= 0) & (apart < BLOCK_ROWS)
+                fits &= held_values + np.cumsum(sizes[at:]) - sizes[at:] < BLOCK_PAIRS
+                end = len(batch) if fits.all() else at + int(np.argmin(fits))
+                if end > at:
+                    held.append(batch.slice(at, end - at))
+                    held_values += int(sizes[at:end].sum())
+                if end < len(batch):
+                    yield from block(base, held)
+                    held, held_values = [], 0
+                at = end
+        if held:
+            yield from block(base, held)
+
+    return df.mapInArrow(divide, schema)

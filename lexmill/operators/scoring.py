@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as X
+from lexmill.operators import blocks
 from lexmill.operators.lookups import lookup, lookup_once
 from lexmill.session import written
 
@@ -19,6 +20,7 @@ from lexmill.session import written
 PAIR_KEY = ["h1", "h2"]
 HEAD_WORDS = 200_000  # first words with most pairs, looked up where the counts lie
 MOST_GROUPS = 256  # each is a column of the counts
+PLACED_PARTS = 8  # placed pairs take this much more room in memory than their texts on disk
 
 
 def _words(text: str, max_length: int | None) -> Column:
@@ -39,7 +41,7 @@ def _each_pair(words: Column) -> Column:
 
 def pair_counts(
     df: DataFrame, text: str = "text", max_length: int | None = None, learn: Column | None = None,
-    by: list[str] | None = None,
+    by: list[str] | None = None, number: str | None = None,
 ) -> DataFrame:
     """Word pairs ``(a, b)`` of all texts, over whole texts or their first ``max_length`` words, and
     ``n``, how often the texts have them in which ``learn`` holds. Pairs only to be scored get a
@@ -48,9 +50,18 @@ def pair_counts(
     With ``by``, at most ``MOST_GROUPS`` values, ``groups`` lists per value how often (``n``) its texts
     have the pair, so that groups are scored from the counts alone. Pairs are combined where the
     texts lie; no pair of a single text is kept.
+
+    With ``number``, a column that numbers the texts (different longs that ascend where texts lie together),
+    pairs also tell where they stand, so that texts are scored from the counts alone: a pair has a row for
+    each block of texts that has it, all with the same ``n``, one of them with ``first``; ``base`` and ``at``
+    give the number of the text of every occurrence (``operators.blocks.cut_pairs``).
     """
     told = F.lit(True) if learn is None else F.coalesce(learn, F.lit(False))
     by = by or []
+    if number is not None:
+        if by:
+            raise ValueError("counts are kept by group or by text, not both")
+        return _placed_counts(df, _words(text, max_length), told, number)
     held = df.select(*by, told.alias("_learn"), _words(text, max_length).alias("_w"))
     pairs = held.select(*by, "_learn", F.inline(_each_pair(F.col("_w"))).alias("a", "b"))
     learnt = F.sum(F.col("_learn").cast("long"))
@@ -76,11 +87,28 @@ def pair_counts(
     return written(counts.select("a", "b", "n", listed.alias("groups")), "pair-counts")
 
 
+def _placed_counts(df: DataFrame, words: Column, told: Column, number: str) -> DataFrame:
+    """A block has a pair once, so no pair has more rows than there are blocks, however hot it is."""
+    held = df.select(F.col(number).alias("_number"), told.alias("_learn"), words.alias("_values"))
+    parts = df.rdd.getNumPartitions() * PLACED_PARTS
+    dealt = blocks.cut_pairs(held).repartition(parts, "pair")
+    pair = Window.partitionBy("pair")
+    learnt = F.size(F.filter("at", lambda i: i >= 0))
+    counts = dealt.select(
+        F.substring_index("pair", " ", 1).alias("a"), F.substring_index("pair", " ", -1).alias("b"),
+        F.sum(learnt).over(pair).alias("n"), "base",
+        F.transform("at", lambda i: F.when(i < 0, F.bitwise_not(i)).otherwise(i)).alias("at"),
+        (F.col("base") == F.min("base").over(pair)).alias("first"),
+    )
+    return written(counts, "pair-counts", "zstd")
+
+
 def bigram_model(counts: DataFrame) -> DataFrame:
     """``counts`` with ``logp``: ln((count(a, b) + 1) / (count(a, .) + V)), V the number of learnt words."""
-    firsts = counts.groupBy("a").agg(F.sum("n").alias("n_a"), F.count(F.lit(1)).alias("n_seconds"))
+    pairs = counts.where("first") if "first" in counts.columns else counts
+    firsts = pairs.groupBy("a").agg(F.sum("n").alias("n_a"), F.count(F.lit(1)).alias("n_seconds"))
     firsts = written(firsts, "first-words")
-    words = counts.where("n > 0").select(F.explode(F.array("a", "b")).alias("w"))
+    words = firsts.where("n_a > 0").select(F.col("a").alias("w")).union(pairs.where("n > 0").select("b"))
     size = words.agg(F.count_distinct("w")).scalar()
     # The first words are as many as the vocabulary: never broadcast whole. The counts are
     # written, so reading them twice costs less than to shuffle what the head answers.
@@ -90,11 +118,16 @@ def bigram_model(counts: DataFrame) -> DataFrame:
 
 def score_texts(
     df: DataFrame, model: DataFrame, keys: list[str], text: str = "text", max_length: int | None = None,
+    number: str | None = None,
 ) -> DataFrame:
     """Per text (``keys``) of two words or more: ``n`` predictions and their mean ``logp``.
 
     Texts are read once; their pairs leave them as digests, and each is looked up once. Pairs
-    the model does not have are left out of both figures."""
+    the model does not have are left out of both figures. With ``number`` the model is of the
+    ``pair_counts`` of the same texts with the same ``number``: where their pairs stand is in its rows, so
+    texts are not read and no pair is looked up again."""
+    if number is not None:
+        return _score_placed(df, model, keys, number)
     held = df.select(*keys, _words(text, max_length).alias("_w"))
     each = held.select(*keys, F.inline(_each_pair(F.col("_w"))).alias("_a", "_b"))
     pairs = each.select(*keys, *_pair_key("_a", "_b"))
@@ -104,6 +137,18 @@ def score_texts(
     return known_pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg("logp").alias("logp"))
 
 
+def _score_placed(df: DataFrame, model: DataFrame, keys: list[str], number: str) -> DataFrame:
+    each = model.where(F.col("logp").isNotNull()).select("base", "logp", F.explode("at").alias("_at"))
+    # A task has pairs of nearly all texts and sends a row for each of these: no more tasks than cores.
+    few = each.coalesce(df.sparkSession.sparkContext.defaultParallelism)
+    sums = few.groupBy((F.col("base") + F.col("_at")).alias("_number")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("logp").alias("_sum")
+    )
+    named = sums.join(df.select(*keys, F.col(number).alias("_number")), "_number")
+    total = F.sum("_n")
+    return named.groupBy(*keys).agg(total.alias("n"), (F.sum("_sum") / total).alias("logp"))
+
+
 def score_groups(model: DataFrame, keys: list[str]) -> DataFrame:
     """As ``score_texts`` for the groups of ``pair_counts``: their counts are in the model's rows."""
     each = model.where(F.col("logp").isNotNull()).select("logp", F.inline("groups"))
